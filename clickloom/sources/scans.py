@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from clickloom.functions.scalar import hex_to_int32
 from clickloom.schema import ROW_KEY, categorical_columns, raw_schema
-from clickloom.storage import exists
+from clickloom.storage import exists, read_text
 
 MANIFEST_NAME = "_file_list.txt"
 SIDECAR_NAME = "_schema"
@@ -62,9 +62,9 @@ def with_row_key(df: DataFrame) -> DataFrame:
     return df.withColumn(ROW_KEY, F.monotonically_increasing_id())
 
 
-def day_range(root: str, first: int, last: int) -> list[str]:
+def day_range(root: str, first: int, last: int, name: str = "day_{}") -> list[str]:
     """Paths of the day files first..last, both included."""
-    return [f"{root.rstrip('/')}/day_{d}" for d in range(first, last + 1)]
+    return [f"{root.rstrip('/')}/{name.format(d)}" for d in range(first, last + 1)]
 
 
 def sample_rows(df: DataFrame, rows: int) -> DataFrame:
@@ -97,8 +97,8 @@ def union_days(frames: Sequence[DataFrame]) -> DataFrame:
 
 def read_manifest(spark: SparkSession, directory: str) -> list[str]:
     """Shard paths listed beside the data: a count line, then one path per line."""
-    lines = spark.read.text(f"{directory.rstrip('/')}/{MANIFEST_NAME}").collect()
-    count, files = int(lines[0][0]), [r[0] for r in lines[1:]]
+    lines = read_text(spark, f"{directory.rstrip('/')}/{MANIFEST_NAME}").splitlines()
+    count, files = int(lines[0]), lines[1:]
     if count != len(files):
         raise ValueError(f"manifest of {directory} announces {count} files, lists {len(files)}")
     return files

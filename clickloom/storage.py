@@ -64,8 +64,13 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
 
 
 def read_text(spark: SparkSession, path: str) -> str:
-    rows = spark.read.text(path, wholetext=True).collect()
-    return rows[0][0] if rows else ""
+    """A small side file, such as a spec or a file list."""
+    fs, jpath = _handle(spark, path)
+    stream = fs.open(jpath)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
 
 
 def delete(spark: SparkSession, path: str) -> None:
