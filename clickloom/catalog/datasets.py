@@ -257,8 +257,8 @@ SQL = {
     "preprocess_job": with_clicks(
         "SELECT col, code, count(*) AS n FROM ("
         + " UNION ALL ".join(
-            f"SELECT '{c}' AS col, coalesce(v.code, 0) AS code FROM both LEFT JOIN vocab v "
-            f"ON v.col = '{c}' AND v.value = both.{c}"
+            f"SELECT '{c}' AS col, coalesce(v.code, 0) AS code FROM splits LEFT JOIN vocab v "
+            f"ON v.col = '{c}' AND v.value = splits.{c}"
             for c in CATS
         )
         + ") GROUP BY col, code",
@@ -272,6 +272,6 @@ SQL = {
         + ")",
         "vocab AS (SELECT col, value, row_number() OVER (PARTITION BY col ORDER BY n DESC, value) "
         "AS code FROM counts)",
-        "both AS (SELECT * FROM clicks WHERE day <= 23)",
+        "splits AS (SELECT * FROM clicks WHERE day <= 23)",
     ),
 }

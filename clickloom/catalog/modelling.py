@@ -20,9 +20,8 @@ from clickloom.operators.embedding import (
     LATENT,
     VECTOR,
     Embeddings,
-    dense_products,
     fm_order2,
-    latent_of,
+    latent_vectors,
     linear_term,
     slot_keys,
 )
@@ -69,7 +68,7 @@ def fixed_params(hidden: tuple[int, ...]) -> dict[str, np.ndarray]:
 
 
 def embeddings_of(fitted) -> Embeddings:
-    return Embeddings.of(fixed_vector(slot_keys(fitted.states[0].table, CATS)), CATS)
+    return Embeddings.of(fixed_vector(slot_keys(fitted.vocabulary(), CATS)), CATS)
 
 
 def model_of(fitted, hidden) -> DeepFM:
@@ -91,14 +90,12 @@ def _vectors():
 
 
 def _dense():
-    return [F.col(c).cast("double") for c in CONTS]
+    return F.array(*[F.col(c).cast("double") for c in CONTS])
 
 
 def _fm(df):
-    products = dense_products(
-        _dense(), [[fixed_weight(i, d) for d in range(LATENT)] for i in range(len(CONTS))]
-    )
-    return fm_order2(df, [latent_of(v) for v in _vectors()] + products, "fm")
+    weights = [[fixed_weight(i, d) for d in range(LATENT)] for i in range(len(CONTS))]
+    return fm_order2(df, latent_vectors(_vectors(), _dense(), weights), "fm")
 
 
 def _linear():
@@ -115,8 +112,10 @@ def linear_query(spark, sf):
 
 
 def _fm_logits(spark, sf):
-    df = _fm(_looked_up(spark, sf)).withColumn("linear", _linear())
-    return df.select("event_id", "label", (F.col("fm") + F.col("linear")).alias("logit"))
+    """Scores of the model without a tower: second-order term plus linear term."""
+    fitted = fitted_workflow(spark, sf)
+    rows = fitted.transform(int_clicks(spark, sf), "event_id")
+    return score(rows, model_of(fitted, ()), ["event_id", "label"], "event_id")
 
 
 def fm_logit(spark, sf):
@@ -285,7 +284,7 @@ def train_deepfm_query(spark, sf):
         eval_interval=4,
     )
     _, log = train_deepfm(
-        train, fitted.states[0].table, SLOTS, COUNTS, "event_id", settings, valid
+        train, fitted.vocabulary(), SLOTS, COUNTS, "event_id", settings, valid
     )
     return log_table(spark, log)
 
@@ -294,7 +293,7 @@ def trials_best(spark, sf):
     train, valid, fitted = _small_split(spark, sf)
     settings = Settings(batch_rows=train.count(), hidden=(8,), epochs=1)
     trials = search(
-        train, valid, fitted.states[0].table, SLOTS, COUNTS, "event_id", settings, trials=2
+        train, valid, fitted.vocabulary(), SLOTS, COUNTS, "event_id", settings, trials=2
     )
     return best_trial(trials)
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, functions as F
 def hex_to_int32(text: Column) -> Column:
     """32-bit hex text to a signed int; null for null, empty or malformed text."""
     unsigned = F.conv(text, 16, 10).cast("bigint")
-    signed = F.when(unsigned >= 2**31, unsigned - 2**32).otherwise(unsigned)
+    signed = F.shiftright(F.shiftleft(unsigned, 32), 32)  # carries bit 31 into the sign
     return F.when(text.rlike("^[0-9a-fA-F]{1,8}$"), signed).cast("int")
 
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -93,43 +92,41 @@ def random_vectors(keys: DataFrame, seed: int, scale: float) -> DataFrame:
     return keys.select("slot", "code", vector.alias("vec"))
 
 
-def total(terms: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a + b, terms)
+def multiply_weights(dense: Column, weights: Sequence[Sequence[float]]) -> Column:
+    """Each continuous value of an array times its own weight row: an array of arrays."""
+    rows = F.array(*[F.array(*[F.lit(float(w)) for w in row]) for row in weights])
+    return F.zip_with(dense, rows, lambda x, row: F.transform(row, lambda w: x * w))
 
 
-def dense_products(
-    dense: Sequence[Column], weights: Sequence[Sequence[float]]
-) -> list[list[Column]]:
-    """Each continuous value times its own weight row, no bias."""
-    return [[x * F.lit(float(w)) for w in row] for x, row in zip(dense, weights)]
-
-
-def fm_order2(df: DataFrame, vectors: Sequence[list[Column]], name: str) -> DataFrame:
-    """Add half of (square of sum - sum of squares), summed over the latent dimensions.
-
-    `vectors` holds, per feature, its latent numbers; the sums are named columns first so
-    that each is computed once.
-    """
-    dims = range(len(vectors[0]))
-    sums = df.select(
-        "*",
-        *[total([v[d] for v in vectors]).alias(f"_s{d}") for d in dims],
-        *[total([v[d] * v[d] for v in vectors]).alias(f"_q{d}") for d in dims],
+def latent_vectors(
+    vectors: Sequence[Column], dense: Column, weights: Sequence[Sequence[float]]
+) -> Column:
+    """The latent parts of all slots and of all continuous values, one array each."""
+    slots = F.transform(
+        F.array(*vectors), lambda v: F.slice(v, 1, LATENT).cast("array<double>")
     )
-    value = total([F.col(f"_s{d}") * F.col(f"_s{d}") - F.col(f"_q{d}") for d in dims]) * 0.5
-    return sums.withColumn(name, value).drop(*[f"_{k}{d}" for k in "sq" for d in dims])
+    return F.concat(slots, multiply_weights(dense, weights))
 
 
-def latent_of(vector: Column) -> list[Column]:
-    return [vector[d].cast("double") for d in range(LATENT)]
+def total(numbers: Column) -> Column:
+    return F.aggregate(numbers, F.lit(0.0), lambda a, x: a + x)
 
 
-def linear_of(vector: Column) -> Column:
-    return vector[LATENT].cast("double")
+def fm_order2(df: DataFrame, latents: Column, name: str) -> DataFrame:
+    """Add half of (square of sum - sum of squares), summed over the latent dimensions."""
+    zeros = F.array(*[F.lit(0.0)] * LATENT)
+    summed = F.aggregate("_latents", zeros, lambda a, v: F.zip_with(a, v, lambda x, y: x + y))
+    squares = F.transform(F.flatten("_latents"), lambda x: x * x)
+    return (
+        df.withColumn("_latents", latents)
+        .withColumn("_summed", F.transform(summed, lambda x: x * x))
+        .withColumn(name, (total(F.col("_summed")) - total(squares)) * 0.5)
+        .drop("_latents", "_summed")
+    )
 
 
-def linear_term(vectors: Sequence[Column], dense: Sequence[Column], weights: Sequence[float]) -> Column:
+def linear_term(vectors: Sequence[Column], dense: Column, weights: Sequence[float]) -> Column:
     """Linear weights of the keys plus the weighted continuous values."""
-    return total(
-        [linear_of(v) for v in vectors] + [x * F.lit(float(w)) for x, w in zip(dense, weights)]
-    )
+    keys = F.transform(F.array(*vectors), lambda v: v[LATENT].cast("double"))
+    row = F.array(*[F.lit(float(w)) for w in weights])
+    return total(keys) + total(F.zip_with(dense, row, lambda x, w: x * w))

@@ -96,7 +96,10 @@ def lookup(
 def _broadcast_join(
     df: DataFrame, side: SideTable, columns: dict[str, str], found: str
 ) -> DataFrame:
-    """One left join per column against its own entries, all in one statement."""
+    """One left join per column against its own entries.
+
+    All in one statement: dozens of joins are then analysed once, not once per join.
+    """
     kind = side.entries.schema["value"].dataType.simpleString()
     joins, added, hints = [], [], []
     for i, (column, name) in enumerate(columns.items()):

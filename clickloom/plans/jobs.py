@@ -131,7 +131,7 @@ def train_prepared(
     train, valid = scan_manifest(spark, prepared.train_dir), scan_manifest(spark, prepared.valid_dir)
     slots = list(read_cardinalities(spark, prepared.train_dir))
     model, log = train_deepfm(
-        train, _vocab(prepared), slots, continuous_columns(), ROW_KEY, settings, valid
+        train, prepared.fitted.vocabulary(), slots, continuous_columns(), ROW_KEY, settings, valid
     )
     model.save(model_dir)
     return model, log_table(spark, log), evaluate(valid, model, ROW_KEY, settings)
@@ -144,7 +144,7 @@ def tune_prepared(
     trials = search(
         scan_manifest(spark, prepared.train_dir),
         scan_manifest(spark, prepared.valid_dir),
-        _vocab(prepared),
+        prepared.fitted.vocabulary(),
         categorical_columns(),
         continuous_columns(),
         ROW_KEY,
@@ -166,11 +166,3 @@ def train_from_tables(
 def load_package(spark: SparkSession, out: str) -> tuple[FittedWorkflow, DeepFM]:
     """Workflow and model of a finished job: what scoring raw records needs."""
     return FittedWorkflow.load(spark, f"{out}/workflow"), DeepFM.load(spark, f"{out}/model")
-
-
-def _vocab(prepared: Prepared) -> DataFrame:
-    tables = [s.table for s in prepared.fitted.states if hasattr(s, "table")]
-    out = tables[0]
-    for table in tables[1:]:
-        out = out.unionByName(table)
-    return out

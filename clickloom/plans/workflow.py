@@ -58,6 +58,14 @@ class FittedWorkflow:
         names += [c for c in ([key] if key else []) + list(keep) if c not in names]
         return as_transformed_types(df.select(*names))
 
+    def vocabulary(self) -> DataFrame:
+        """Values and codes of every encoded column."""
+        tables = [s.table for s in self.states if isinstance(s, Vocabulary)]
+        out = tables[0]
+        for table in tables[1:]:
+            out = out.unionByName(table)
+        return out
+
     def cardinalities(self) -> dict[str, int]:
         out: dict[str, int] = {}
         for state in self.states:
@@ -126,10 +134,14 @@ class Workflow:
 
 
 def click_workflow(max_size: int | None = DEFAULT_MAX_SIZE, limits: Limits = Limits()) -> Workflow:
-    """The click-log workflow: coded categoricals; filled, clipped, normalized counts; label."""
+    """The click-log workflow: coded categoricals; filled, clipped, normalized counts; label.
+
+    The arithmetic comes first: it then runs before the chain of lookups, in a generated
+    function of its own, small enough for the JVM to compile.
+    """
     cats, conts = categorical_columns(), continuous_columns()
     return Workflow(
-        [Categorify(cats, max_size), FillMissing(conts, 0), Clip(conts, low=0), Normalize(conts)],
+        [FillMissing(conts, 0), Clip(conts, low=0), Normalize(conts), Categorify(cats, max_size)],
         [*cats, *conts, *label_columns()],
         limits,
     )

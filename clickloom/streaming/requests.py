@@ -10,7 +10,8 @@ from pyspark.sql.streaming import StreamingQuery
 from clickloom.functions.scalar import to_int32
 from clickloom.model.deepfm import DeepFM, score_raw
 from clickloom.schema import categorical_columns, continuous_columns
-from clickloom.sources.scans import scan_requests
+from clickloom.sources.scans import REQUEST_SCHEMA, scan_requests
+from clickloom.storage import delete, scratch_path
 
 
 def request_features() -> list[str]:
@@ -94,14 +95,20 @@ def score_stream(
 ) -> StreamingQuery:
     """Score request files as they arrive, until none is left.
 
-    Every micro-batch goes through the same code as a batch, and replaces its own output
-    folder, so that a batch run again after a failure leaves one copy.
+    A micro-batch belongs to the stream's own session. It is written to the shared folder
+    first, which parses the requests once for both outputs and lets the rest run in the
+    session of the vocabulary and the model, through the same code as a batch. Every
+    micro-batch replaces its own output folder, so one that is run again leaves one copy.
     """
 
     def run(batch: DataFrame, number: int) -> None:
-        responses, rejected = score_requests(batch, fitted, model)
+        path = scratch_path(spark, "requests")
+        batch.write.parquet(path)
+        requests = spark.read.schema(REQUEST_SCHEMA).parquet(path)
+        responses, rejected = score_requests(requests, fitted, model)
         responses.write.mode("overwrite").parquet(f"{out}/responses/batch={number}")
         rejected.write.mode("overwrite").parquet(f"{out}/rejected/batch={number}")
+        delete(spark, path)
 
     return (
         scan_requests(spark, source, stream=True)
