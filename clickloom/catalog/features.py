@@ -338,8 +338,8 @@ SQL = {
         False,
         moments_cte(CONTS),
     ),
-    "vocab_fit": with_clicks("SELECT col, value, n, code FROM vocab", True, *vocab_ctes(CATS)),
-    "vocab_topn": with_clicks("SELECT col, value, n, code FROM vocab", True, *vocab_ctes(CATS, 100)),
+    "vocab_fit": with_clicks("SELECT col, CAST(value AS BIGINT) AS value, n, code FROM vocab", True, *vocab_ctes(CATS)),
+    "vocab_topn": with_clicks("SELECT col, CAST(value AS BIGINT) AS value, n, code FROM vocab", True, *vocab_ctes(CATS, 100)),
     "cardinalities": with_clicks(
         "SELECT col, count(*) + 1 AS cardinality FROM counts GROUP BY col",
         True,
@@ -358,7 +358,7 @@ SQL = {
     "categorify_topn": _categorify_sql(True, 100),
     "categorify_lineitem": _lineitem_sql(),
     "unseen_values": with_clicks(
-        "SELECT v.col, v.value, v.n FROM seen v LEFT JOIN counts t ON t.col = v.col "
+        "SELECT v.col, CAST(v.value AS BIGINT) AS value, v.n FROM seen v LEFT JOIN counts t ON t.col = v.col "
         "AND t.value = v.value WHERE t.col IS NULL",
         True,
         f"valid AS (SELECT * FROM clicks WHERE {VALID_DAY})",
