@@ -141,21 +141,18 @@ def _shuffled_hits(
     # `head_entries` per column, and up to `head_entries` more that are frequent in this
     # input. All others, which are then small shares of the rows, take the shuffled join.
     head = entries.where(F.col("rank") <= limits.head_entries).select("name", "value", "payload")
-    hot = (
+    hot = materialize(
         long.join(F.broadcast(head), ["name", "value"], "left_anti")
         .groupBy("name", "value")
         .count()
         .where(F.col("count") >= limits.hot_rows)
         .orderBy(F.desc("count"), "name", "value")
         .limit(limits.head_entries)
-        .select("name", "value")
-    )
-    hot = materialize(
-        entries.join(F.broadcast(hot), ["name", "value"], "right").select(
-            "name", "value", "payload"
-        ),
+        .select("name", "value"),
         "hot",
     )
+    known = entries.join(F.broadcast(hot), ["name", "value"]).select("name", "value", "payload")
+    hot = hot.join(known, ["name", "value"], "left")  # an unseen one settles without a payload
     front = head.unionByName(hot)
     tail = entries.where(F.col("rank") > limits.head_entries).select("name", "value", "payload")
     settled = long.join(F.broadcast(front), ["name", "value"]).where(F.col("payload").isNotNull())
