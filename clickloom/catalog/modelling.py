@@ -197,7 +197,7 @@ def request_batch(spark, sf):
 
 
 def decode_requests(spark, sf):
-    return requests.decode(request_batch(spark, sf))[0]
+    return requests.decode(request_batch(spark, sf))[0].drop("request")
 
 
 def rejected_requests(spark, sf):

@@ -42,26 +42,35 @@ def rejection(features: Sequence[str]) -> Column:
 def decode(
     requests: DataFrame, features: Sequence[str] | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """`(rows, rejected)`: one row `(id, pos, features..)` per record; rejects with a reason."""
+    """`(rows, rejected)`: one row `(request, id, pos, features..)` per record; rejects with a reason.
+
+    `request` numbers the documents read: clients may send the same id again and again.
+    """
     features = list(features or request_features())
-    checked = requests.withColumn("reason", rejection(features))
+    checked = requests.select(
+        "*", rejection(features).alias("reason"), F.monotonically_increasing_id().alias("request")
+    )
     rejected = checked.where(F.col("reason").isNotNull()).select("id", "reason")
     names = checked.where(F.col("reason").isNull()).withColumn("_names", _names())
     arrays = names.select(
+        "request",
         "id",
         *[
             F.get("inputs", F.array_position("_names", F.lit(f)).cast("int") - 1)["data"].alias(f)
             for f in features
         ],
     )
-    zipped = arrays.select("id", F.posexplode(F.arrays_zip(*features)).alias("pos", "_record"))
-    return zipped.select("id", "pos", *[to_int32(F.col("_record")[f]).alias(f) for f in features]), rejected
+    record = F.posexplode(F.arrays_zip(*features)).alias("pos", "_record")
+    zipped = arrays.select("request", "id", record)
+    values = [to_int32(F.col("_record")[f]).alias(f) for f in features]
+    return zipped.select("request", "id", "pos", *values), rejected
 
 
 def encode(scores: DataFrame, score: str = "score") -> DataFrame:
-    """`(id, OUTPUT0)`: the scores of each request in record order."""
+    """`(id, OUTPUT0)`: the scores of each request in record order, one response per request."""
     ordered = F.array_sort(F.collect_list(F.struct(F.col("pos"), F.col(score).alias("s"))))
-    return scores.groupBy("id").agg(F.transform(ordered, lambda x: x["s"]).alias("OUTPUT0"))
+    output = F.transform(ordered, lambda x: x["s"]).alias("OUTPUT0")
+    return scores.groupBy("request", "id").agg(output).drop("request")
 
 
 def to_requests(df: DataFrame, request_id: Column, order: str, features: Sequence[str]) -> DataFrame:
@@ -87,7 +96,7 @@ def to_requests(df: DataFrame, request_id: Column, order: str, features: Sequenc
 def score_requests(requests: DataFrame, fitted, model: DeepFM) -> tuple[DataFrame, DataFrame]:
     """`(responses, rejected)` of a batch of requests."""
     rows, rejected = decode(requests)
-    return encode(score_raw(rows, fitted, model, ["id", "pos"])), rejected
+    return encode(score_raw(rows, fitted, model, ["request", "id", "pos"])), rejected
 
 
 def score_stream(
