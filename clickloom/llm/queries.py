@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from clickloom.llm import decontaminate, mixing, quality_rules
+from clickloom.llm import decontaminate, mixing, quality_rules, secrets
 from clickloom.llm.text import documents
 
 QUERIES = {
     "op4_benchmark_decontamination": lambda spark, d: decontaminate.leaks_query(
         documents(spark, d), spark.read.parquet(f"{d}/benchmark.parquet")
     ),
+    "op7_secrets": lambda spark, d: secrets.secrets_query(documents(spark, d)),
     "op8_quality_rules": lambda spark, d: quality_rules.quality_query(documents(spark, d)),
     "op10_mixing": lambda spark, d: mixing.mix_query(documents(spark, d)),
 }
