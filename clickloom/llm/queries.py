@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
-from clickloom.llm import decontaminate, mixing, quality_rules, secrets
+from clickloom.llm import decontaminate, language, licenses, mixing, quality_rules, secrets, toxicity
 from clickloom.llm.text import documents
 
 QUERIES = {
+    "op2_license_scan": lambda spark, d: licenses.licenses_query(documents(spark, d)),
     "op4_benchmark_decontamination": lambda spark, d: decontaminate.leaks_query(
         documents(spark, d), spark.read.parquet(f"{d}/benchmark.parquet")
     ),
+    "op6_toxicity": lambda spark, d: toxicity.toxicity_query(
+        documents(spark, d), spark.read.parquet(f"{d}/labels.parquet")
+    ),
     "op7_secrets": lambda spark, d: secrets.secrets_query(documents(spark, d)),
     "op8_quality_rules": lambda spark, d: quality_rules.quality_query(documents(spark, d)),
+    "op9_language_id": lambda spark, d: language.language_query(documents(spark, d)),
     "op10_mixing": lambda spark, d: mixing.mix_query(documents(spark, d)),
 }
 
