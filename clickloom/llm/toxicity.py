@@ -1,12 +1,13 @@
 """Toxicity: a factorization machine over hashed terms.
 
-A text's features are its distinct lower-case words, hashed into `FEATURES` places. The
+A text's features are its distinct lower-case words and, once more, those that it repeats,
+both hashed into `FEATURES` places. The
 machine adds a weight per term and the inner product of two vectors per pair of terms, so a
 pair can weigh more than its parts: an insult beside a mention of a group.
 
 It is fitted on at most `learn_rows` labelled rows (30,000, taken by a hash of the key), of
 terms that stand in two or more of them and whose share of toxic texts is not explained by
-chance (|z| >= 3); all other terms weigh nothing. Rows with crc32(key) mod 4 = 2 and rows
+chance (|z| >= 4); all other terms weigh nothing. Rows with crc32(key) mod 4 = 2 and rows
 with a null key or label are never learnt from.
 
 Null and empty texts have no terms and get the score of the bias alone; without anything to
@@ -35,8 +36,29 @@ THRESHOLD = 0.3
 
 
 def terms(text: Column) -> Column:
-    hashed = F.transform(words(lower_ascii(text), NOT_WORD), lambda w: F.pmod(F.xxhash64(w), F.lit(FEATURES)).cast("int"))
-    return F.array_distinct(hashed)
+    """The place of every word, in the order of the text."""
+    return F.transform(words(lower_ascii(text), NOT_WORD), lambda w: F.pmod(F.xxhash64(w), F.lit(FEATURES)).cast("int"))
+
+
+def repeated(place: np.ndarray) -> np.ndarray:
+    """The place of the feature that says a term stands in a text twice or more."""
+    return (place.astype(np.int64) * 2654435761 + 97) % FEATURES
+
+
+def features(flat: np.ndarray, offsets: np.ndarray, place: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(feature, row) pairs, by row, of rows whose terms are `flat[offsets[i]:offsets[i + 1]]`.
+
+    With `place`, only terms that it knows, alone or repeated.
+    """
+    row = np.repeat(np.arange(len(offsets) - 1, dtype=np.int64), np.diff(offsets))
+    flat = flat.astype(np.int64)
+    if place is not None:
+        known = (place[flat] >= 0) | (place[repeated(flat)] >= 0)
+        flat, row = flat[known], row[known]
+    pairs, counts = np.unique(row * FEATURES + flat, return_counts=True)
+    again = pairs[counts > 1]
+    pairs = np.unique(np.concatenate([pairs, again // FEATURES * FEATURES + repeated(again % FEATURES)]))
+    return pairs % FEATURES, pairs // FEATURES
 
 
 @dataclass
@@ -49,9 +71,9 @@ class Machine:
     factor: np.ndarray
 
     def active(self, flat: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The known features of rows `offsets[i]:offsets[i + 1]` of `flat`, and their row numbers."""
-        at = self.place[flat]
-        row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+        """The known features of the rows, as rows of `weight`, and their row numbers."""
+        found, row = features(flat, offsets, self.place)
+        at = self.place[found]
         return at[at >= 0], row[at >= 0]
 
     def margin(self, at: np.ndarray, row: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -65,14 +87,14 @@ def logistic(margin: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(margin, -30, 30)))
 
 
-def fit(flat: np.ndarray, offsets: np.ndarray, label: np.ndarray, epochs: int = 25, batch: int = 512, rate: float = 0.1, decay: float = 1e-4, seed: int = 7) -> Machine:
+def fit(flat: np.ndarray, offsets: np.ndarray, label: np.ndarray, epochs: int = 40, batch: int = 256, rate: float = 0.3, decay: float = 1e-5, least_z: float = 4.0, seed: int = 7) -> Machine:
     """Logistic loss by Adagrad over shuffled batches, deterministic for the same rows in the same order."""
     n, base = len(label), label.mean()
-    row = np.repeat(np.arange(n), np.diff(offsets))
-    seen = np.bincount(flat, minlength=FEATURES).astype(float)
-    toxic = np.bincount(flat, label[row], FEATURES)
+    found, row = features(flat, offsets)
+    seen = np.bincount(found, minlength=FEATURES).astype(float)
+    toxic = np.bincount(found, label[row], FEATURES)
     z = (toxic - base * seen) / np.sqrt(np.maximum(base * (1 - base) * seen, 1e-9))
-    used = np.flatnonzero((seen >= 2) & (np.abs(z) >= 3))
+    used = np.flatnonzero((seen >= 2) & (np.abs(z) >= least_z))
     place = np.full(FEATURES, -1, np.int32)
     place[used] = np.arange(len(used))
     draw = np.random.default_rng(seed)
@@ -104,7 +126,7 @@ def fit(flat: np.ndarray, offsets: np.ndarray, label: np.ndarray, epochs: int =
             past[2][touched] += g_factor**2
             machine.bias -= rate * g_bias / np.sqrt(past[0])
             machine.weight[touched] -= rate * g_weight / np.sqrt(past[1][touched])
-            machine.factor[touched] -= rate * g_factor / np.sqrt(past[2][touched])
+            machine.factor[touched] -= 0.3 * rate * g_factor / np.sqrt(past[2][touched])
     return machine
 
 
