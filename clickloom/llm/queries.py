@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from clickloom.llm import decontaminate, language, licenses, mixing, quality_rules, secrets, toxicity
+from clickloom.llm import decontaminate, language, licenses, line_dedup, mixing, quality_rules, secrets, toxicity
 from clickloom.llm.text import documents
 
 QUERIES = {
@@ -10,6 +10,7 @@ QUERIES = {
     "op4_benchmark_decontamination": lambda spark, d: decontaminate.leaks_query(
         documents(spark, d), spark.read.parquet(f"{d}/benchmark.parquet")
     ),
+    "op5_line_dedup": lambda spark, d: line_dedup.lines_query(documents(spark, d)),
     "op6_toxicity": lambda spark, d: toxicity.toxicity_query(
         documents(spark, d), spark.read.parquet(f"{d}/labels.parquet")
     ),
