@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from clickloom.llm import decontaminate, language, licenses, line_dedup, mixing, quality_rules, secrets, toxicity
+from clickloom.llm import decontaminate, language, licenses, line_dedup, mixing, near_dedup, quality_rules, secrets, toxicity
 from clickloom.llm.text import documents
 
 QUERIES = {
     "op2_license_scan": lambda spark, d: licenses.licenses_query(documents(spark, d)),
+    "op3_near_dedup": lambda spark, d: near_dedup.near_query(documents(spark, d)),
     "op4_benchmark_decontamination": lambda spark, d: decontaminate.leaks_query(
         documents(spark, d), spark.read.parquet(f"{d}/benchmark.parquet")
     ),
@@ -21,6 +22,7 @@ QUERIES = {
 }
 
 SQL = {
+    "op3_near_dedup": near_dedup.NEAR_SQL,
     "op4_benchmark_decontamination": decontaminate.LEAKS_SQL,
     "op8_quality_rules": quality_rules.QUALITY_SQL,
     "op10_mixing": mixing.MIX_SQL,
