@@ -181,19 +181,23 @@ def duplicate_lines(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     )
 
 
-def drop_lines(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def drop_lines(df: DataFrame, key: str = "doc_id", text: str = "text", length: str | None = None) -> DataFrame:
     """The rows of `df`, all columns, without their duplicate lines.
 
-    A row of whose words nothing is left goes too. Rows that lose no line stay as they are.
+    A row of whose words nothing is left goes too. Rows that lose no line stay as they are; in
+    the others a column named by `length` gets the new number of characters.
     """
-    gone = duplicate_lines(df, key, text).groupBy("doc").agg(F.collect_list("line").alias("_gone"))  # of one text
-    out = df.withColumn("_doc", row_key(key, text)).join(gone, F.col("_doc") == F.col("doc"), "left")
-    out = out.withColumn("_lines", F.split(text, "\n"))
-    rest = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), "_gone")
-    lines = F.col("_lines")
-    short = F.array_join(F.transform(rest, lambda i: lines[i]), "\n")
-    out = out.withColumn(text, F.when(F.col("_gone").isNull(), F.col(text)).otherwise(short))
-    return out.where(F.col("_gone").isNull() | F.col(text).rlike(r"[^\x20\x09-\x0D]")).select(*df.columns)
+    gone = duplicate_lines(df, key, text).groupBy("doc").agg(F.collect_list("line").alias("gone"))  # of one text
+    rows = df.select(F.struct("*").alias("all"), row_key(key, text).alias("_doc"), F.split(text, "\n").alias("lines"))
+    rows = rows.join(gone, F.col("_doc") == F.col("doc"), "left")
+    rest = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "gone")
+    lines, kept = F.col("lines"), F.col("gone").isNull()
+    rows = rows.withColumn("short", F.when(~kept, F.array_join(F.transform(rest, lambda i: lines[i]), "\n")))
+    cut = F.col("all").withField(text, F.col("short"))
+    if length:
+        cut = cut.withField(length, F.length("short").cast(df.schema[length].dataType))
+    rows = rows.where(kept | F.col("short").rlike(r"[^\x20\x09-\x0D]"))
+    return rows.select(F.when(kept, F.col("all")).otherwise(cut).alias("all")).select("all.*")
 
 
 def lines_query(df: DataFrame) -> DataFrame:

@@ -267,10 +267,9 @@ def one_of_each(df: DataFrame, key: str = "doc_id", text: str = "text", shingle:
     grouped = groups(df, key, text, shingle, per_cent).where("n_shingles > 0")
     best = F.min(F.struct(F.col(key).isNull(), F.col(key), F.col("row")))["row"]
     kept = materialize(grouped.groupBy("label").agg(best.alias("_row")).select("_row"), "near-kept")
-    empty = F.size(words(F.col(text))) == 0
-    some = df.withColumn("_id", F.xxhash64(key, text)).where(~empty)
-    some = some.join(kept, F.col("_id") == F.col("_row"), "left_semi").dropDuplicates(["_id"])
-    return some.select(*df.columns).unionByName(df.where(empty))
+    rows = df.select(F.struct("*").alias("all"), F.xxhash64(key, text).alias("_id"), F.size(words(F.col(text))).alias("_words"))
+    some = rows.where("_words > 0").join(kept, F.col("_id") == F.col("_row"), "left_semi").dropDuplicates(["_id"])
+    return some.select("all").unionByName(rows.where("_words = 0").select("all")).select("all.*")
 
 
 def near_query(df: DataFrame) -> DataFrame:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from clickloom.llm import decontaminate, language, licenses, line_dedup, mixing, near_dedup, quality_rules, secrets, toxicity
+from clickloom.llm import decontaminate, exact_substrings, language, licenses, line_dedup, mixing, near_dedup, quality_rules, secrets, toxicity
 from clickloom.llm.text import documents
 
 QUERIES = {
+    "op1_suffix_array_dedup": lambda spark, d: exact_substrings.substrings_query(documents(spark, d)),
     "op2_license_scan": lambda spark, d: licenses.licenses_query(documents(spark, d)),
     "op3_near_dedup": lambda spark, d: near_dedup.near_query(documents(spark, d)),
     "op4_benchmark_decontamination": lambda spark, d: decontaminate.leaks_query(

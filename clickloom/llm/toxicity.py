@@ -176,6 +176,12 @@ def score(df: DataFrame, machine: Machine | None, key: str = "doc_id", text: str
     return rows.mapInArrow(scored, schema)
 
 
+def drop_toxic(df: DataFrame, machine: Machine | None, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of `df`, all columns, whose score is below the threshold."""
+    rows = df.select(F.struct("*").alias("all"), F.col(text).alias("_text"))
+    return score(rows, machine, text="_text", keep=["all"]).where(F.col("score") < threshold).select("all.*")
+
+
 def toxicity_query(df: DataFrame, labels: DataFrame) -> DataFrame:
     machine = learn(df, labels, "doc_id", "text", "toxic", LEARN_ROWS)
     out = score(df, machine)
