@@ -3,32 +3,47 @@
 from __future__ import annotations
 
 import atexit
-import shutil
-import tempfile
 import uuid
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
-_local_folders: dict[str, str] = {}
+_made: list[tuple[str, str]] = []  # application and path of every copy not yet deleted
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's `spark.checkpoint.dir`; in local mode without one, a temporary folder."""
+    """The cluster's `spark.checkpoint.dir`; in local mode without one, the warehouse."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    if context.applicationId not in _local_folders:
-        folder = tempfile.mkdtemp(prefix="clickloom-")
-        atexit.register(shutil.rmtree, folder, ignore_errors=True)
-        _local_folders[context.applicationId] = folder
-    return _local_folders[context.applicationId]
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
+        folder = spark.conf.get("spark.sql.warehouse.dir")
+    return folder.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark)}/clickloom-{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/clickloom-{label}-{uuid.uuid4().hex}"
+    _made.append((spark.sparkContext.applicationId, path))
+    return path
+
+
+def release(spark: SparkSession) -> None:
+    """Delete the copies that this application has made.
+
+    Results that read them cannot be used afterwards, so the caller decides when; at the end
+    of the driver program it happens by itself.
+    """
+    own = spark.sparkContext.applicationId
+    for made in [m for m in _made if m[0] == own]:
+        delete(spark, made[1])
+        _made.remove(made)
+
+
+@atexit.register
+def _release_at_exit() -> None:
+    session = SparkSession.getActiveSession() if SparkContext._active_spark_context else None
+    if session is not None:
+        release(session)
 
 
 def materialize(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
