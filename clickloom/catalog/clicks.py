@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from clickloom.schema import categorical_columns, continuous_columns
-from clickloom.sources.scans import spread
 
 # Most distinct values a categorical column of the view can hold, C1..C26.
 DISTINCT = [
@@ -42,7 +41,7 @@ def _columns() -> list[str]:
 
 def clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    return spread(events.select("event_id", "ts", "user_id", "event_type")).selectExpr(*_columns())
+    return events.select("event_id", "ts", "user_id", "event_type").selectExpr(*_columns())
 
 
 def clicks_sql() -> str:

@@ -267,7 +267,7 @@ def _small_split(spark, sf):
 def train_fm_query(spark, sf):
     """Validation scores of a factorization machine."""
     train, valid, fitted = _small_split(spark, sf)
-    model = train_fm(train, SLOTS, COUNTS, fitted.cardinalities(), max_iter=10)
+    model = train_fm(train, SLOTS, COUNTS, max_iter=10)
     return score_fm(valid, model, ["event_id", "label"])
 
 

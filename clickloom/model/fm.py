@@ -10,14 +10,11 @@ from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 
-MAX_KEYS = 100_000
-
 
 def train_fm(
     train: DataFrame,
     slots: Sequence[str],
     dense: Sequence[str],
-    cardinalities: dict[str, int],
     factors: int = 10,
     step_size: float = 0.05,
     max_iter: int = 20,
@@ -25,12 +22,10 @@ def train_fm(
 ) -> PipelineModel:
     """One-hot slots plus continuous values into an FM with a linear term.
 
-    All weights sit on the driver, so the number of keys is checked first. Beyond it,
-    `train_deepfm` with an empty `hidden` trains the same model with distributed weights.
+    Spark keeps all weights on the driver: about 8 bytes times `factors` + 1 for each key. For
+    vocabularies beyond its memory `train_deepfm` with an empty `hidden` trains the same model
+    with distributed weights.
     """
-    keys = sum(cardinalities[c] for c in slots)
-    if keys > MAX_KEYS:
-        raise ValueError(f"{keys} keys are too many here; use train_deepfm with hidden=()")
     encoder = OneHotEncoder(
         inputCols=list(slots),
         outputCols=[f"{c}_hot" for c in slots],

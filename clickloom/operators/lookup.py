@@ -69,9 +69,9 @@ def lookup(
 ) -> DataFrame:
     """Add for each column its payload, null where the value is null or has no entry.
 
-    `columns` maps a column of `df` to the name of its entries. `key` names a unique
-    column of `df`; it is needed only for columns too large to broadcast, and a frame
-    without one is then written out once with a new key.
+    `columns` maps a column of `df` to the name of its entries. Where a column is too large
+    to broadcast, the frame is written out once with a key of its own, so that the result is
+    the same on either way, whatever `key` the caller has.
     """
     value_type = side.entries.schema["value"].dataType
     small_names = set(side.broadcastable(sorted(set(columns.values())), limits))
@@ -80,14 +80,10 @@ def lookup(
 
     out = df
     if large:
-        drop_key = key is None
-        if drop_key:
-            key = "_lookup_key"
-            out = materialize(out.withColumn(key, F.monotonically_increasing_id()), "keyed")
+        key = "_lookup_key"  # the caller's may repeat, and a join back needs one row each
+        out = materialize(out.withColumn(key, F.monotonically_increasing_id()), "keyed")
         hits = _shuffled_hits(out, side, {c: columns[c] for c in large}, found, key, limits)
-        out = out.join(hits, key, "left")
-        if drop_key:
-            out = out.drop(key)
+        out = out.join(hits, key, "left").drop(key)
     if small:
         out = _broadcast_join(out, side, {c: columns[c] for c in small}, found)
     return out

@@ -10,10 +10,12 @@ from clickloom.operators.ordering import SLICE, ordered_slices
 def auc(df: DataFrame, score: str, label: str) -> DataFrame:
     """Exact area under the ROC curve, ties counting one half; one row `(auc, n_pos, n_neg)`.
 
-    Rows are first counted per distinct score, so equal scores cost one row. Each score
+    Rows whose label is not 0 or 1, or whose score is null or not a number, do not count.
+    The others are first counted per distinct score, so equal scores cost one row. Each score
     slice is then reduced to three sums, and only those are put in order.
     """
-    counts = df.groupBy(F.col(score).alias("s")).agg(
+    known = df.where(F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double")) & F.col(label).isin(0, 1))
+    counts = known.groupBy(F.col(score).alias("s")).agg(
         F.sum(F.when(F.col(label) == 1, 1).otherwise(0)).alias("p"),
         F.sum(F.when(F.col(label) == 1, 0).otherwise(1)).alias("n"),
     )

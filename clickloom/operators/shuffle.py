@@ -22,8 +22,8 @@ def shuffle_rows(
 ) -> DataFrame:
     """Place and order rows; with `files` the result has that many partitions.
 
-    FULL sends each row to a random partition. PER_WORKER merges partitions without
-    moving rows over the network. PER_PARTITION only reorders within partitions.
+    FULL sends each row to a random partition. PER_WORKER gives each of
+    `workers` its share after the work upstream is done, which keeps all its tasks. PER_PARTITION only reorders within partitions.
     """
     if mode not in MODES:
         raise ValueError(f"unknown shuffle mode: {mode!r}")
@@ -32,12 +32,11 @@ def shuffle_rows(
     if mode == "FULL":
         target = [F.pmod(_draw(seed, key), F.lit(2**31 - 1))] if key else []
         moved = df.repartition(files, *target) if files else (
-            df.repartition(*target) if target else df.repartition(df.rdd.getNumPartitions())
+            df.repartition(*target) if target else df.repartition(F.rand(seed + 2))
         )
         return moved.sortWithinPartitions(_draw(seed + 1, key))
     if mode == "PER_WORKER":
-        merged = df.coalesce(workers or files or 1) if (workers or files) else df
-        return merged.sortWithinPartitions(_draw(seed, key))
+        return place(df, workers or files, key).sortWithinPartitions(_draw(seed, key))
     return place(df, files, key).sortWithinPartitions(_draw(seed, key))
 
 

@@ -10,8 +10,6 @@ from clickloom.operators.lookup import Limits, SideTable, lookup
 from clickloom.operators.ordering import running_total
 from clickloom.storage import materialize
 
-DEFAULT_MAX_SIZE = 10_000_000
-
 
 def _value_type(df: DataFrame, columns: list[str]) -> str:
     """All columns of one vocabulary are counted together and must share a kind."""
@@ -35,8 +33,8 @@ def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
-def rank_values(counts: DataFrame, max_size: int | None = DEFAULT_MAX_SIZE) -> DataFrame:
-    """Code the values of each column 1.. by (count desc, value asc); keep max_size - 1."""
+def rank_values(counts: DataFrame, max_size: int | None = None) -> DataFrame:
+    """Code the values of each column 1.. by (count desc, value asc); with `max_size`, keep max_size - 1."""
     ranked = running_total(
         counts, "col", [F.col("n").desc(), F.col("value").asc()], F.lit(1), "_before", "ranked"
     ).select("col", "value", "n", (F.col("_before") + 1).cast("bigint").alias("code"))
@@ -63,7 +61,7 @@ class Vocabulary:
 
     @staticmethod
     def fit(
-        df: DataFrame, columns: list[str], max_size: int | None = DEFAULT_MAX_SIZE
+        df: DataFrame, columns: list[str], max_size: int | None = None
     ) -> "Vocabulary":
         coded = rank_values(value_counts(df, columns), max_size)
         return Vocabulary.of(materialize(coded, "vocab", partition_by="col"), columns)
@@ -122,10 +120,10 @@ def encode_lists(
     vocab: Vocabulary,
     column: str,
     key: str,
-    nnz: int,
+    nnz: int | None = None,
     limits: Limits = Limits(),
 ) -> DataFrame:
-    """Codes of an array column, ascending, the `nnz` lowest (most frequent) kept.
+    """Codes of an array column, ascending; with `nnz` only that many, the most frequent.
 
     `key` must be unique; an empty or null list stays an empty list.
     """
@@ -135,8 +133,10 @@ def encode_lists(
     codes = (
         vocab.encode(elements, {position: name}, None, limits)
         .groupBy(key)
-        .agg(F.slice(F.array_sort(F.collect_list(position)), 1, nnz).alias("_codes"))
+        .agg(F.array_sort(F.collect_list(position)).alias("_codes"))
     )
+    if nnz is not None:
+        codes = codes.withColumn("_codes", F.slice("_codes", 1, nnz))
     return (
         df.join(codes, key, "left")
         .withColumn(column, F.coalesce("_codes", F.array().cast("array<bigint>")))
@@ -145,7 +145,7 @@ def encode_lists(
 
 
 def fit_lists(
-    df: DataFrame, column: str, max_size: int | None = DEFAULT_MAX_SIZE
+    df: DataFrame, column: str, max_size: int | None = None
 ) -> Vocabulary:
     """Vocabulary over the elements of an array column."""
     return Vocabulary.fit(df.select(F.explode(column).alias(column)), [column], max_size)

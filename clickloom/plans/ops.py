@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from clickloom.functions import scalar
 from clickloom.operators.lookup import Limits
 from clickloom.operators.moments import moments, quantiles
-from clickloom.operators.vocab import DEFAULT_MAX_SIZE, Vocabulary, encode_lists, fit_lists
+from clickloom.operators.vocab import Vocabulary, encode_lists, fit_lists
 
 
 class Op:
@@ -236,7 +236,7 @@ class Categorify(Op):
     """Frequency codes; state: a Vocabulary in the shared folder."""
 
     columns: Sequence[str]
-    max_size: int | None = DEFAULT_MAX_SIZE
+    max_size: int | None = None
 
     @property
     def fitted(self):
@@ -251,11 +251,11 @@ class Categorify(Op):
 
 @dataclass
 class MultiHotCategorify(Op):
-    """Codes of one array column, at most `nnz` per row. Needs a row key."""
+    """Codes of one array column, all of them or at most `nnz` per row. Needs a row key."""
 
     columns: Sequence[str]
-    nnz: int = 2
-    max_size: int | None = DEFAULT_MAX_SIZE
+    nnz: int | None = None
+    max_size: int | None = None
     limits: Limits = field(default=Limits(), repr=False)
 
     @property

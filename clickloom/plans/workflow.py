@@ -10,7 +10,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 
 from clickloom.operators.lookup import Limits
-from clickloom.operators.vocab import DEFAULT_MAX_SIZE, Vocabulary
+from clickloom.operators.vocab import Vocabulary
 from clickloom.plans.ops import ALL_OPS, Categorify, Clip, FillMissing, Normalize, Op
 from clickloom.schema import (
     as_transformed_types,
@@ -133,7 +133,7 @@ class Workflow:
         return FittedWorkflow(self.stages, states, self.outputs, self.limits)
 
 
-def click_workflow(max_size: int | None = DEFAULT_MAX_SIZE, limits: Limits = Limits()) -> Workflow:
+def click_workflow(max_size: int | None = None, limits: Limits = Limits()) -> Workflow:
     """The click-log workflow: coded categoricals; filled, clipped, normalized counts; label.
 
     The arithmetic comes first: it then runs before the chain of lookups, in a generated

@@ -43,6 +43,8 @@ def scan_delimited(
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     reader = spark.read.option("sep", sep).option("header", False)
+    if sep == "\t":
+        reader = reader.option("quote", "")  # tab-separated logs do not quote: a stray one is data
     if recursive:
         reader = reader.option("recursiveFileLookup", True)
     if schema is None and infer:
@@ -67,16 +69,6 @@ def day_range(root: str, first: int, last: int, name: str = "day_{}") -> list[st
     return [f"{root.rstrip('/')}/{name.format(d)}" for d in range(first, last + 1)]
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give a narrow scan with fewer splits than the cluster has cores one per core.
-
-    For a small input in a single file ahead of costly expressions. A scan of many splits
-    is returned as it is, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def sample_rows(df: DataFrame, rows: int) -> DataFrame:
     """The first rows of a scan."""
     return df.limit(rows)

@@ -32,10 +32,15 @@ def rejection(features: Sequence[str]) -> Column:
         .when(F.size(F.array_distinct(_names())) < F.size("inputs"), "duplicate input")
         .when(F.size(F.array_except(needed, _names())) > 0, "missing feature")
         .when(F.size(F.array_distinct(rows)) > 1, "row counts differ")
+        .when(F.element_at(rows, 1) == 0, "no records")
         .when(
             F.exists("inputs", lambda x: ~F.get(x["shape"], F.lit(0)).eqNullSafe(F.size(x["data"]))),
             "shape does not match data",
         )
+        .when(
+            F.exists("inputs", lambda x: F.exists(x["data"], lambda v: v.isNotNull() & to_int32(v).isNull())),
+            "value out of range",
+        )
     )
 
 

@@ -106,3 +106,11 @@ def test_label_percent_and_transposed_preview(spark):
     assert {r[0]: r[1] for r in label_percent(df).collect()} == {1: 33.33, 0: 66.67}
     got = {r["col"]: r for r in preview_transposed(df, "k", ["label", "t"], 2).collect()}
     assert (got["label"]["row_0"], got["t"]["row_0"], got["t"]["row_1"]) == ("0", "y", None)
+
+
+def test_auc_leaves_out_what_has_no_label_or_score(spark):
+    from clickloom.operators.metrics import auc
+
+    rows = [(0.1, 0), (0.4, 1), (0.3, 0), (0.9, 1), (0.2, None), (None, 1), (float("nan"), 0)]
+    got = auc(spark.createDataFrame(rows, "s double, y int"), "s", "y").first()
+    assert (got.auc, got.n_pos, got.n_neg) == (1.0, 2, 2)

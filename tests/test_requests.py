@@ -60,3 +60,16 @@ def test_stream_equals_batch(spark):
     stream = modelling.score_stream(spark, SMALL)
     assert batch.count() == stream.count() > 0
     assert batch.exceptAll(stream).isEmpty()
+
+
+def test_empty_and_out_of_range_requests_are_rejected(spark):
+    from clickloom.sources.scans import REQUEST_SCHEMA
+    from clickloom.streaming.requests import decode
+
+    def one(name, data):
+        return {"name": name, "shape": [len(data), 1], "datatype": "INT32", "data": data}
+
+    rows = [("none", [one("a", []), one("b", [])]), ("large", [one("a", [3_000_000_000]), one("b", [1])]), ("good", [one("a", [None]), one("b", [1])])]
+    good, bad = decode(spark.createDataFrame(rows, REQUEST_SCHEMA), ["a", "b"])
+    assert [r.id for r in good.collect()] == ["good"]
+    assert {(r.id, r.reason) for r in bad.collect()} == {("none", "no records"), ("large", "value out of range")}
