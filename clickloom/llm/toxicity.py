@@ -5,7 +5,7 @@ both hashed into `FEATURES` places. The
 machine adds a weight per term and the inner product of two vectors per pair of terms, so a
 pair can weigh more than its parts: an insult beside a mention of a group.
 
-It is fitted on at most `learn_rows` labelled rows (30,000, taken by a hash of the key), of
+It is fitted on at most `learn_rows` labelled rows (20,000, taken by a hash of the key), of
 terms that stand in two or more of them and whose share of toxic texts is not explained by
 chance (|z| >= 4); all other terms weigh nothing. Rows with crc32(key) mod 4 = 2 and rows
 with a null key or label are never learnt from.
@@ -31,7 +31,7 @@ from clickloom.storage import materialize
 
 FEATURES = 1 << 20
 FACTORS = 4
-LEARN_ROWS = 30_000
+LEARN_ROWS = 20_000
 THRESHOLD = 0.3
 
 
@@ -88,11 +88,15 @@ def logistic(margin: np.ndarray) -> np.ndarray:
 
 
 def fit(flat: np.ndarray, offsets: np.ndarray, label: np.ndarray, epochs: int = 40, batch: int = 256, rate: float = 0.3, decay: float = 1e-5, least_z: float = 4.0, seed: int = 7) -> Machine:
-    """Logistic loss by Adagrad over shuffled batches, deterministic for the same rows in the same order."""
+    """Fit to rows whose features are `flat[offsets[i]:offsets[i + 1]]`, labelled 0 or 1.
+
+    Logistic loss by Adagrad over shuffled batches, the same for the same rows in the same order.
+    """
     n, base = len(label), label.mean()
-    found, row = features(flat, offsets)
-    seen = np.bincount(found, minlength=FEATURES).astype(float)
-    toxic = np.bincount(found, label[row], FEATURES)
+    row = np.repeat(np.arange(n, dtype=np.int32), np.diff(offsets))
+    seen = np.bincount(flat, minlength=FEATURES).astype(float)
+    positive = np.repeat(label > 0, np.diff(offsets))
+    toxic = np.bincount(flat[positive], minlength=FEATURES)
     z = (toxic - base * seen) / np.sqrt(np.maximum(base * (1 - base) * seen, 1e-9))
     used = np.flatnonzero((seen >= 2) & (np.abs(z) >= least_z))
     place = np.full(FEATURES, -1, np.int32)
@@ -100,7 +104,8 @@ def fit(flat: np.ndarray, offsets: np.ndarray, label: np.ndarray, epochs: int =
     draw = np.random.default_rng(seed)
     odds = float(np.log((base + 1e-6) / (1 - base + 1e-6)))
     machine = Machine(place, odds, np.zeros(len(used)), draw.normal(0, 0.01, (len(used), FACTORS)))
-    at, row = machine.active(flat, offsets)
+    known = place[flat] >= 0
+    at, row = place[flat[known]], row[known]
     bounds = np.searchsorted(row, np.arange(n + 1))
     past = [1e-6, np.full(len(used), 1e-6), np.full((len(used), FACTORS), 1e-6)]
     for _ in range(epochs):
@@ -130,14 +135,27 @@ def fit(flat: np.ndarray, offsets: np.ndarray, label: np.ndarray, epochs: int =
     return machine
 
 
+def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Terms to features, row by row."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, 500):
+            part = batch.slice(first, 500)
+            lists = part.column("_terms")
+            ends = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))])
+            found, row = features(lists.flatten().to_numpy(zero_copy_only=False), ends)
+            offsets = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=part.num_rows))]).astype(np.int32)
+            made = pa.ListArray.from_arrays(pa.array(offsets), pa.array(found.astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([part.column("_key"), part.column("_label"), made], ["_key", "_label", "_terms"])
+
+
 def learn(df: DataFrame, labels: DataFrame, key: str, text: str, label: str, learn_rows: int) -> Machine | None:
     """Fit on a sample of the labelled rows of at most about `learn_rows`, chosen by a hash of the key.
 
-    Only that bounded sample, as feature numbers, comes to the driver. The labelled rows are
+    Only that bounded sample, as distinct feature numbers, comes to the driver. The labelled rows are
     found by a join of keys, so unlabelled texts are hashed but never moved.
     """
     known = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull() & ~held_out(key)).select(
-        F.col(key).alias("_key"), F.col(label).cast("double").alias("_label")
+        F.col(key).alias("_key"), (F.col(label) > 0).cast("double").alias("_label")
     )
     share = min(1.0, learn_rows / max(1, known.count()))
     known = materialize(known.where(F.pmod(F.xxhash64(F.lit("learn"), "_key"), F.lit(1_000_000)) < round(share * 1e6)), "toxic-labels")
@@ -146,6 +164,7 @@ def learn(df: DataFrame, labels: DataFrame, key: str, text: str, label: str, lea
         .join(known, "_key")
         .select("_key", "_label", terms(F.col("_text")).alias("_terms"))
     )
+    sample = sample.mapInArrow(_featured, sample.schema)
     table = sample.toArrow().sort_by([("_key", "ascending"), ("_label", "ascending")])
     if not len(table):
         return None
