@@ -29,6 +29,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from clickloom.llm.text import once
 from clickloom.storage import materialize
 
 LEAST = 20
@@ -43,9 +44,9 @@ def row_key(key: str, text: str) -> Column:
 def lines_of(df: DataFrame, key: str, text: str) -> DataFrame:
     """`doc, line` and the order, class hashes and text of every line long enough."""
     line = F.btrim("line", F.lit(" \t\r\x0b\x0c"))
-    out = df.select(F.col(key).alias("id"), row_key(key, text).alias("doc"), F.col(text).alias("_t"))
+    out = df.select(F.col(key).alias("id"), row_key(key, text).alias("doc"), once(F.split(text, "\n")).alias("_lines"))
     return (
-        out.select("id", "doc", F.posexplode(F.split("_t", "\n")).alias("n", "line"))
+        out.select("id", "doc", F.posexplode("_lines").alias("n", "line"))
         .select("id", "doc", "n", line.alias("line"))
         .where(F.length("line") >= LEAST)
         .select(
@@ -111,7 +112,8 @@ def variants(suspects: DataFrame) -> DataFrame:
 def near_lines(df: DataFrame, key: str, text: str) -> DataFrame:
     """`cls, near`: the classes with an earlier neighbour, and where the earliest one stands."""
     lines = lines_of(df, key, text)
-    keyed = lines.select("at", "cls", F.explode(F.array_distinct(part_keys(F.col("line")))).alias("part"))
+    keyed = lines.select("at", "cls", once(F.array_distinct(part_keys(F.col("line")))).alias("parts"))
+    keyed = keyed.select("at", "cls", F.explode("parts").alias("part"))
     shared = materialize(
         keyed.groupBy("part").agg(F.min("cls").alias("one"), F.max("cls").alias("other"))
         .where("one != other").select("part"),

@@ -41,6 +41,15 @@ def adjacent(array: Column, step: int) -> Column:
     return F.zip_with(head(array, step), tail(array, step), lambda a, b: F.xxhash64(a, b))
 
 
+def once(value: Column) -> Column:
+    """The same value, which the optimizer neither copies into filters nor computes again.
+
+    A condition on a column is otherwise moved below the projection that makes it, and with it
+    everything the column is computed from, once for each time it is named there.
+    """
+    return F.when(F.monotonically_increasing_id() >= 0, value)
+
+
 def with_shingles(df: DataFrame, words_column: str, n: int, name: str) -> DataFrame:
     """Add the distinct n-word shingles of a word array as 64-bit hashes.
 
@@ -59,9 +68,5 @@ def with_shingles(df: DataFrame, words_column: str, n: int, name: str) -> DataFr
         out = out.withColumn(name, adjacent(F.col(name), step))
     whole = F.array(F.xxhash64(F.lit("whole"), F.concat_ws(" ", words_column)))
     size = F.size(words_column)
-    return out.withColumn(
-        name,
-        F.when(size >= n, F.array_distinct(name))
-        .when(size > 0, whole)
-        .otherwise(F.array().cast("array<bigint>")),
-    )
+    found = F.when(size >= n, F.array_distinct(name)).when(size > 0, whole)
+    return out.withColumn(name, once(found.otherwise(F.array().cast("array<bigint>"))))
