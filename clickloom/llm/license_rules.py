@@ -278,6 +278,6 @@ def parse(table: str = TABLE) -> list[Rule]:
     rules = []
     for line in table.strip().splitlines():
         label, priority, confidence, keyword, regex = line.split("|", 4)
-        pattern = re.compile(f"(?<! )(?<=^)?".replace("(?<! )(?<=^)?", "") + f"(?:(?<= )|^)(?:{regex})(?= |$)")
+        pattern = re.compile(f"(?:(?<= )|^)(?:{regex})(?= |$)")
         rules.append(Rule(label, int(priority), int(confidence) / 100, keyword, pattern))
     return rules

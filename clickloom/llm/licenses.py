@@ -43,10 +43,20 @@ def phrase_places(words: bytes) -> list[tuple[str, int]]:
     padded, out = b" " + words + b" ", []
     for phrase, label in PHRASES.items():
         needle = b" " + phrase.encode() + b" "
-        at = padded.find(needle)
+        at, last, number = padded.find(needle), 0, 0
         while at >= 0:
-            out.append((label, padded.count(b" ", 0, at)))
-            at = padded.find(needle, at + 1)
+            number += padded.count(b" ", last, at)
+            out.append((label, number))
+            last, at = at, padded.find(needle, at + 1)
+    return out
+
+
+def word_numbers(words: str, places: set[int]) -> dict[int, int]:
+    """The number of the word at each place: the blanks before it, counted in one pass."""
+    out, last, number = {}, 0, 0
+    for at in sorted(places):
+        number += words.count(" ", last, at)
+        out[at], last = number, at
     return out
 
 
@@ -98,8 +108,10 @@ class Scanner:
             for i in sorted(numbers)
             for m in self.rules[i].pattern.finditer(words)
         ]
+        kept = resolve(hits)
+        number = word_numbers(words, {at for a, b, _ in kept for at in (a, b)})
         return sorted(
-            ((words.count(" ", 0, a), words.count(" ", 0, b) + 1, rule) for a, b, rule in resolve(hits)),
+            ((number[a], number[b] + 1, rule) for a, b, rule in kept),
             key=lambda d: (d[0], d[1], d[2].label),
         )
 
