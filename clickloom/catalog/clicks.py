@@ -13,7 +13,7 @@ DISTINCT = [
 ]
 
 TRAIN_DAYS = "day < 23"
-VALID_DAY = "day = 23"
+VALID_DAYS = "day >= 23"
 
 
 def _columns() -> list[str]:

@@ -77,7 +77,7 @@ def csv_days(spark, sf):
 
 def sampled_read(spark, sf):
     df = scan_delimited(spark, write_days(spark, sf), recursive=True)
-    return sample_rows(df, 500_000).agg(F.count("*").alias("n"))
+    return sample_rows(df, 5_000).agg(F.count("*").alias("n"))
 
 
 def union_of_days(spark, sf):
@@ -129,7 +129,7 @@ def load_validate(spark, sf):
     root, name = write_days(spark, sf), _database(spark, "db")
     return load_and_validate(
         spark,
-        {"train": day_range(root, 0, 22, DAYS), "valid": day_range(root, 23, 23, DAYS)},
+        {"train": day_range(root, 0, 22, DAYS), "valid": day_range(root, 23, 29, DAYS)},
         {"train": f"{name}.train", "valid": f"{name}.valid"},
     )["row_counts"]
 
@@ -183,7 +183,7 @@ def preprocess_job(spark, sf):
     done = preprocess_files(
         spark,
         day_range(root, 0, 22, DAYS),
-        day_range(root, 23, 23, DAYS),
+        day_range(root, 23, 29, DAYS),
         scratch_path(spark, "job"),
         files={"train": 4, "valid": 2},
         shuffle="PER_PARTITION",
@@ -225,14 +225,14 @@ SQL = {
     "csv_missing_path": _RECORDS,
     "csv_inferred": f"SELECT label, {', '.join(CONTS)} FROM ({clicks_sql()})",
     "csv_days": f"{_RECORDS} WHERE {TRAIN_DAYS}",
-    "sampled_read": f"SELECT least(500000, count(*)) AS n FROM ({clicks_sql()})",
+    "sampled_read": f"SELECT least(5000, count(*)) AS n FROM ({clicks_sql()})",
     "union_days": _VIEW,
     "csv_to_parquet": _RECORDS,
     "orc_scan": _VIEW,
     "table_roundtrip": _VIEW,
     "table_scan": f"SELECT day, count(*) AS n FROM ({clicks_sql()}) GROUP BY day",
     "load_validate": "SELECT CASE WHEN day < 23 THEN 'train' ELSE 'valid' END AS split, "
-    f"count(*) AS n FROM ({clicks_sql()}) WHERE day <= 23 GROUP BY 1",
+    f"count(*) AS n FROM ({clicks_sql()}) GROUP BY 1",
     "shuffle_none": _VIEW,
     "shuffle_full": _VIEW,
     "shuffle_partition": _VIEW,
@@ -272,6 +272,6 @@ SQL = {
         + ")",
         "vocab AS (SELECT col, value, row_number() OVER (PARTITION BY col ORDER BY n DESC, value) "
         "AS code FROM counts)",
-        "splits AS (SELECT * FROM clicks WHERE day <= 23)",
+        "splits AS (SELECT * FROM clicks)",
     ),
 }

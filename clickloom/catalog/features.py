@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from clickloom.catalog.clicks import TRAIN_DAYS, VALID_DAY, clicks
+from clickloom.catalog.clicks import TRAIN_DAYS, VALID_DAYS, clicks
 from clickloom.catalog.sqltext import (
     coded,
     counts_cte,
@@ -16,6 +16,7 @@ from clickloom.catalog.sqltext import (
     vocab_ctes,
     with_clicks,
 )
+from clickloom.operators.lookup import Limits
 from clickloom.operators.vocab import (
     Vocabulary,
     cardinality_table,
@@ -109,6 +110,16 @@ def categorify(spark, sf):
     return vocab.encode(int_clicks(spark, sf).select("event_id", *CATS))
 
 
+#: Nothing fits a broadcast but the four most frequent values of a column, and what has a quarter of the rows.
+TAIL_LIMITS = Limits(column_bytes=0, total_bytes=0, head_entries=4, hot_rows=1)
+
+
+def categorify_tail(spark, sf):
+    """`categorify` where every vocabulary is too large to broadcast."""
+    vocab = _train_vocab(spark, sf)
+    return vocab.encode(int_clicks(spark, sf).select("event_id", *CATS), limits=TAIL_LIMITS)
+
+
 def categorify_string(spark, sf):
     df = clicks(spark, sf).select("event_id", "day", *CATS)
     vocab = Vocabulary.fit(df.where(TRAIN_DAYS), CATS)
@@ -137,7 +148,7 @@ def categorify_lineitem(spark, sf):
 def unseen(spark, sf):
     df = int_clicks(spark, sf)
     vocab = Vocabulary.fit(df.where(TRAIN_DAYS), CATS)
-    return unseen_values(df.where(VALID_DAY), vocab.table, CATS)
+    return unseen_values(df.where(VALID_DAYS), vocab.table, CATS)
 
 
 def fitted_workflow(spark, sf) -> FittedWorkflow:
@@ -155,7 +166,7 @@ def workflow_train(spark, sf):
 
 
 def workflow_valid(spark, sf):
-    return _workflow(spark, sf, VALID_DAY)
+    return _workflow(spark, sf, VALID_DAYS)
 
 
 def workflow_all(spark, sf):
@@ -251,6 +262,7 @@ QUERIES = {
     "cardinalities": cardinalities,
     "slot_offsets": offsets,
     "categorify": categorify,
+    "categorify_tail": categorify_tail,
     "categorify_string": categorify_string,
     "categorify_topn": categorify_topn,
     "categorify_lineitem": categorify_lineitem,
@@ -354,6 +366,7 @@ SQL = {
         counts_cte("train", CATS),
     ),
     "categorify": _categorify_sql(True),
+    "categorify_tail": _categorify_sql(True),
     "categorify_string": _categorify_sql(False),
     "categorify_topn": _categorify_sql(True, 100),
     "categorify_lineitem": _lineitem_sql(),
@@ -361,12 +374,12 @@ SQL = {
         "SELECT v.col, CAST(v.value AS BIGINT) AS value, v.n FROM seen v LEFT JOIN counts t ON t.col = v.col "
         "AND t.value = v.value WHERE t.col IS NULL",
         True,
-        f"valid AS (SELECT * FROM clicks WHERE {VALID_DAY})",
+        f"valid AS (SELECT * FROM clicks WHERE {VALID_DAYS})",
         counts_cte("train", CATS),
         counts_cte("valid", CATS, "seen"),
     ),
     "workflow_train": _workflow_sql(TRAIN_DAYS),
-    "workflow_valid": _workflow_sql(VALID_DAY),
+    "workflow_valid": _workflow_sql(VALID_DAYS),
     "workflow_all": _workflow_sql(None),
     "workflow_reload": _workflow_sql(None),
     "filter_outliers": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders "

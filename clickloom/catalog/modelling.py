@@ -5,10 +5,10 @@ from __future__ import annotations
 from functools import cache
 
 import numpy as np
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
-from clickloom.catalog.clicks import TRAIN_DAYS, VALID_DAY, clicks, clicks_sql
-from clickloom.catalog.features import LIST_CTES, fitted_workflow, int_clicks, lists
+from clickloom.catalog.clicks import TRAIN_DAYS, VALID_DAYS, clicks, clicks_sql
+from clickloom.catalog.features import LIST_CTES, TAIL_LIMITS, fitted_workflow, int_clicks, lists
 from clickloom.catalog.sqltext import rounded, transformed_ctes, with_clicks
 from clickloom.model import network
 from clickloom.model.deepfm import DeepFM, score, score_raw
@@ -25,6 +25,7 @@ from clickloom.operators.embedding import (
     linear_term,
     slot_keys,
 )
+from clickloom.operators.lookup import Limits
 from clickloom.operators.ordering import first_rows
 from clickloom.operators.vocab import encode_lists, fit_lists
 from clickloom.plans.ops import Categorify, Clip, FillMissing, Normalize
@@ -122,12 +123,12 @@ def fm_logit(spark, sf):
     return _fm_logits(spark, sf).select("event_id", "label", rounded_to("logit"))
 
 
-def embedding_sum(spark, sf):
+def embedding_sum(spark, sf, limits=Limits()):
     df = lists(spark, sf)
     vocab = fit_lists(df.where(TRAIN_DAYS), "M")
-    coded = encode_lists(df, vocab, "M", "event_id", nnz=2)
+    coded = encode_lists(df, vocab, "M", "event_id", limits=limits)
     table = fixed_vector(slot_keys(vocab.table, ["M"]))
-    summed = Embeddings.of(table, ["M"]).lookup_sum(coded, "M", "M", "event_id")
+    summed = Embeddings.of(table, ["M"]).lookup_sum(coded, "M", "M", "event_id", limits)
     return summed.select(
         "event_id", *[(F.round(F.col("M__vec")[j], 4) + 0.0).alias(f"v{j}") for j in range(VECTOR)]
     )
@@ -155,6 +156,38 @@ def eval_capped(spark, sf):
     return metrics.auc(scored, "s", "label").select(rounded_to("auc", 6), "n_pos", "n_neg")
 
 
+def eval_capped_later(spark, sf):
+    """The same over all but 37 records, so that the cap lies within the last slice of keys."""
+    rows = clicks(spark, sf)
+    capped = first_rows(rows, "event_id", rows.count() - 37)
+    scored = capped.select("label", F.coalesce("I3", F.lit(0)).alias("s"))
+    return metrics.auc(scored, "s", "label").select(rounded_to("auc", 6), "n_pos", "n_neg")
+
+
+def best_column(spark, sf):
+    """Each count as a score of its own: its AUC, where a null counts as 0."""
+    df = clicks(spark, sf)
+    out = None
+    for c in CONTS:
+        one = metrics.auc(df.select("label", F.coalesce(c, F.lit(0)).alias("s")), "s", "label")
+        one = one.select(F.lit(c).alias("col"), rounded_to("auc", 6))
+        out = one if out is None else out.unionByName(one)
+    return out.withColumn("place", F.row_number().over(Window.orderBy(F.desc("auc"), "col")))  # a row per column
+
+
+def embedding_sum_tail(spark, sf):
+    """`embedding_sum` where the vocabulary is too large to broadcast."""
+    return embedding_sum(spark, sf, TAIL_LIMITS)
+
+
+def score_table_tail(spark, sf):
+    """`score_table` where the embeddings are too large to broadcast."""
+    fitted = fitted_workflow(spark, sf)
+    rows = fitted.transform(int_clicks(spark, sf), "event_id")
+    scored = score(rows, model_of(fitted, NARROW), ["event_id"], "event_id", TAIL_LIMITS)
+    return scored.select("event_id", rounded_to("logit"), rounded_to("score"))
+
+
 NARROW = (4, 3)
 
 
@@ -259,7 +292,7 @@ def _small_split(spark, sf):
     ).fit(train)
     splits = [
         materialize(fitted.transform(df, "event_id"), "split")
-        for df in (train, planted.where(VALID_DAY))
+        for df in (train, planted.where(VALID_DAYS))
     ]
     return (*splits, fitted)
 
@@ -300,6 +333,10 @@ def trials_best(spark, sf):
 
 QUERIES = {
     "embedding_sum": embedding_sum,
+    "embedding_sum_tail": embedding_sum_tail,
+    "score_table_tail": score_table_tail,
+    "eval_capped_later": eval_capped_later,
+    "best_column": best_column,
     "fm_order2": fm_order2_query,
     "linear_term": linear_query,
     "fm_logit": fm_logit,
@@ -389,7 +426,19 @@ _RESPONSES = with_clicks(
     *_tower_ctes(),
 )
 
+_BEST = " UNION ALL ".join(
+    f"SELECT '{c}' AS col, auc FROM ({_auc_sql(f'SELECT label, coalesce({c}, 0) AS s FROM ({clicks_sql()})')})"
+    for c in CONTS
+)
+
 SQL = {
+    "best_column": "SELECT col, auc, CAST(row_number() OVER (ORDER BY auc DESC, col) AS INTEGER) AS place "
+    f"FROM ({_BEST})",
+    "eval_capped_later": _auc_sql(
+        f"SELECT label, coalesce(I3, 0) AS s FROM ({clicks_sql()}) "
+        "QUALIFY row_number() OVER (ORDER BY event_id) <= count(*) OVER () - 37"
+    ),
+    "score_table_tail": _SCORES,
     "embedding_sum": with_clicks(
         "SELECT c.event_id, "
         + ", ".join(f"round(coalesce(l.v{j}, 0.0::DOUBLE), 4) + 0.0 AS v{j}" for j in range(VECTOR))
@@ -437,3 +486,4 @@ SQL = {
     "score_requests": _RESPONSES,
     "score_stream": _RESPONSES,
 }
+SQL["embedding_sum_tail"] = SQL["embedding_sum"]

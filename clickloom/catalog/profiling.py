@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from clickloom.catalog.clicks import TRAIN_DAYS, VALID_DAY, clicks, clicks_sql, hex_sql
+from clickloom.catalog.clicks import TRAIN_DAYS, VALID_DAYS, clicks, clicks_sql, hex_sql
 from clickloom.catalog.sqltext import rounded, with_clicks
 from clickloom.operators import profile
 from clickloom.schema import categorical_columns, continuous_columns, label_columns, rename_scheme
@@ -29,8 +29,8 @@ def rename(spark, sf):
 def _splits(spark, sf):
     df = clicks(spark, sf)
     return df.withColumn(
-        "split", F.expr(f"CASE WHEN {TRAIN_DAYS} THEN 'train' WHEN {VALID_DAY} THEN 'valid' END")
-    ).where("split IS NOT NULL")
+        "split", F.expr(f"CASE WHEN {TRAIN_DAYS} THEN 'train' WHEN {VALID_DAYS} THEN 'valid' END")
+    )
 
 
 def row_counts(spark, sf):
@@ -117,7 +117,7 @@ SQL = {
     + ", ".join(f"C{k} AS cat_feature_{k}" for k in range(1, 27))
     + f" FROM ({clicks_sql()})",
     "row_counts": f"SELECT CASE WHEN {TRAIN_DAYS} THEN 'train' ELSE 'valid' END AS split, "
-    f"count(*) AS n FROM ({clicks_sql()}) WHERE {TRAIN_DAYS} OR {VALID_DAY} GROUP BY 1",
+    f"count(*) AS n FROM ({clicks_sql()}) GROUP BY 1",
     "label_counts": f"SELECT label, count(*) AS n FROM ({clicks_sql()}) GROUP BY label",
     "label_percent": with_clicks(
         "SELECT label, round(count(*) / CAST((SELECT count(*) FROM clicks) AS DOUBLE) * 100, 2) "

@@ -2,8 +2,8 @@
 
 The side table holds `(name, value, rank, payload)`: one entry per looked-up column and
 value, `rank` ascending from the most frequent value. Columns whose entries fit the
-broadcast budget are joined by broadcast, without a shuffle. The others share one narrow
-shuffled join, in which frequent values never take part in the shuffle.
+broadcast budget are joined by broadcast, without a shuffle. In the others frequent values are
+settled in the same way, and the values left over share one narrow shuffled join.
 """
 
 from __future__ import annotations
@@ -73,96 +73,107 @@ def lookup(
     to broadcast, the frame is written out once with a key of its own, so that the result is
     the same on either way, whatever `key` the caller has.
     """
-    value_type = side.entries.schema["value"].dataType
     small_names = set(side.broadcastable(sorted(set(columns.values())), limits))
-    small = [c for c in columns if columns[c] in small_names]
-    large = [c for c in columns if columns[c] not in small_names]
-
-    out = df
-    if large:
-        key = "_lookup_key"  # the caller's may repeat, and a join back needs one row each
-        out = materialize(out.withColumn(key, F.monotonically_increasing_id()), "keyed")
-        hits = _shuffled_hits(out, side, {c: columns[c] for c in large}, found, key, limits)
-        out = out.join(hits, key, "left").drop(key)
-    if small:
-        out = _broadcast_join(out, side, {c: columns[c] for c in small}, found)
-    return out
+    small = {c: n for c, n in columns.items() if n in small_names}
+    large = {c: n for c, n in columns.items() if n not in small_names}
+    out = _large_lookup(df, side.entries, large, found, limits) if large else df
+    return _broadcast_join(out, side.entries, small, {c: found.format(c) for c in small}) if small else out
 
 
 def _broadcast_join(
-    df: DataFrame, side: SideTable, columns: dict[str, str], found: str
+    df: DataFrame, entries: DataFrame, columns: dict[str, str], added: dict[str, str]
 ) -> DataFrame:
-    """One left join per column against its own entries.
+    """One left join per column against its own entries; `added` names the new columns.
 
     All in one statement: dozens of joins are then analysed once, not once per join.
     """
-    kind = side.entries.schema["value"].dataType.simpleString()
-    joins, added, hints = [], [], []
+    kind = entries.schema["value"].dataType.simpleString()
+    joins, new = [], []
     for i, (column, name) in enumerate(columns.items()):
         joins.append(
-            f"LEFT JOIN (SELECT value, payload FROM {{entries}} WHERE name = '{name}') v{i} "
-            f"ON CAST(r.`{column}` AS {kind}) = v{i}.value"
+            f"LEFT JOIN (SELECT value, payload FROM {{entries}} WHERE name = {_text(name)}) v{i} "
+            f"ON CAST(r.{_quoted(column)} AS {kind}) = v{i}.value"
         )
-        added.append(f"v{i}.payload AS `{found.format(column)}`")
-        hints.append(f"v{i}")
+        new.append(f"v{i}.payload AS {_quoted(added[column])}")
+    hints = ", ".join(f"v{i}" for i in range(len(columns)))
     return df.sparkSession.sql(
-        f"SELECT /*+ BROADCAST({', '.join(hints)}) */ r.*, {', '.join(added)} "
-        f"FROM {{rows}} r {' '.join(joins)}",
+        f"SELECT /*+ BROADCAST({hints}) */ r.*, {', '.join(new)} FROM {{rows}} r {' '.join(joins)}",
         rows=df,
-        entries=side.entries,
+        entries=entries,
     )
 
 
-def _shuffled_hits(
-    df: DataFrame,
-    side: SideTable,
-    columns: dict[str, str],
-    found: str,
-    key: str,
-    limits: Limits,
-) -> DataFrame:
-    """`(key, payload per column)` for the rows with at least one hit."""
-    value_type = side.entries.schema["value"].dataType
-    named = [F.col(c).cast(value_type).alias(c) for c in columns]
+def _quoted(column: str) -> str:
+    return "`" + column.replace("`", "``").replace("{", "{{").replace("}", "}}") + "`"
+
+
+def _text(value: str) -> str:
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return "'" + escaped.replace("{", "{{").replace("}", "}}") + "'"
+
+
+def _pairs(df: DataFrame, key: str, columns: dict[str, str], values: list[Column]) -> DataFrame:
+    """`(key, column, name, value)` of the values that are not null."""
     names = F.create_map(*[F.lit(x) for pair in columns.items() for x in pair])
-    long = (
-        df.select(key, *named)
+    return (
+        df.select(key, *values)
         .unpivot([key], list(columns), "column", "value")
         .where(F.col("value").isNotNull())
         .withColumn("name", names[F.col("column")])
     )
-    entries = side.entries.where(F.col("name").isin(sorted(set(columns.values()))))
 
-    # Frequent values are settled by broadcast: the head of the side table, at most
-    # `head_entries` per column, and up to `head_entries` more that are frequent in this
-    # input. All others, which are then small shares of the rows, take the shuffled join.
+
+def _front(keyed: DataFrame, key: str, entries: DataFrame, columns: dict[str, str], limits: Limits) -> DataFrame:
+    """Entries of the values worth a broadcast; unseen ones have an empty payload.
+
+    They are the head of the side table, at most `head_entries` per column, and the values that
+    are frequent in this input. Those have more than one in `head_entries` of the rows, so there
+    cannot be more than that per column, and no other value is a large share of the rows.
+    """
+    kind = entries.schema["value"].dataType
     head = entries.where(F.col("rank") <= limits.head_entries).select("name", "value", "payload")
+    pairs = _pairs(keyed, key, columns, [F.col(c).cast(kind).alias(c) for c in columns])
+    share = keyed.count() // limits.head_entries + 1
     hot = materialize(
-        long.join(F.broadcast(head), ["name", "value"], "left_anti")
+        pairs.join(F.broadcast(head.select("name", "value")), ["name", "value"], "left_anti")
         .groupBy("name", "value")
         .count()
-        .where(F.col("count") >= limits.hot_rows)
-        .orderBy(F.desc("count"), "name", "value")
-        .limit(limits.head_entries)
+        .where(F.col("count") >= max(limits.hot_rows, share))
         .select("name", "value"),
         "hot",
     )
     known = entries.join(F.broadcast(hot), ["name", "value"]).select("name", "value", "payload")
-    hot = hot.join(known, ["name", "value"], "left")  # an unseen one settles without a payload
-    front = head.unionByName(hot)
+    both = head.unionByName(hot.join(known, ["name", "value"], "left"))
+    return both.select("name", "value", F.struct("payload").alias("payload"))
+
+
+def _large_lookup(
+    df: DataFrame, entries: DataFrame, columns: dict[str, str], found: str, limits: Limits
+) -> DataFrame:
+    """Frequent values are settled in place by broadcast; only the others are shuffled.
+
+    The frame is written once, with a key of its own, because a join back needs one row each.
+    A value without an entry needs no row of the shuffled join.
+    """
+    key, kind = "_lookup_key", entries.schema["value"].dataType
+    keyed = materialize(df.withColumn(key, F.monotonically_increasing_id()), "keyed")
+    entries = entries.where(F.col("name").isin(sorted(set(columns.values()))))
+    front = materialize(_front(keyed, key, entries, columns, limits), "front")
+    settled_as = {c: f"_front_{i}" for i, c in enumerate(columns)}
+    late_as = {c: f"_late_{i}" for i, c in enumerate(columns)}
+    settled = _broadcast_join(keyed, front, columns, settled_as)
+    open_ = [F.when(F.col(settled_as[c]).isNull(), F.col(c).cast(kind)).alias(c) for c in columns]
     tail = entries.where(F.col("rank") > limits.head_entries).select("name", "value", "payload")
-    settled = long.join(F.broadcast(front), ["name", "value"]).where(F.col("payload").isNotNull())
-    # Inner on purpose: a value without an entry needs no row, the caller joins back by key.
-    rest = long.join(F.broadcast(front), ["name", "value"], "left_anti").join(
-        tail, ["name", "value"]
-    )
-    wanted = [key, "column", "payload"]
-    return (
-        settled.select(*wanted)
-        .unionByName(rest.select(*wanted))
+    late = (
+        _pairs(settled, key, columns, open_)
+        .join(tail, ["name", "value"])
         .groupBy(key)
-        .agg(*[_only(c).alias(found.format(c)) for c in columns])
+        .agg(*[_only(c).alias(late_as[c]) for c in columns])
     )
+    payloads = [
+        F.coalesce(F.col(settled_as[c])["payload"], F.col(late_as[c])).alias(found.format(c)) for c in columns
+    ]
+    return settled.join(late, key, "left").select(*df.columns, *payloads)
 
 
 def _only(column: str) -> Column:

@@ -61,21 +61,23 @@ def running_total(
 def first_rows(df: DataFrame, key: str, rows: int) -> DataFrame:
     """The `rows` rows with the smallest unique keys, for limits too large for one task.
 
-    Only the key column is sorted; the frame itself is filtered by the key found, and the
-    filter reaches the Parquet scan.
+    Only the key column is sorted, slice by slice, to find the last key wanted; the frame
+    itself is filtered by that key, and the filter reaches the Parquet scan.
     """
+    if rows <= 0:
+        return df.limit(0)
     sliced = ordered_slices(df.select(key), [F.col(key).asc()], "first-rows")
     sizes = sliced.groupBy(SLICE).count().orderBy(SLICE).collect()  # one row per slice
     before = 0
     for size in sizes:
         if before + size["count"] >= rows:
+            inside = Window.partitionBy(SLICE).orderBy(key)
             nth = (
                 sliced.where(F.col(SLICE) == size[SLICE])
-                .orderBy(key)
-                .offset(rows - before - 1)
-                .limit(1)
-                .collect()
+                .withColumn("_nth", F.row_number().over(inside))
+                .where(F.col("_nth") == rows - before)
+                .first()
             )
-            return df.where(F.col(key) <= F.lit(nth[0][key])) if nth else df.limit(0)
+            return df.where(F.col(key) <= F.lit(nth[key]))
         before += size["count"]
     return df
