@@ -4,14 +4,14 @@ from __future__ import annotations
 
 import warnings
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from clickloom.catalog.clicks import TRAIN_DAYS, clicks, clicks_sql, int_clicks_sql
 from clickloom.catalog.features import fitted_workflow, int_clicks
-from clickloom.catalog.sqltext import counts_cte, with_clicks
+from clickloom.catalog.sqltext import counts_cte, rounded, transformed_ctes, with_clicks
 from clickloom.operators.shuffle import assign_batches, shuffle_rows
-from clickloom.plans.jobs import load_and_validate, preprocess_files
-from clickloom.schema import categorical_columns, continuous_columns, label_columns
+from clickloom.plans.jobs import load_and_validate, preprocess_files, preprocess_tables
+from clickloom.schema import categorical_columns, columns_named, continuous_columns, label_columns, rename_scheme
 from clickloom.sources.scans import (
     day_range,
     decode_categoricals,
@@ -22,6 +22,7 @@ from clickloom.sources.scans import (
     scan_orc,
     scan_parquet,
     scan_table,
+    union_days,
     with_row_key,
 )
 from clickloom.sources.sinks import (
@@ -32,7 +33,7 @@ from clickloom.sources.sinks import (
     write_sidecar,
     write_split,
 )
-from clickloom.storage import scratch_path
+from clickloom.storage import materialize, scratch_path
 
 CATS, CONTS = categorical_columns(), continuous_columns()
 RECORD = [*label_columns(), *CONTS, *CATS]
@@ -124,14 +125,54 @@ def table_scan(spark, sf):
     return scan_table(spark, name).groupBy("day").agg(F.count("*").alias("n"))
 
 
-def load_validate(spark, sf):
-    """Raw day files to train and valid tables, then their row counts."""
+def _loaded(spark, sf) -> tuple[dict, dict]:
+    """Raw day files in train and valid tables: what the load reports, and the tables' names."""
     root, name = write_days(spark, sf), _database(spark, "db")
-    return load_and_validate(
-        spark,
-        {"train": day_range(root, 0, 22, DAYS), "valid": day_range(root, 23, 29, DAYS)},
-        {"train": f"{name}.train", "valid": f"{name}.valid"},
-    )["row_counts"]
+    tables = {"train": f"{name}.train", "valid": f"{name}.valid"}
+    paths = {"train": day_range(root, 0, 22, DAYS), "valid": day_range(root, 23, 29, DAYS)}
+    return load_and_validate(spark, paths, tables), tables
+
+
+def load_validate(spark, sf):
+    return _loaded(spark, sf)[0]["row_counts"]
+
+
+def load_validate_labels(spark, sf):
+    report, _ = _loaded(spark, sf)
+    return report["label_counts"].join(report["label_percent"], "label")
+
+
+def load_validate_preview(spark, sf):
+    return _loaded(spark, sf)[0]["preview"]
+
+
+def table_types(spark, sf):
+    """The training table as loaded, in the types of the table form."""
+    return scan_table(spark, _loaded(spark, sf)[1]["train"])
+
+
+def prepare_tables(spark, sf, out: str):
+    """The table job over the loaded tables."""
+    _, tables = _loaded(spark, sf)
+    return preprocess_tables(
+        spark, tables["train"], tables["valid"], out, files={"train": 4, "valid": 2}, shuffle="PER_PARTITION"
+    )
+
+
+def _both_splits(spark, done):
+    both = scan_manifest(spark, done.train_dir).unionByName(scan_manifest(spark, done.valid_dir))
+    return both.select(*CATS, *[(F.round(F.col(c).cast("double"), 4) + 0.0).alias(c) for c in CONTS], "label")
+
+
+def table_job(spark, sf):
+    """The whole table job: tables in, all columns of both transformed splits out."""
+    return _both_splits(spark, prepare_tables(spark, sf, scratch_path(spark, "job")))
+
+
+def cat_columns(spark, sf):
+    """Columns chosen by a part of their name."""
+    df = rename_scheme(clicks(spark, sf), "table")
+    return df.select("event_id", *columns_named(df, "cat"))
 
 
 def _shuffled(mode, **options):
@@ -143,9 +184,36 @@ def _shuffled(mode, **options):
 
 
 def batch_sizes(spark, sf):
-    batched = assign_batches(clicks(spark, sf), "event_id", 16)
-    sizes = batched.groupBy("batch").agg(F.count("*").alias("n"))
-    return sizes.agg(F.sum("n").alias("n_rows"), F.count("*").alias("batches"))
+    """Rows of each mini-batch, in two epochs."""
+    df = clicks(spark, sf).select("event_id")
+    epochs = [assign_batches(df, "event_id", 16, e).select(F.lit(e).alias("epoch"), "batch") for e in (0, 1)]
+    return union_days(epochs).groupBy("epoch", "batch").agg(F.count("*").alias("n"))
+
+
+def shuffle_checks(spark, sf):
+    """Per mode: rows, partitions that hold some, and whether keys still ascend in any of them."""
+    given = clicks(spark, sf).select("event_id").repartitionByRange(4, "event_id").sortWithinPartitions("event_id")
+    before = materialize(given, "ordered")
+    modes = {"none": None, "PER_PARTITION": None, "PER_WORKER": 2, "FULL": 6}
+    checks = []
+    for mode, parts in modes.items():
+        moved = shuffle_rows(
+            before, None if mode == "none" else mode, 7, parts if mode == "FULL" else None,
+            parts if mode == "PER_WORKER" else None, "event_id",
+        )
+        place = moved.select(
+            "event_id", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("at")
+        )
+        earlier = F.lag("event_id").over(Window.partitionBy("part").orderBy("at"))
+        fell = materialize(place, "placed").withColumn("fell", F.coalesce(F.col("event_id") < earlier, F.lit(False)))
+        sizes = fell.groupBy("part").agg(F.count("*").alias("n"), F.max("fell").alias("fell"))
+        checks.append(
+            sizes.agg(F.sum("n").alias("n"), F.count("*").alias("parts"), F.max("fell").alias("fell")).select(
+                F.lit(mode).alias("mode"), "n", *([F.col("parts")] if parts else [F.lit(None).cast("bigint").alias("parts")]),
+                (~F.col("fell")).alias("in_order"),
+            )
+        )
+    return union_days(checks)
 
 
 def _transformed(spark, sf) -> tuple:
@@ -192,6 +260,14 @@ def preprocess_job(spark, sf):
     return both.unpivot([], CATS, "col", "code").groupBy("col", "code").agg(F.count("*").alias("n"))
 
 
+def preprocess_rows(spark, sf):
+    """All columns of both splits of the file job, which here reads days as one recursive path each."""
+    root = write_days(spark, sf)
+    out = scratch_path(spark, "job")
+    done = preprocess_files(spark, day_range(root, 0, 22, DAYS), day_range(root, 23, 29, DAYS), out)
+    return _both_splits(spark, done)
+
+
 QUERIES = {
     "csv_scan": csv_scan,
     "csv_recursive": csv_recursive,
@@ -214,12 +290,51 @@ QUERIES = {
     "manifest_rows": manifest_rows,
     "manifest_scan": manifest_scan,
     "preprocess_job": preprocess_job,
+    "preprocess_rows": preprocess_rows,
+    "table_job": table_job,
+    "table_types": table_types,
+    "load_validate_labels": load_validate_labels,
+    "load_validate_preview": load_validate_preview,
+    "cat_columns": cat_columns,
+    "shuffle_checks": shuffle_checks,
 }
 
 _RECORDS = f"SELECT {', '.join(RECORD)} FROM ({int_clicks_sql()})"
 _VIEW = f"SELECT event_id, {', '.join(RECORD)} FROM ({clicks_sql()})"
 
+_TABLE_FORM = ", ".join(
+    ["CAST(label AS BIGINT) AS label"]
+    + [f"CAST({c} AS BIGINT) AS num_feature_{k}" for k, c in enumerate(CONTS, 1)]
+    + [f"{c} AS cat_feature_{k}" for k, c in enumerate(CATS, 1)]
+)
+_DONE = f"SELECT {', '.join(CATS)}, {', '.join(f'{rounded(c)} AS {c}' for c in CONTS)}, label FROM done"
+
+
+def _batch_sql(epoch: int) -> str:
+    digest = f"md5(concat(event_id, ':{epoch}'))"
+    return (
+        f"SELECT {epoch} AS epoch, CAST(CAST('0x' || substr({digest}, 1, 8) AS BIGINT) % 16 AS INTEGER) AS batch, "
+        "count(*) AS n FROM events GROUP BY 1, 2"
+    )
+
+
 SQL = {
+    "preprocess_rows": with_clicks(_DONE, True, *transformed_ctes()),
+    "table_job": with_clicks(_DONE, False, *transformed_ctes()),
+    "table_types": f"SELECT {_TABLE_FORM} FROM ({clicks_sql()}) WHERE {TRAIN_DAYS}",
+    "load_validate_labels": with_clicks(
+        "SELECT CAST(label AS BIGINT) AS label, count(*) AS n, round(count(*) / CAST((SELECT count(*) FROM train) "
+        "AS DOUBLE) * 100, 2) AS percentage FROM train GROUP BY label",
+        False,
+    ),
+    "load_validate_preview": f"SELECT {_TABLE_FORM} FROM ({clicks_sql()}) WHERE {TRAIN_DAYS} ORDER BY "
+    + ", ".join(f"{c} NULLS FIRST" for c in RECORD)
+    + " LIMIT 10",
+    "cat_columns": "SELECT event_id, "
+    + ", ".join(f"{c} AS cat_feature_{k}" for k, c in enumerate(CATS, 1))
+    + f" FROM ({clicks_sql()})",
+    "shuffle_checks": "SELECT mode, n, CAST(parts AS BIGINT) AS parts, mode = 'none' AS in_order FROM (SELECT count(*) AS n "
+    "FROM events), (VALUES ('none', NULL), ('PER_PARTITION', NULL), ('PER_WORKER', 2), ('FULL', 6)) m(mode, parts)",
     "csv_scan": _RECORDS,
     "csv_recursive": _RECORDS,
     "csv_missing_path": _RECORDS,
@@ -237,7 +352,7 @@ SQL = {
     "shuffle_full": _VIEW,
     "shuffle_partition": _VIEW,
     "shuffle_worker": _VIEW,
-    "batch_sizes": f"SELECT count(*) AS n_rows, CAST(16 AS BIGINT) AS batches FROM ({clicks_sql()})",
+    "batch_sizes": f"{_batch_sql(0)} UNION ALL {_batch_sql(1)}",
     "sidecar": with_clicks(
         "SELECT f.name, f.dtype, f.tags, k.cardinality FROM (VALUES "
         + ", ".join(

@@ -8,13 +8,13 @@ import numpy as np
 from pyspark.sql import Window, functions as F
 
 from clickloom.catalog.clicks import TRAIN_DAYS, VALID_DAYS, clicks, clicks_sql
+from clickloom.catalog.datasets import prepare_tables
 from clickloom.catalog.features import LIST_CTES, TAIL_LIMITS, fitted_workflow, int_clicks, lists
 from clickloom.catalog.sqltext import rounded, transformed_ctes, with_clicks
 from clickloom.model import network
 from clickloom.model.deepfm import DeepFM, score, score_raw
 from clickloom.model.fm import score_fm, train_fm
-from clickloom.model.search import best_trial, search
-from clickloom.model.training import Settings, log_table, train_deepfm
+from clickloom.model.fm_step import fm_step
 from clickloom.operators import metrics
 from clickloom.operators.embedding import (
     LATENT,
@@ -29,6 +29,7 @@ from clickloom.operators.lookup import Limits
 from clickloom.operators.ordering import first_rows
 from clickloom.operators.vocab import encode_lists, fit_lists
 from clickloom.plans.ops import Categorify, Clip, FillMissing, Normalize
+from clickloom.plans.jobs import load_package
 from clickloom.plans.workflow import Workflow
 from clickloom.schema import categorical_columns, continuous_columns
 from clickloom.storage import materialize, scratch_path
@@ -115,8 +116,7 @@ def linear_query(spark, sf):
 def _fm_logits(spark, sf):
     """Scores of the model without a tower: second-order term plus linear term."""
     fitted = fitted_workflow(spark, sf)
-    rows = fitted.transform(int_clicks(spark, sf), "event_id")
-    return score(rows, model_of(fitted, ()), ["event_id", "label"], "event_id")
+    return score_raw(int_clicks(spark, sf), fitted, model_of(fitted, ()), ["event_id", "label"], "event_id")
 
 
 def fm_logit(spark, sf):
@@ -164,6 +164,26 @@ def eval_capped_later(spark, sf):
     return metrics.auc(scored, "s", "label").select(rounded_to("auc", 6), "n_pos", "n_neg")
 
 
+def auc_nulls(spark, sf):
+    """Rows without a label or a score do not count."""
+    label = F.when(F.col("event_id") % 11 != 0, F.col("label"))
+    df = clicks(spark, sf).select(label.alias("label"), F.col("I3").alias("s"))
+    return metrics.auc(df, "s", "label").select(rounded_to("auc", 6), "n_pos", "n_neg")
+
+
+STEP = 0.5
+
+
+def fm_step_query(spark, sf):
+    """New weights after one step over the training split, from the fixed ones."""
+    fitted = fitted_workflow(spark, sf)
+    train = int_clicks(spark, sf).where(TRAIN_DAYS)
+    rows = embeddings_of(fitted).lookup(fitted.transform(train, "event_id"))
+    weights = [[*(fixed_weight(i, d) for d in range(LATENT)), fixed_linear(i)] for i in range(len(CONTS))]
+    stepped = fm_step(rows, CATS, CONTS, weights, train.count(), STEP)
+    return stepped.select("slot", "code", "j", rounded_to("value", 5))
+
+
 def best_column(spark, sf):
     """Each count as a score of its own: its AUC, where a null counts as 0."""
     df = clicks(spark, sf)
@@ -189,6 +209,7 @@ def score_table_tail(spark, sf):
 
 
 NARROW = (4, 3)
+WIDE = 400
 
 
 def score_table(spark, sf):
@@ -206,10 +227,11 @@ def score_raw_records(spark, sf):
 
 
 def mlp_forward(spark, sf):
-    """The full-width tower; checked against numpy in the tests."""
+    """The full-width tower."""
     fitted = fitted_workflow(spark, sf)
-    rows = fitted.transform(int_clicks(spark, sf), "event_id")
-    return score(rows, model_of(fitted, (400, 400, 400)), ["event_id"], "event_id")
+    model = model_of(fitted, (WIDE,) * 3)
+    scored = score_raw(int_clicks(spark, sf), fitted, model, ["event_id"], "event_id")
+    return scored.select("event_id", rounded_to("logit", 3), rounded_to("score"))
 
 
 def model_reload(spark, sf):
@@ -248,6 +270,36 @@ def rejected_requests(spark, sf):
     return requests.decode(shortened)[1]
 
 
+# Why the k-th kind of damaged request is rejected, in the order of `damaged`.
+REASONS = [
+    "no inputs", "malformed input", "duplicate input", "missing feature", "row counts differ",
+    "no records", "shape does not match data", "value out of range",
+]
+
+
+def rejected_all_reasons(spark, sf):
+    """Eight of nine requests are damaged, each in one of eight ways."""
+    kind, inputs = F.col("id").cast("bigint") % (len(REASONS) + 1), F.col("inputs")
+
+    def each(change):
+        return F.transform(inputs, lambda x: F.when(x["name"] == "I7", change(x)).otherwise(x))
+
+    damaged = [
+        F.slice(inputs, 1, 0),
+        each(lambda x: x.withField("data", F.lit(None).cast("array<bigint>"))),
+        F.concat(inputs, F.slice(inputs, 1, 1)),
+        F.filter(inputs, lambda x: x["name"] != "I7"),
+        each(lambda x: x.withField("data", F.slice(x["data"], 2, F.size(x["data"])))),
+        F.transform(inputs, lambda x: x.withField("data", F.slice(x["data"], 1, 0))),
+        each(lambda x: x.withField("shape", F.array(F.lit(-1), F.lit(1)))),
+        each(lambda x: x.withField("data", F.transform(x["data"], lambda v: F.lit(3_000_000_000)))),
+    ]
+    changed = inputs
+    for k, damage in enumerate(damaged):
+        changed = F.when(kind == k, damage).otherwise(changed)
+    return requests.decode(request_batch(spark, sf).withColumn("inputs", changed))[1]
+
+
 def encode_scores(spark, sf):
     rows = requests.decode(request_batch(spark, sf))[0]
     out = requests.encode(rows.withColumn("s", F.coalesce("I1", F.lit(0))), "s")
@@ -304,31 +356,15 @@ def train_fm_query(spark, sf):
     return score_fm(valid, model, ["event_id", "label"])
 
 
-def train_deepfm_query(spark, sf):
-    """Training log: loss of every step, AUC at the end of the epoch."""
-    train, valid, fitted = _small_split(spark, sf)
-    settings = Settings(
-        batch_rows=max(2048, train.count() // 4 + 1),
-        lr=0.01,
-        dropout=0.1,
-        hidden=(32, 16),
-        optimizer="adam",
-        epochs=1,
-        eval_interval=4,
-    )
-    _, log = train_deepfm(
-        train, fitted.vocabulary(), SLOTS, COUNTS, "event_id", settings, valid
-    )
-    return log_table(spark, log)
-
-
-def trials_best(spark, sf):
-    train, valid, fitted = _small_split(spark, sf)
-    settings = Settings(batch_rows=train.count(), hidden=(8,), epochs=1)
-    trials = search(
-        train, valid, fitted.vocabulary(), SLOTS, COUNTS, "event_id", settings, trials=2
-    )
-    return best_trial(trials)
+def package_score(spark, sf):
+    """From tables to scores: the table job, a model saved beside its workflow, both read back."""
+    out = scratch_path(spark, "package")
+    prepared = prepare_tables(spark, sf, out)
+    model_of(prepared.fitted, NARROW).save(f"{out}/model")
+    fitted, model = load_package(spark, out)
+    raw = clicks(spark, sf).drop("label")
+    scored = score_raw(raw, fitted, model, ["event_id"], "event_id")
+    return scored.select("event_id", rounded_to("logit"), rounded_to("score"))
 
 
 QUERIES = {
@@ -354,8 +390,10 @@ QUERIES = {
     "score_requests": score_requests,
     "score_stream": score_stream,
     "train_fm": train_fm_query,
-    "train_deepfm": train_deepfm_query,
-    "trials_best": trials_best,
+    "auc_nulls": auc_nulls,
+    "fm_step": fm_step_query,
+    "rejected_all_reasons": rejected_all_reasons,
+    "package_score": package_score,
 }
 
 
@@ -404,6 +442,49 @@ def _tower_ctes() -> tuple[str, ...]:
     )
 
 
+def _wide_ctes() -> tuple[str, ...]:
+    """The tower of three wide layers over `latents`, and the full logit.
+
+    A weight depends on its column modulo 3 only, because 7 * 3 is 21: three sums per layer
+    and record, `p0` to `p2`, give all units but for their biases.
+    """
+    out = [*_feature_ctes(), f"units AS (SELECT CAST(unnest(range({WIDE})) AS BIGINT) AS u)"]
+    source, value, row = "latents", "v", "f*10 + d"
+    for layer in (1, 2, 3):
+        sums = ", ".join(f"sum({value} * {_weight(row, str(c))}) AS p{c}" for c in range(3))
+        out.append(f"p{layer} AS (SELECT event_id, {sums} FROM {source} GROUP BY event_id)")
+        out.append(
+            f"w{layer} AS (SELECT event_id, u, greatest(CASE u % 3 WHEN 0 THEN p0 WHEN 1 THEN p1 ELSE p2 END "
+            f"+ 0.01::DOUBLE*(u + 1), 0) AS h FROM p{layer}, units)"
+        )
+        source, value, row = f"w{layer}", "h", "u"
+    out.append(
+        f"tower AS (SELECT event_id, sum(h * {_weight('u', '0')}) + 0.01::DOUBLE AS deep FROM w3 GROUP BY event_id)"
+    )
+    return (*out, "scores AS (SELECT event_id, logit + deep AS logit FROM logits JOIN tower USING (event_id))")
+
+
+def _step_sql() -> str:
+    key = "CAST((slot*31 + code*17 + {} * 7) % 101 - 50 AS DOUBLE)/100"
+    old = f"CASE WHEN slot < 26 THEN {key.format('d')} ELSE {_weight('(slot - 26)', 'd')} END"
+    old_linear = f"CASE WHEN slot < 26 THEN {key.format('10')} ELSE (((slot - 26)*5) % 11 - 5)/100.0::DOUBLE END"
+    return with_clicks(
+        f"SELECT CAST(slot AS INTEGER) AS slot, CAST(code AS BIGINT) AS code, CAST(d AS INTEGER) AS j, "
+        f"round(w - {STEP}::DOUBLE*(a - w*b), 5) + 0.0 AS value FROM "
+        f"(SELECT slot, code, d, {old} AS w, sum(g*x*s) AS a, sum(g*x*x) AS b "
+        "FROM pulled JOIN sums USING (event_id) GROUP BY slot, code, d) UNION ALL "
+        f"SELECT CAST(slot AS INTEGER), CAST(code AS BIGINT), 10, round({old_linear} - {STEP}::DOUBLE*sum(g*x), 5) + 0.0 "
+        "FROM pulled GROUP BY slot, code",
+        True,
+        *_feature_ctes(),
+        "errors AS (SELECT event_id, (1/(1 + exp(-logit)) - logits.label)/(SELECT count(*) FROM train) AS g "
+        f"FROM logits JOIN done USING (event_id) WHERE done.{TRAIN_DAYS})",
+        "sums AS (SELECT event_id, d, sum(v) AS s FROM latents GROUP BY event_id, d)",
+        "pulled AS (SELECT event_id, g, k.f AS slot, k.code AS code, 1.0::DOUBLE AS x FROM keyed JOIN errors USING "
+        "(event_id) UNION ALL SELECT event_id, g, 26 + k.f, 0, k.x FROM valued JOIN errors USING (event_id))",
+    )
+
+
 def _auc_sql(source: str) -> str:
     return (
         f"WITH s AS ({source}), r AS (SELECT label, rank() OVER (ORDER BY s) + (count(*) OVER "
@@ -439,6 +520,22 @@ SQL = {
         "QUALIFY row_number() OVER (ORDER BY event_id) <= count(*) OVER () - 37"
     ),
     "score_table_tail": _SCORES,
+    "package_score": with_clicks(
+        f"SELECT event_id, {rounded('logit')} AS logit, {rounded('score')} AS score FROM scores",
+        False,
+        *_tower_ctes(),
+    ),
+    "mlp_forward": with_clicks(
+        "SELECT event_id, round(logit, 3) + 0.0 AS logit, "
+        f"{rounded('CASE WHEN logit < -700 THEN 0 ELSE 1/(1 + exp(-logit)) END')} AS score FROM scores",
+        True,
+        *_wide_ctes(),
+    ),
+    "fm_step": _step_sql(),
+    "auc_nulls": _auc_sql(f"SELECT label, I3 AS s FROM ({clicks_sql()}) WHERE I3 IS NOT NULL AND event_id % 11 <> 0"),
+    "rejected_all_reasons": "SELECT CAST(r AS VARCHAR) AS id, CASE r % 9 "
+    + " ".join(f"WHEN {k} THEN '{reason}'" for k, reason in enumerate(REASONS))
+    + " END AS reason FROM (SELECT DISTINCT event_id // 8 AS r FROM events) WHERE r % 9 <> 8",
     "embedding_sum": with_clicks(
         "SELECT c.event_id, "
         + ", ".join(f"round(coalesce(l.v{j}, 0.0::DOUBLE), 4) + 0.0 AS v{j}" for j in range(VECTOR))

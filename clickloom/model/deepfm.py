@@ -11,8 +11,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from clickloom.model import network
-from clickloom.operators.embedding import VECTOR, Embeddings
+from clickloom.operators.embedding import VECTOR, Embeddings, ValueVectors
 from clickloom.operators.lookup import Limits
+from clickloom.plans.workflow import FittedWorkflow
 from clickloom.storage import read_text, write_text
 
 
@@ -30,7 +31,7 @@ class DeepFM:
 
     def save(self, directory: str) -> None:
         spark = self.embeddings.table.sparkSession
-        self.embeddings.table.write.mode("overwrite").parquet(f"{directory}/embeddings")
+        self.embeddings.table.write.mode("overwrite").partitionBy("slot").parquet(f"{directory}/embeddings")
         weights_table(spark, self.params).coalesce(1).write.mode("overwrite").parquet(
             f"{directory}/dense"
         )
@@ -77,8 +78,12 @@ def model_input(
         if key is None:
             raise ValueError("array slots need a row key")
         out = embeddings.lookup_sum(out, c, c, key, limits)
-    vectors = [F.col(f"{c}__vec") for c in embeddings.columns]
-    return out.select(
+    return _laid_out(out, embeddings.columns, dense, carry)
+
+
+def _laid_out(df: DataFrame, slots: Sequence[str], dense: Sequence[str], carry: Sequence[str]) -> DataFrame:
+    vectors = [F.col(f"{c}__vec") for c in slots]
+    return df.select(
         *carry,
         F.concat(*vectors).alias("_emb"),
         F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in dense]).alias("_dense"),
@@ -93,8 +98,11 @@ def score(
     limits: Limits = Limits(),
 ) -> DataFrame:
     """`keep` columns with `logit` and `score` of every row of a transformed frame."""
-    spark = df.sparkSession
-    rows = model_input(df, model.embeddings, model.dense, keep, key, limits)
+    return _forward(model_input(df, model.embeddings, model.dense, keep, key, limits), model, keep)
+
+
+def _forward(rows: DataFrame, model: DeepFM, keep: Sequence[str]) -> DataFrame:
+    spark = rows.sparkSession
     weights = spark.sparkContext.broadcast(model.params)
     slots, dense, kept = len(model.slots), len(model.dense), list(keep)
 
@@ -118,8 +126,33 @@ def score(
 
 
 def score_raw(
-    df: DataFrame, fitted, model: DeepFM, keep: Sequence[str], key: str | None = None
+    df: DataFrame, fitted: FittedWorkflow, model: DeepFM, keep: Sequence[str], key: str | None = None
 ) -> DataFrame:
     """Raw records to scores: the fitted feature workflow, then the model."""
-    rows = fitted.transform(df, key, keep)
-    return score(rows, model, keep, key, fitted.limits)
+    return RawScorer.of(fitted, model).score(df, keep, key)
+
+
+@dataclass(frozen=True)
+class RawScorer:
+    """A workflow and a model made ready for raw records; make it once for many inputs.
+
+    Where the workflow does nothing to the slots but code them, values are looked up straight
+    to their vectors. In any other case they are coded first, and codes are looked up.
+    """
+
+    fitted: FittedWorkflow
+    model: DeepFM
+    vectors: ValueVectors | None
+
+    @staticmethod
+    def of(fitted: FittedWorkflow, model: DeepFM) -> "RawScorer":
+        direct = set(model.slots) <= fitted.only_coded()
+        return RawScorer(fitted, model, ValueVectors.of(fitted.vocabulary(), model.embeddings) if direct else None)
+
+    def score(self, df: DataFrame, keep: Sequence[str], key: str | None = None) -> DataFrame:
+        fitted, model = self.fitted, self.model
+        if self.vectors is None or set(keep) & fitted.only_coded():
+            return score(fitted.transform(df, key, keep), model, keep, key, fitted.limits)
+        rows = fitted.transform(df, key, keep, coded=False)
+        rows = self.vectors.lookup(rows, key, fitted.limits)
+        return _forward(_laid_out(rows, model.slots, model.dense, keep), model, keep)

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from clickloom.operators.lookup import Limits, SideTable, lookup
+from clickloom.storage import materialize
 
 LATENT = 10
 VECTOR = LATENT + 1  # ten latent numbers and one linear weight
@@ -28,7 +29,7 @@ class Embeddings:
     @staticmethod
     def of(table: DataFrame, columns: Sequence[str], sizes: dict | None = None) -> "Embeddings":
         entries = table.select(
-            F.col("slot").cast("string").alias("name"),
+            F.col("slot").alias("name"),
             F.col("code").alias("value"),
             F.col("code").alias("rank"),
             F.col("vec").alias("payload"),
@@ -45,7 +46,7 @@ class Embeddings:
     ) -> DataFrame:
         """Add `<column>__vec` for scalar code columns; a missing key gives the zero vector."""
         columns = columns or {c: c for c in self.columns}
-        slots = {c: str(list(self.columns).index(name)) for c, name in columns.items()}
+        slots = {c: list(self.columns).index(name) for c, name in columns.items()}
         joined = lookup(df, self.side, slots, "{}__vec", key, limits)
         zero = F.array(*[F.lit(0.0)] * VECTOR).cast(self.table.schema["vec"].dataType)
         made = {f"{c}__vec" for c in columns}
@@ -72,6 +73,43 @@ class Embeddings:
         )
 
 
+@dataclass(frozen=True)
+class ValueVectors:
+    """The vector of each raw value, so that a raw column needs one lookup, not two.
+
+    `unseen` holds, per column, the vector of code 0: that of null and unseen values.
+    """
+
+    side: SideTable
+    unseen: dict[str, list[float]]
+    kind: T.DataType
+
+    @staticmethod
+    def of(vocab: DataFrame, embeddings: Embeddings) -> "ValueVectors":
+        """Join the vocabulary with the vectors once; keys are as many as values."""
+        kind = embeddings.table.schema["vec"].dataType
+        zero = F.array(*[F.lit(0.0)] * VECTOR).cast(kind)
+        slots = F.create_map(*[F.lit(x) for s, c in enumerate(embeddings.columns) for x in (c, s)])
+        entries = (
+            vocab.where(F.col("col").isin(list(embeddings.columns)))
+            .select(F.col("col").alias("name"), "value", "code", slots[F.col("col")].alias("slot"))
+            .join(embeddings.table.select("slot", "code", "vec"), ["slot", "code"], "left")
+            .select("name", "value", F.col("code").alias("rank"), F.coalesce("vec", zero).alias("payload"))
+        )
+        entries = materialize(entries, "value-vectors", partition_by="name")
+        of_zero = {r["slot"]: list(r["vec"]) for r in embeddings.table.where("code = 0").collect()}  # one per slot
+        unseen = {c: of_zero.get(s, [0.0] * VECTOR) for s, c in enumerate(embeddings.columns)}
+        return ValueVectors(SideTable.measure(entries, 8 * VECTOR), unseen, kind)
+
+    def lookup(self, df: DataFrame, key: str | None = None, limits: Limits = Limits()) -> DataFrame:
+        """Add `<column>__vec` for the raw columns."""
+        joined = lookup(df, self.side, {c: c for c in self.unseen}, "{}__vec", key, limits)
+        other = {f"{c}__vec": F.array(*[F.lit(float(x)) for x in v]).cast(self.kind) for c, v in self.unseen.items()}
+        return joined.select(
+            *[F.coalesce(F.col(n), other[n]).alias(n) if n in other else F.col(n) for n in joined.columns]
+        )
+
+
 def slot_keys(vocab: DataFrame, columns: Sequence[str]) -> DataFrame:
     """`(slot, code)` of every kept value, and code 0 of every slot."""
     slots = F.create_map(*[F.lit(x) for s, c in enumerate(columns) for x in (c, s)])

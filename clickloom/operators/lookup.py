@@ -62,7 +62,7 @@ class SideTable:
 def lookup(
     df: DataFrame,
     side: SideTable,
-    columns: dict[str, str],
+    columns: dict[str, str | int],
     found: str = "{}_found",
     key: str | None = None,
     limits: Limits = Limits(),
@@ -91,7 +91,7 @@ def _broadcast_join(
     joins, new = [], []
     for i, (column, name) in enumerate(columns.items()):
         joins.append(
-            f"LEFT JOIN (SELECT value, payload FROM {{entries}} WHERE name = {_text(name)}) v{i} "
+            f"LEFT JOIN (SELECT value, payload FROM {{entries}} WHERE name = {_literal(name)}) v{i} "
             f"ON CAST(r.{_quoted(column)} AS {kind}) = v{i}.value"
         )
         new.append(f"v{i}.payload AS {_quoted(added[column])}")
@@ -107,6 +107,10 @@ def _quoted(column: str) -> str:
     return "`" + column.replace("`", "``").replace("{", "{{").replace("}", "}}") + "`"
 
 
+def _literal(value: str | int) -> str:
+    return str(value) if isinstance(value, int) else _text(value)
+
+
 def _text(value: str) -> str:
     escaped = value.replace("\\", "\\\\").replace("'", "\\'")
     return "'" + escaped.replace("{", "{{").replace("}", "}}") + "'"

@@ -54,13 +54,13 @@ def describe(df: DataFrame, columns: list[str]) -> DataFrame:
     return stats.join(F.broadcast(wide), "col", "left")  # one row per column name
 
 
-def preview(df: DataFrame, order: str, rows: int = 10) -> DataFrame:
-    return df.orderBy(order).limit(rows)
+def preview(df: DataFrame, *order: str, rows: int = 10) -> DataFrame:
+    return df.orderBy(*order).limit(rows)
 
 
 def preview_transposed(df: DataFrame, order: str, columns: list[str], rows: int = 5) -> DataFrame:
     """One row per column, one text field `row_0`.. per previewed record."""
-    head = preview(df, order, rows).select(
+    head = preview(df, order, rows=rows).select(
         order, *[F.col(c).cast("string").alias(c) for c in columns]
     )
     # At most `rows` records are collected into the list.

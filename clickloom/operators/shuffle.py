@@ -48,7 +48,10 @@ def place(df: DataFrame, files: int | None, key: str | None = None) -> DataFrame
 
 
 def assign_batches(df: DataFrame, key: str, batches: int, epoch: int = 0) -> DataFrame:
-    """Mini-batch number of each row, drawn anew for every epoch."""
-    return df.withColumn(
-        "batch", F.pmod(F.xxhash64(F.col(key), F.lit(epoch)), F.lit(batches)).cast("int")
-    )
+    """Mini-batch number of each row, drawn anew for every epoch.
+
+    The draw is a hash that other engines have too, so that they can repeat it.
+    """
+    digest = F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(epoch))))
+    drawn = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
+    return df.withColumn("batch", F.pmod(drawn, F.lit(batches)).cast("int"))

@@ -5,14 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clickloom.model.deepfm import DeepFM
 from clickloom.model.search import best_trial, search
 from clickloom.model.training import Settings, evaluate, log_table, train_deepfm
 from clickloom.operators.profile import label_counts, label_percent, preview, row_counts
 from clickloom.plans.workflow import FittedWorkflow, Workflow, click_workflow
-from clickloom.schema import ROW_KEY, categorical_columns, continuous_columns, rename_scheme
+from clickloom.schema import ROW_KEY, categorical_columns, continuous_columns, rename_scheme, table_schema
 from clickloom.sources.scans import (
     decode_categoricals,
     read_cardinalities,
@@ -110,7 +110,8 @@ def load_and_validate(
 ) -> dict[str, DataFrame]:
     """Load each split's files into its table; row counts, label shares and a preview."""
     for split, files in paths.items():
-        load_table(rename_scheme(scan_delimited(spark, files, sep), "table"), tables[split])
+        rows = rename_scheme(scan_delimited(spark, files, sep), "table")
+        load_table(rows.select(*[F.col(f.name).cast(f.dataType) for f in table_schema()]), tables[split])
     train = scan_table(spark, tables[TRAIN])
     counted = None
     for split, name in tables.items():
@@ -120,7 +121,7 @@ def load_and_validate(
         "row_counts": row_counts(counted),
         "label_counts": label_counts(train),
         "label_percent": label_percent(train),
-        "preview": preview(train, "label"),
+        "preview": preview(train, *train.columns),
     }
 
 

@@ -44,19 +44,33 @@ class FittedWorkflow:
     limits: Limits = Limits()
 
     def transform(
-        self, df: DataFrame, key: str | None = None, keep: Sequence[str] = ()
+        self, df: DataFrame, key: str | None = None, keep: Sequence[str] = (), coded: bool = True
     ) -> DataFrame:
         """Apply all stages; `key` and `keep` columns ride along behind the outputs.
 
+        Without `coded` the columns of `only_coded` stay as they come.
+
         An output the frame lacks (the label, in scoring) is left out.
         """
         before = set(df.columns)
         made = set().union(*[s.writes for s in self.stages]) | before
+        raw = set() if coded else self.only_coded()
         for stage, state in zip(self.stages, self.states):
-            df = stage.apply(df, state, key, self.limits)
+            if not (isinstance(stage, Categorify) and stage.writes <= raw):
+                df = stage.apply(df, state, key, self.limits)
         names = [c for c in self.outputs if c in made and c in df.columns]
         names += [c for c in ([key] if key else []) + list(keep) if c not in names]
-        return as_transformed_types(df.select(*names))
+        return as_transformed_types(df.select(*names), raw)
+
+    def only_coded(self) -> set[str]:
+        """Columns of frequency codings whose columns no other stage touches."""
+        out: set[str] = set()
+        for i, stage in enumerate(self.stages):
+            others = self.stages[:i] + self.stages[i + 1 :]
+            used = set().union(*[s.reads | s.writes for s in others])
+            if isinstance(stage, Categorify) and not stage.writes & used:
+                out |= stage.writes
+        return out
 
     def vocabulary(self) -> DataFrame:
         """Values and codes of every encoded column."""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import DataFrame, functions as F, types as T
 
 CONTINUOUS = 13
@@ -89,12 +91,12 @@ def transformed_columns() -> list[str]:
     return categorical_columns() + continuous_columns() + label_columns()
 
 
-def as_transformed_types(df: DataFrame) -> DataFrame:
-    """Codes as bigint, continuous as float, label as int; other columns untouched."""
+def as_transformed_types(df: DataFrame, but: Collection[str] = ()) -> DataFrame:
+    """Codes as bigint, continuous as float, label as int; `but` and other columns untouched."""
     target = {"categorical": "bigint", "continuous": "float", "target": "int"}
     return df.select(
         *[
-            F.col(c).cast(target[role_of(c)]).alias(c) if role_of(c) else F.col(c)
+            F.col(c).cast(target[role_of(c)]).alias(c) if role_of(c) and c not in but else F.col(c)
             for c in df.columns
         ]
     )

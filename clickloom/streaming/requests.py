@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from clickloom.functions.scalar import to_int32
-from clickloom.model.deepfm import DeepFM, score_raw
+from clickloom.model.deepfm import DeepFM, RawScorer
 from clickloom.schema import categorical_columns, continuous_columns
 from clickloom.sources.scans import REQUEST_SCHEMA, scan_requests
 from clickloom.storage import delete, scratch_path
@@ -100,8 +100,12 @@ def to_requests(df: DataFrame, request_id: Column, order: str, features: Sequenc
 
 def score_requests(requests: DataFrame, fitted, model: DeepFM) -> tuple[DataFrame, DataFrame]:
     """`(responses, rejected)` of a batch of requests."""
+    return _answers(requests, RawScorer.of(fitted, model))
+
+
+def _answers(requests: DataFrame, scorer: RawScorer) -> tuple[DataFrame, DataFrame]:
     rows, rejected = decode(requests)
-    return encode(score_raw(rows, fitted, model, ["request", "id", "pos"])), rejected
+    return encode(scorer.score(rows, ["request", "id", "pos"])), rejected
 
 
 def score_stream(
@@ -115,11 +119,13 @@ def score_stream(
     micro-batch replaces its own output folder, so one that is run again leaves one copy.
     """
 
+    scorer = RawScorer.of(fitted, model)
+
     def run(batch: DataFrame, number: int) -> None:
         path = scratch_path(spark, "requests")
         batch.write.parquet(path)
         requests = spark.read.schema(REQUEST_SCHEMA).parquet(path)
-        responses, rejected = score_requests(requests, fitted, model)
+        responses, rejected = _answers(requests, scorer)
         responses.write.mode("overwrite").parquet(f"{out}/responses/batch={number}")
         rejected.write.mode("overwrite").parquet(f"{out}/rejected/batch={number}")
         delete(spark, path)
