@@ -109,15 +109,16 @@ def variants(suspects: DataFrame) -> DataFrame:
     )
 
 
-def near_lines(df: DataFrame, key: str, text: str) -> DataFrame:
-    """`cls, near`: the classes with an earlier neighbour, and where the earliest one stands."""
-    lines = lines_of(df, key, text)
-    keyed = lines.select("at", "cls", once(F.array_distinct(part_keys(F.col("line")))).alias("parts"))
-    keyed = keyed.select("at", "cls", F.explode("parts").alias("part"))
+def near_lines(df: DataFrame, keyed_lines: DataFrame, key: str, text: str) -> DataFrame:
+    """`cls, near`: the classes with an earlier neighbour, and where the earliest one stands.
+
+    `keyed_lines` are `at, cls, parts` of the lines of `df`.
+    """
+    keyed = keyed_lines.select("at", "cls", F.explode("parts").alias("part"))
+    # Plain numbers, not structs: those would be sorted instead of hashed.
+    span = [f(f"cls.{half}").alias(f"{name}_{half}") for half in "ab" for name, f in (("low", F.min), ("high", F.max))]
     shared = materialize(
-        keyed.groupBy("part").agg(F.min("cls").alias("one"), F.max("cls").alias("other"))
-        .where("one != other").select("part"),
-        "line-parts",
+        keyed.groupBy("part").agg(*span).where("low_a != high_a OR low_b != high_b").select("part"), "line-parts"
     )
     firsts = materialize(
         keyed.join(shared, "part", "left_semi").groupBy("cls").agg(F.min("at").alias("at")), "line-suspects"
@@ -163,8 +164,10 @@ def duplicate_lines(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     any equal line, else `exact`. Only classes that repeat or have a neighbour are joined back
     to the lines, by class: a frequent line is a skewed key of that join, which Spark splits.
     """
-    near = materialize(near_lines(df, key, text), "line-near")
-    lines = materialize(lines_of(df, key, text).select("at", "cls").distinct(), "lines")
+    parts = once(F.array_distinct(part_keys(F.col("line")))).alias("parts")
+    lines = materialize(lines_of(df, key, text).select("at", "cls", parts), "lines")
+    near = materialize(near_lines(df, lines, key, text), "line-near")
+    lines = lines.select("at", "cls")
     verdicts = (
         lines.groupBy("cls").agg(F.min("at").alias("first"), F.max("at").alias("last"))
         .join(near, "cls", "left")
@@ -180,6 +183,7 @@ def duplicate_lines(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
             F.when(F.col("near").isNotNull(), "near").otherwise("exact").alias("reason"),
             where["id"].alias(f"first_{key}"), where["n"].alias("first_line"),
         )
+        .distinct()  # rows of one key and one text are one document
     )
 
 
