@@ -25,6 +25,12 @@ QUICK = [
     "eval_capped",
     "categorify_tail",
     "embedding_sum_tail",
+    "score_raw",
+    "auc_nulls",
+    "batch_sizes",
+    "shuffle_checks",
+    "rejected_all_reasons",
+    "table_types",
 ]
 
 
