@@ -261,7 +261,7 @@ def preprocess_job(spark, sf):
 
 
 def preprocess_rows(spark, sf):
-    """All columns of both splits of the file job, which here reads days as one recursive path each."""
+    """All columns of both splits of the file job, without a shuffle and a set number of files."""
     root = write_days(spark, sf)
     out = scratch_path(spark, "job")
     done = preprocess_files(spark, day_range(root, 0, 22, DAYS), day_range(root, 23, 29, DAYS), out)
