@@ -5,7 +5,7 @@ both hashed into `FEATURES` places. The
 machine adds a weight per term and the inner product of two vectors per pair of terms, so a
 pair can weigh more than its parts: an insult beside a mention of a group.
 
-It is fitted on at most `learn_rows` labelled rows (20,000, taken by a hash of the key), of
+It is fitted on at most `learn_rows` labelled rows (30,000, taken by a hash of the key), of
 terms that stand in two or more of them and whose share of toxic texts is not explained by
 chance (|z| >= 4); all other terms weigh nothing. Rows with crc32(key) mod 4 = 2 and rows
 with a null key or label are never learnt from.
@@ -31,7 +31,7 @@ from clickloom.storage import materialize
 
 FEATURES = 1 << 20
 FACTORS = 4
-LEARN_ROWS = 20_000
+LEARN_ROWS = 30_000
 THRESHOLD = 0.3
 
 
@@ -87,6 +87,12 @@ def logistic(margin: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(margin, -30, 30)))
 
 
+def telling(seen: np.ndarray, toxic: np.ndarray, base: float, least_z: float = 4.0) -> np.ndarray:
+    """Whether features that stand in `seen` rows, `toxic` of them toxic, pass the screen."""
+    z = (toxic - base * seen) / np.sqrt(np.maximum(base * (1 - base) * seen, 1e-9))
+    return (seen >= 2) & (np.abs(z) >= least_z)
+
+
 def fit(flat: np.ndarray, offsets: np.ndarray, label: np.ndarray, epochs: int = 40, batch: int = 256, rate: float = 0.3, decay: float = 1e-5, least_z: float = 4.0, seed: int = 7) -> Machine:
     """Fit to rows whose features are `flat[offsets[i]:offsets[i + 1]]`, labelled 0 or 1.
 
@@ -97,8 +103,7 @@ def fit(flat: np.ndarray, offsets: np.ndarray, label: np.ndarray, epochs: int =
     seen = np.bincount(flat, minlength=FEATURES).astype(float)
     positive = np.repeat(label > 0, np.diff(offsets))
     toxic = np.bincount(flat[positive], minlength=FEATURES)
-    z = (toxic - base * seen) / np.sqrt(np.maximum(base * (1 - base) * seen, 1e-9))
-    used = np.flatnonzero((seen >= 2) & (np.abs(z) >= least_z))
+    used = np.flatnonzero(telling(seen, toxic, base, least_z))
     place = np.full(FEATURES, -1, np.int32)
     place[used] = np.arange(len(used))
     draw = np.random.default_rng(seed)
@@ -151,8 +156,9 @@ def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def learn(df: DataFrame, labels: DataFrame, key: str, text: str, label: str, learn_rows: int) -> Machine | None:
     """Fit on a sample of the labelled rows of at most about `learn_rows`, chosen by a hash of the key.
 
-    Only that bounded sample, as distinct feature numbers, comes to the driver. The labelled rows are
-    found by a join of keys, so unlabelled texts are hashed but never moved.
+    What comes to the driver is one row of counts per feature (at most `FEATURES`), then that bounded
+    sample with only the features that pass the screen. The labelled rows are found by a join of keys,
+    so unlabelled texts are hashed but never moved.
     """
     known = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull() & ~held_out(key)).select(
         F.col(key).alias("_key"), (F.col(label) > 0).cast("double").alias("_label")
@@ -164,10 +170,30 @@ def learn(df: DataFrame, labels: DataFrame, key: str, text: str, label: str, lea
         .join(known, "_key")
         .select("_key", "_label", terms(F.col("_text")).alias("_terms"))
     )
-    sample = sample.mapInArrow(_featured, sample.schema)
-    table = sample.toArrow().sort_by([("_key", "ascending"), ("_label", "ascending")])
-    if not len(table):
+    sample = materialize(sample.mapInArrow(_featured, sample.schema), "toxic-features")
+    base = sample.agg(F.avg("_label")).first()[0]
+    if base is None:
         return None
+    counts = (
+        sample.select("_label", F.explode("_terms").alias("term")).groupBy("term")
+        .agg(F.count("*").cast("double").alias("seen"), F.sum("_label").alias("toxic")).where("seen >= 2").toArrow()
+    )
+    term, seen, toxic = (counts[c].to_numpy() for c in ("term", "seen", "toxic"))
+    kept = np.zeros(FEATURES, bool)
+    kept[term[telling(seen, toxic, base)]] = True
+    shared = df.sparkSession.sparkContext.broadcast(kept)
+
+    def screened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("_terms")
+            flat = lists.flatten().to_numpy(zero_copy_only=False)
+            known = shared.value[flat]
+            ends = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))])
+            before = np.concatenate([[0], np.cumsum(known)])
+            made = pa.ListArray.from_arrays(pa.array(before[ends].astype(np.int32)), pa.array(flat[known]))
+            yield pa.RecordBatch.from_arrays([batch.column("_key"), batch.column("_label"), made], ["_key", "_label", "_terms"])
+
+    table = sample.mapInArrow(screened, sample.schema).toArrow().sort_by([("_key", "ascending"), ("_label", "ascending")])
     lists = table["_terms"].combine_chunks()
     lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
     flat, offsets = lists.flatten().to_numpy(zero_copy_only=False), np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))])
