@@ -1,10 +1,10 @@
 """Line dedup: a deletion-neighbourhood join over the lines of all documents.
 
-A line counts without the blanks around it; lines of fewer than `LEAST` characters are left
-alone. Of equal lines the earliest stays, and of lines within one edit (a character inserted,
-deleted or replaced) of each other the earliest stays too: a line goes when any earlier line
-equals it or is one edit away, whether that one stays or not. Earlier means by document key
-(null last), then the text's hash, then line number.
+A line counts without the blanks around it; lines of blanks only are left alone. Of equal
+lines, however short, the earliest stays, and of lines of at least `near_least` characters
+(20) within one edit (a character inserted, deleted or replaced) of each other the earliest
+stays too: a line goes when any earlier line equals it or is one edit away, whether that one
+stays or not. Earlier means by document key (null last), then the text's hash, then line number.
 
 Neighbours share a variant. Two lines that differ in the character at place i are equal
 without it, and a line that has one character more is equal to the other without it. So
@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from clickloom.llm.text import once
 from clickloom.storage import materialize
 
-LEAST = 20
+LEAST = 20  # characters of a line that is compared by edits
 PARTS = 3
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 
@@ -42,13 +42,13 @@ def row_key(key: str, text: str) -> Column:
 
 
 def lines_of(df: DataFrame, key: str, text: str) -> DataFrame:
-    """`doc, line` and the order, class hashes and text of every line long enough."""
+    """`doc, line` and the order, class hashes and text of every line that is not blank."""
     line = F.btrim("line", F.lit(" \t\r\x0b\x0c"))
     out = df.select(F.col(key).alias("id"), row_key(key, text).alias("doc"), once(F.split(text, "\n")).alias("_lines"))
     return (
         out.select("id", "doc", F.posexplode("_lines").alias("n", "line"))
         .select("id", "doc", "n", line.alias("line"))
-        .where(F.length("line") >= LEAST)
+        .where(F.length("line") > 0)
         .select(
             F.struct(F.col("id").isNull().alias("last"), "id", "doc", "n").alias("at"),
             F.struct(F.xxhash64("line").alias("a"), F.xxhash64(F.lit(1), "line").alias("b")).alias("cls"),
@@ -112,7 +112,7 @@ def variants(suspects: DataFrame) -> DataFrame:
 def near_lines(df: DataFrame, keyed_lines: DataFrame, key: str, text: str) -> DataFrame:
     """`cls, near`: the classes with an earlier neighbour, and where the earliest one stands.
 
-    `keyed_lines` are `at, cls, parts` of the lines of `df`.
+    `keyed_lines` are `at, cls, parts` of the lines of `df`; lines without parts are not compared.
     """
     keyed = keyed_lines.select("at", "cls", F.explode("parts").alias("part"))
     # Plain numbers, not structs: those would be sorted instead of hashed.
@@ -157,14 +157,15 @@ def near_lines(df: DataFrame, keyed_lines: DataFrame, key: str, text: str) -> Da
     )
 
 
-def duplicate_lines(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def duplicate_lines(df: DataFrame, key: str = "doc_id", text: str = "text", near_least: int = LEAST) -> DataFrame:
     """`doc, key, line, reason, first_key, first_line`: every line that goes, by document row.
 
     Line numbers count from 0. `reason` is `near` where an earlier neighbour was found before
     any equal line, else `exact`. Only classes that repeat or have a neighbour are joined back
     to the lines, by class: a frequent line is a skewed key of that join, which Spark splits.
     """
-    parts = once(F.array_distinct(part_keys(F.col("line")))).alias("parts")
+    compared = F.length("line") >= near_least
+    parts = once(F.when(compared, F.array_distinct(part_keys(F.col("line"))))).alias("parts")
     lines = materialize(lines_of(df, key, text).select("at", "cls", parts), "lines")
     near = materialize(near_lines(df, lines, key, text), "line-near")
     lines = lines.select("at", "cls")
@@ -187,13 +188,15 @@ def duplicate_lines(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     )
 
 
-def drop_lines(df: DataFrame, key: str = "doc_id", text: str = "text", length: str | None = None) -> DataFrame:
+def drop_lines(
+    df: DataFrame, key: str = "doc_id", text: str = "text", length: str | None = None, near_least: int = LEAST
+) -> DataFrame:
     """The rows of `df`, all columns, without their duplicate lines.
 
     A row of whose words nothing is left goes too. Rows that lose no line stay as they are; in
     the others a column named by `length` gets the new number of characters.
     """
-    gone = duplicate_lines(df, key, text).groupBy("doc").agg(F.collect_list("line").alias("gone"))  # of one text
+    gone = duplicate_lines(df, key, text, near_least).groupBy("doc").agg(F.collect_list("line").alias("gone"))  # of one text
     rows = df.select(F.struct("*").alias("all"), row_key(key, text).alias("_doc"), F.split(text, "\n").alias("lines"))
     rows = rows.join(gone, F.col("_doc") == F.col("doc"), "left")
     rest = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "gone")
@@ -206,17 +209,17 @@ def drop_lines(df: DataFrame, key: str = "doc_id", text: str = "text", length: s
     return rows.select(F.when(kept, F.col("all")).otherwise(cut).alias("all")).select("all.*")
 
 
-def lines_query(df: DataFrame) -> DataFrame:
-    """Per document: lines long enough, lines gone for either reason, their numbers."""
-    gone = duplicate_lines(df).groupBy("doc").agg(
+def lines_query(df: DataFrame, near_least: int = LEAST) -> DataFrame:
+    """Per document: lines that are not blank, lines gone for either reason, their numbers."""
+    gone = duplicate_lines(df, near_least=near_least).groupBy("doc").agg(
         F.sum((F.col("reason") == "exact").cast("long")).alias("n_exact"),
         F.sum((F.col("reason") == "near").cast("long")).alias("n_near"),
         F.array_join(F.array_sort(F.collect_list("line")), ",").alias("dropped"),
     )
     trimmed = F.transform(F.split("text", "\n"), lambda x: F.btrim(x, F.lit(" \t\r\x0b\x0c")))
-    long_lines = F.size(F.filter(trimmed, lambda x: F.length(x) >= LEAST)).cast("long")
+    filled = F.size(F.filter(trimmed, lambda x: F.length(x) > 0)).cast("long")
     return (
-        df.select("doc_id", row_key("doc_id", "text").alias("doc"), F.coalesce(long_lines, F.lit(0)).alias("n_lines"))
+        df.select("doc_id", row_key("doc_id", "text").alias("doc"), F.coalesce(filled, F.lit(0)).alias("n_lines"))
         .join(gone, "doc", "left")
         .select(
             "doc_id", "n_lines", F.coalesce("n_exact", F.lit(0)).alias("n_exact"),

@@ -3,7 +3,7 @@
 import random
 
 import numpy as np
-from clickloom.llm import toxicity
+from clickloom.llm import line_dedup, toxicity
 
 
 def test_toxicity_learns_from_the_whole_bound_and_moves_only_screened_terms(spark, monkeypatch):
@@ -17,3 +17,15 @@ def test_toxicity_learns_from_the_whole_bound_and_moves_only_screened_terms(spar
     words = rows.limit(2).select("doc_id", toxicity.terms(rows["text"]).alias("t")).orderBy("doc_id").collect()
     assert set(np.unique(flat)) == {words[0].t[-1], words[1].t[-1]}
     assert (flat[offsets[:-1]] == np.where(label > 0, words[0].t[-1], words[1].t[-1])).all()
+
+
+def test_line_dedup_drops_equal_lines_of_every_length(spark):
+    rows = [(1, "a\n  short line\n\n-----"), (2, "short line \n\n \nshort lime\na"), (3, "-----\n\nown"), (4, "a")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    dropped = lambda **options: {
+        r.doc_id: (r.n_lines, r.n_exact, r.n_near, r.dropped) for r in line_dedup.lines_query(df, **options).collect()
+    }
+    assert dropped() == {1: (3, 0, 0, ""), 2: (3, 2, 0, "0,4"), 3: (2, 1, 0, "0"), 4: (1, 1, 0, "0")}
+    assert dropped(near_least=10)[2] == (3, 2, 1, "0,3,4")
+    left = {r.doc_id: r.text for r in line_dedup.drop_lines(df).collect()}
+    assert left == {1: rows[0][1], 2: "\n \nshort lime", 3: "\nown"}
