@@ -2,7 +2,8 @@
 
 Patterns give the kinds `assign`, `access` and `hex`. Tokens of 20 and more characters that
 overlap none of them are put to the battery, each against the alphabet of its inferred
-encoding (hex, base32 or base64):
+encoding, the smallest that holds it (hex, 26 letters, base32 or base36, each in lower or
+upper case, or base64):
 
 * chi-squared: are the characters uniform over the alphabet,
 * runs: do characters of the upper and lower half of the alphabet alternate as by chance,
@@ -41,6 +42,14 @@ TOKEN = r"[A-Za-z0-9+/_-]{20,}"
 KINDS = (*PATTERNS, "random")
 
 B64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+UPPER, LOWER, DIGITS = B64[:26], B64[26:52], B64[52:62]
+# Smallest first: the characters of an encoding, as members of a regex class and in order.
+ENCODINGS = [
+    ("0-9a-f", "0123456789abcdef"), ("0-9A-F", "0123456789ABCDEF"),
+    ("a-z", LOWER), ("A-Z", UPPER),
+    ("a-z2-7", LOWER + "234567"), ("A-Z2-7", UPPER + "234567"),
+    ("a-z0-9", LOWER + DIGITS), ("A-Z0-9", UPPER + DIGITS),
+]
 # Per cent of each letter in English text, a to z.
 LETTER_SHARE = (
     8.2, 1.5, 2.8, 4.3, 12.7, 2.2, 2.0, 6.1, 7.0, 0.15, 0.77, 4.0, 2.4,
@@ -121,19 +130,14 @@ def tested(tokens: DataFrame, token: str = "match") -> DataFrame:
     """Add `p_uniform, p_runs, p_serial, p_random, nats` to every token.
 
     `nats` is minus the logarithm of the chance that an ordinary token looks this random.
-    Tokens of digits only, or of one class of letters without digits or symbols, infer no encoding.
+    Tokens of digits only infer no encoding.
     """
     t = F.col("_t")
     out = tokens.withColumn("_t", F.translate(F.rtrim(F.col(token), F.lit("=")), "-_", "+/"))
-    out = out.withColumn(
-        "_alphabet",
-        F.when(t.rlike("^[0-9]*$"), F.lit(None))
-        .when(t.rlike("^[0-9a-f]+$"), F.lit("0123456789abcdef"))
-        .when(t.rlike("^[0-9A-F]+$"), F.lit("0123456789ABCDEF"))
-        .when(t.rlike("^(?:[a-z]+|[A-Z]+)$"), F.lit(None))
-        .when(t.rlike("^[A-Z2-7]+$"), F.lit("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"))
-        .otherwise(F.lit(B64)),
-    ).where(F.col("_alphabet").isNotNull())
+    inferred = F.when(t.rlike("^[0-9]*$"), F.lit(None))
+    for members, letters in ENCODINGS:
+        inferred = inferred.when(t.rlike(f"^[{members}]+$"), F.lit(letters))
+    out = out.withColumn("_alphabet", inferred.otherwise(F.lit(B64))).where(F.col("_alphabet").isNotNull())
     chars = F.filter(F.split(t, ""), lambda c: c != "")
     out = out.withColumn("_chars", chars)
     alphabet = F.col("_alphabet")

@@ -1,9 +1,10 @@
 """Parts of a job that were once left out."""
 
 import random
+from collections import Counter
 
 import numpy as np
-from clickloom.llm import line_dedup, toxicity
+from clickloom.llm import line_dedup, secrets, toxicity
 
 
 def test_toxicity_learns_from_the_whole_bound_and_moves_only_screened_terms(spark, monkeypatch):
@@ -29,3 +30,20 @@ def test_line_dedup_drops_equal_lines_of_every_length(spark):
     assert dropped(near_least=10)[2] == (3, 2, 1, "0,3,4")
     left = {r.doc_id: r.text for r in line_dedup.drop_lines(df).collect()}
     assert left == {1: rows[0][1], 2: "\n \nshort lime", 3: "\nown"}
+
+
+def test_secrets_passes_uniform_tokens_of_every_encoding(spark):
+    random.seed(8)
+    low, up, digits = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    of = {"hex": "0123456789abcdef", "HEX": "0123456789ABCDEF", "low": low, "up": up, "b32": low + "234567", "B32": up + "234567",
+          "b36": low + digits, "B36": up + digits, "b64": up + low + digits + "+/"}
+    rows = [(name, n, "".join(random.choices(x, k=n))) for name, x in of.items() for n in (32, 52, 64, 100, 128) for _ in range(60)]
+    tests = secrets.tested(spark.createDataFrame(rows, "encoding string, n int, match string"))
+    found = Counter((r.encoding, r.n) for r in tests.select("encoding", "n", "p_random").collect() if r.p_random >= 0.001)
+    assert len(found) == 45 and min(found.values()) >= 57, found
+    plain = ["thereisnothingeithergoodorbadbutthinkingmakesitso", "itwasthebestoftimesitwastheworstoftimes"]
+    wanted = [(i, f"see {token}.") for i, (name, n, token) in enumerate(rows) if n >= 64 and name != "hex"]
+    texts = wanted + [(-1 - i, f"see {x}.") for i, x in enumerate(plain * 20)]
+    got = {r.doc_id: r.spans for r in secrets.secrets_query(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    assert sum("random:" in got[i] for i, _ in wanted) >= 0.97 * len(wanted)
+    assert not any(got[i] for i in got if i < 0)
