@@ -3,11 +3,13 @@
 A language is a table of letter-trigram probabilities, counted over all learning texts; the
 trigrams of a word include its edges and are hashed into `BUCKETS`, so a table has a fixed
 size. A document is a mixture: each word comes from one of its languages. For the sets of the
-one, two, three ... most likely languages, EM estimates the proportions, and the set with the
-best penalised likelihood (BIC over the words) is chosen. The prediction is the language with
-the largest proportion in that set, the score that proportion.
+one, two, three ... most likely languages, up to all learned ones, EM estimates the proportions,
+and the set with the best penalised likelihood (BIC over the words) is chosen. The search of a
+document ends early only where the penalty alone exceeds the best cost so far. The operator
+returns the set with its proportions; the query's prediction is the language with the largest
+proportion, the score that proportion.
 
-Null texts and texts without a letter give `und` with score 0, as does everything when there
+Null texts and texts without a letter have an empty set and give `und` with score 0, as does everything when there
 is nothing to learn from. Rows with a null language are not learnt from; those with a null key
 are neither learnt from nor held out. Repeated rows are handled one by one, an empty table
 gives an empty result, and only the needed columns are read.
@@ -25,7 +27,6 @@ from clickloom.llm.heldout import held_out
 
 BUCKETS = 1 << 16
 SMOOTHING = 0.5
-MOST_LANGUAGES = 4  # in one document's set
 STEPS = 8
 CHUNK = 1 << 19  # letters handled at once, but for longer single texts
 
@@ -121,12 +122,12 @@ def proportions(likely: np.ndarray, first: np.ndarray, chosen: np.ndarray, words
     return share, np.add.reduceat(weight, first)
 
 
-def predict_run(run: list[str], model: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Number of the predicted language (-1: none) and its proportion, for each text."""
-    best, score = np.full(len(run), -1), np.zeros(len(run))
+def predict_run(run: list[str], model: np.ndarray) -> np.ndarray:
+    """Proportions (text x language) of the best set of each text; a row of zeros is the empty set."""
+    out = np.zeros((len(run), model.shape[1]))
     bucket, first, text = trigrams(run)
     if not len(first) or not model.shape[1]:
-        return best, score
+        return out
     log_likely = np.add.reduceat(model[bucket], first, axis=0)
     top = log_likely.max(axis=1, keepdims=True)
     likely = np.exp(np.maximum(log_likely - top, -60)).astype(np.float32)
@@ -135,36 +136,54 @@ def predict_run(run: list[str], model: np.ndarray) -> tuple[np.ndarray, np.ndarr
     share, _ = proportions(likely, begins, everything, words)
     place = np.argsort(np.argsort(-share, axis=1, kind="stable"), axis=1, kind="stable")
     least = np.full(len(numbers), np.inf)
-    for k in range(1, min(MOST_LANGUAGES, model.shape[1]) + 1):
+    for k in range(1, model.shape[1] + 1):
+        # No word is likelier than in its best language, where it counts as 1: no cost is below its penalty.
+        left = (k - 1) * np.log(np.maximum(words, 2)) < least - 1e-9
+        if not left.all():
+            likely = likely[np.repeat(left, words)]
+            numbers, words, place, least = numbers[left], words[left], place[left], least[left]
+            begins = np.cumsum(words) - words
+        if not len(numbers):
+            break
         now, fit = proportions(likely, begins, (place < k).astype(np.float32), words)
         cost = -2 * fit + (k - 1) * np.log(np.maximum(words, 2))
         better = cost < least - 1e-9
         least = np.where(better, cost, least)
-        best[numbers[better]] = now[better].argmax(axis=1)
-        score[numbers[better]] = now[better].max(axis=1)
-    return best, np.clip(score, 0.0, 1.0)
+        out[numbers[better]] = now[better]
+    return np.clip(out, 0.0, 1.0)
 
 
 def predict(df: DataFrame, names: list[str], model: np.ndarray, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """`key, lang_pred, score` per row. The model (256 KB a language) goes out by broadcast."""
+    """`key, held_out, languages` per row: the best set as (lang, proportion), largest first.
+
+    The model (256 KB a language) goes out by broadcast.
+    """
     shared = df.sparkSession.sparkContext.broadcast(model)
-    labels = np.array([*names, "und"], dtype=object)
+    labels = np.array(names, dtype=object)
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            best, score = np.full(len(batch), -1), np.zeros(len(batch))
-            for first, run in chunks(batch["_text"].tolist()):
-                best[first : first + len(run)], score[first : first + len(run)] = predict_run(run, shared.value)
-            yield pd.DataFrame({"_key": batch["_key"], "held_out": batch["_held"], "lang_pred": labels[best], "score": score})
+            said, share = [], []
+            for _, run in chunks(batch["_text"].tolist()):
+                for own in predict_run(run, shared.value):
+                    order = np.argsort(-own, kind="stable")[: np.count_nonzero(own)]
+                    said.append(labels[order].tolist())
+                    share.append(own[order])
+            yield pd.DataFrame({"_key": batch["_key"], "held_out": batch["_held"], "_said": said, "_share": share})
 
     kind = df.schema[key].dataType.simpleString()
+    pair = F.zip_with("_said", "_share", lambda a, b: F.struct(a.alias("lang"), b.alias("proportion")))
     return (
         df.select(F.col(key).alias("_key"), held_out(key).alias("_held"), F.col(text).alias("_text"))
-        .mapInPandas(rows, f"_key {kind}, held_out boolean, lang_pred string, score double")
-        .withColumnRenamed("_key", key)
+        .mapInPandas(rows, f"_key {kind}, held_out boolean, _said array<string>, _share array<double>")
+        .select(F.col("_key").alias(key), "held_out", pair.alias("languages"))
     )
 
 
 def language_query(df: DataFrame) -> DataFrame:
     names, model = learn(df, "doc_id", "text", "lang")
-    return predict(df, names, model)
+    first = F.get("languages", F.lit(0))
+    return predict(df, names, model).select(
+        "doc_id", "held_out", F.coalesce(first["lang"], F.lit("und")).alias("lang_pred"),
+        F.coalesce(first["proportion"], F.lit(0.0)).alias("score"),
+    )

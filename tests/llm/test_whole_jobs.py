@@ -4,7 +4,7 @@ import random
 from collections import Counter
 
 import numpy as np
-from clickloom.llm import line_dedup, secrets, toxicity
+from clickloom.llm import language, line_dedup, secrets, toxicity
 
 
 def test_toxicity_learns_from_the_whole_bound_and_moves_only_screened_terms(spark, monkeypatch):
@@ -47,3 +47,19 @@ def test_secrets_passes_uniform_tokens_of_every_encoding(spark):
     got = {r.doc_id: r.spans for r in secrets.secrets_query(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
     assert sum("random:" in got[i] for i, _ in wanted) >= 0.97 * len(wanted)
     assert not any(got[i] for i in got if i < 0)
+
+
+def test_language_sets_have_no_bound(spark):
+    random.seed(5)
+    letters = {f"l{i}": "abcdefghijklmnopqrstuvwx"[4 * i : 4 * i + 4] for i in range(6)}
+    words = lambda lang, n: ["".join(random.choices(letters[lang], k=6)) for _ in range(n)]
+    learnt = [(100 + i, " ".join(words(f"l{i % 6}", 200)), f"l{i % 6}") for i in range(60)]
+    mixed = [(i, " ".join(w for lang in list(letters)[:i] for w in words(lang, 40)), None) for i in range(7)]
+    df = spark.createDataFrame(learnt + mixed, "doc_id long, text string, lang string")
+    names, model = language.learn(df, "doc_id", "text", "lang")
+    sets = {r.doc_id: r.languages for r in language.predict(df, names, model).where("doc_id < 7").collect()}
+    for i in range(7):
+        assert sorted(x.lang for x in sets[i]) == list(letters)[:i]
+        assert all(abs(x.proportion - 1 / i) < 0.02 for x in sets[i])
+    score = {r.doc_id: (r.lang_pred, r.score) for r in language.language_query(df).where("doc_id < 7").collect()}
+    assert score[0] == ("und", 0.0) and abs(score[6][1] - 1 / 6) < 0.02
