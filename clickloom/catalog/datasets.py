@@ -4,24 +4,29 @@ from __future__ import annotations
 
 import warnings
 
-from pyspark.sql import Window, functions as F
+from pyspark.sql import Window, functions as F, types as T
 
 from clickloom.catalog.clicks import TRAIN_DAYS, clicks, clicks_sql, int_clicks_sql
 from clickloom.catalog.features import fitted_workflow, int_clicks
-from clickloom.catalog.sqltext import counts_cte, rounded, transformed_ctes, with_clicks
+from clickloom.catalog.sqltext import counts_cte, rounded, transformed_columns_sql, transformed_ctes, with_clicks
 from clickloom.operators.shuffle import assign_batches, shuffle_rows
 from clickloom.plans.jobs import load_and_validate, preprocess_files, preprocess_tables
 from clickloom.schema import categorical_columns, columns_named, continuous_columns, label_columns, rename_scheme
 from clickloom.sources.scans import (
+    FILE_LIST_NAME,
+    MANIFEST_NAME,
     day_range,
     decode_categoricals,
+    read_manifest,
     read_sidecar,
     sample_rows,
+    scan_checked,
     scan_delimited,
     scan_manifest,
     scan_orc,
     scan_parquet,
     scan_table,
+    split_checked,
     union_days,
     with_row_key,
 )
@@ -33,7 +38,7 @@ from clickloom.sources.sinks import (
     write_sidecar,
     write_split,
 )
-from clickloom.storage import materialize, scratch_path
+from clickloom.storage import materialize, read_text, scratch_path
 
 CATS, CONTS = categorical_columns(), continuous_columns()
 RECORD = [*label_columns(), *CONTS, *CATS]
@@ -76,9 +81,61 @@ def csv_days(spark, sf):
     )
 
 
+def _texts(overrides: dict[str, str] | None = None, columns: list[str] = RECORD) -> str:
+    """A raw line in SQL that both engines read."""
+    fields = [(overrides or {}).get(c, f"coalesce(CAST({c} AS STRING), '')") for c in columns]
+    return f"concat_ws(chr(9), {', '.join(fields)})"
+
+
+# What is wrong with a line, in the order of the kinds of `damaged_sql`.
+FAULTS = ["surplus fields", "missing fields", "not a number: label", "not a number: I1,I2", "stray quote"]
+
+
+def damaged_sql() -> str:
+    """Raw lines of which one in eight has a fault, by `event_id` modulo 40, with a quote in pairs in one more."""
+    kinds = [
+        f"{_texts()} || chr(9) || 'x'", _texts(columns=RECORD[:-1]), _texts({"label": "'1.5'"}),
+        _texts({"I1": "'99999999999'", "I2": "'seven'"}), _texts({"C3": "'\"abc'"}), _texts({"C4": "'\"ab\"'"}),
+    ]
+    return "CASE event_id % 40 " + " ".join(f"WHEN {k} THEN {text}" for k, text in enumerate(kinds)) + f" ELSE {_texts()} END"
+
+
+def _checked(spark, sf):
+    """Damaged day files, scanned."""
+    path = scratch_path(spark, "damaged")
+    clicks(spark, sf).selectExpr("day", f"{damaged_sql()} AS value").write.partitionBy("day").text(path)
+    return split_checked(materialize(scan_checked(spark, day_range(path, 0, 29, DAYS)), "checked"))
+
+
+def csv_rejects(spark, sf):
+    """The lines that cannot be used, by day, with the reason."""
+    day = F.regexp_extract("file", r"day=(\d+)", 1).cast("int")
+    return _checked(spark, sf)[1].select(day.alias("day"), "line", "reason")
+
+
+def csv_accepted(spark, sf):
+    """The records of the other lines."""
+    return _checked(spark, sf)[0]
+
+
+def csv_quoted_rejects(spark, sf):
+    """Comma-separated lines with quoted fields: rejects among lines that hold the separator in quotes."""
+    path = scratch_path(spark, "quoted")
+    text = "CASE event_id % 4 WHEN 0 THEN concat_ws(',', label, 'a', 'b', 'c') WHEN 1 THEN concat_ws(',', label, 'a') ELSE concat_ws(',', label, '\"a,b\"', '') END"
+    clicks(spark, sf).selectExpr(f"{text} AS value").write.text(path)
+    rows, rejected = split_checked(scan_checked(spark, path, ",", schema=T.StructType.fromDDL("label int, name string, note string")))
+    both = rows.select(F.lit(None).cast("string").alias("reason"), "label", "name").unionByName(
+        rejected.select("reason", F.lit(None).cast("int").alias("label"), F.col("line").alias("name"))
+    )
+    return both.groupBy("reason", "label", "name").agg(F.count("*").alias("n"))
+
+
 def sampled_read(spark, sf):
-    df = scan_delimited(spark, write_days(spark, sf), recursive=True)
-    return sample_rows(df, 5_000).agg(F.count("*").alias("n"))
+    """The first 5,000 lines of the log by file and line; a day's lines are in the order of their events."""
+    path = scratch_path(spark, "ordered")
+    days = clicks(spark, sf).repartition("day").sortWithinPartitions("day", "event_id")
+    days.select("day", *RECORD).write.partitionBy("day").option("sep", "\t").csv(path)
+    return sample_rows(scan_delimited(spark, path, recursive=True), 5_000)
 
 
 def union_of_days(spark, sf):
@@ -125,9 +182,9 @@ def table_scan(spark, sf):
     return scan_table(spark, name).groupBy("day").agg(F.count("*").alias("n"))
 
 
-def _loaded(spark, sf) -> tuple[dict, dict]:
+def _loaded(spark, sf, root: str | None = None) -> tuple[dict, dict]:
     """Raw day files in train and valid tables: what the load reports, and the tables' names."""
-    root, name = write_days(spark, sf), _database(spark, "db")
+    root, name = root or write_days(spark, sf), _database(spark, "db")
     tables = {"train": f"{name}.train", "valid": f"{name}.valid"}
     paths = {"train": day_range(root, 0, 22, DAYS), "valid": day_range(root, 23, 29, DAYS)}
     return load_and_validate(spark, paths, tables), tables
@@ -151,6 +208,24 @@ def table_types(spark, sf):
     return scan_table(spark, _loaded(spark, sf)[1]["train"])
 
 
+LARGE = 1_000_000_007  # counts times this no longer fit 32 bits
+
+
+def load_large_values(spark, sf):
+    """Counts beyond 32 bits, from day files to the training table."""
+    path = scratch_path(spark, "large")
+    counts = [(F.col(c).cast("bigint") * LARGE).alias(c) for c in CONTS]
+    clicks(spark, sf).select("day", "label", *counts, *CATS).write.partitionBy("day").option("sep", "\t").csv(path)
+    return scan_table(spark, _loaded(spark, sf, path)[1]["train"])
+
+
+def load_rejects(spark, sf):
+    """Rejected lines of a load, by split and reason."""
+    path = scratch_path(spark, "damaged")
+    clicks(spark, sf).selectExpr("day", f"{damaged_sql()} AS value").write.partitionBy("day").text(path)
+    return _loaded(spark, sf, path)[0]["rejected"].groupBy("split", "reason").agg(F.count("*").alias("n"))
+
+
 def prepare_tables(spark, sf, out: str):
     """The table job over the loaded tables."""
     _, tables = _loaded(spark, sf)
@@ -242,7 +317,20 @@ def manifest_rows(spark, sf):
 def manifest_scan(spark, sf):
     _, _, path = _transformed(spark, sf)
     write_manifest(spark, path)
-    return scan_manifest(spark, path).groupBy("label").agg(F.count("*").alias("n"))
+    done = scan_manifest(spark, path)
+    return done.select("event_id", *CATS, *[(F.round(F.col(c).cast("double"), 4) + 0.0).alias(c) for c in CONTS], "label")
+
+
+def manifest_of_some(spark, sf):
+    """Three of four files listed: rows of the others are not read, and the text copy agrees with the table."""
+    _, _, path = _transformed(spark, sf)
+    write_manifest(spark, path)
+    listed = materialize(read_manifest(spark, path).orderBy("file").limit(3), "listed")
+    listed.write.mode("overwrite").parquet(f"{path}/{MANIFEST_NAME}")
+    lines = read_text(spark, f"{path}/{FILE_LIST_NAME}").splitlines()
+    return scan_manifest(spark, path).agg(F.count("*").alias("n")).select(
+        (F.col("n") == listed.agg(F.sum("num_rows")).first()[0]).alias("as_listed"), F.lit(len(lines) == int(lines[0]) + 1).alias("all_in_text"),
+    )
 
 
 def preprocess_job(spark, sf):
@@ -289,6 +377,12 @@ QUERIES = {
     "sidecar": sidecar,
     "manifest_rows": manifest_rows,
     "manifest_scan": manifest_scan,
+    "manifest_of_some": manifest_of_some,
+    "csv_rejects": csv_rejects,
+    "csv_accepted": csv_accepted,
+    "csv_quoted_rejects": csv_quoted_rejects,
+    "load_large_values": load_large_values,
+    "load_rejects": load_rejects,
     "preprocess_job": preprocess_job,
     "preprocess_rows": preprocess_rows,
     "table_job": table_job,
@@ -340,7 +434,7 @@ SQL = {
     "csv_missing_path": _RECORDS,
     "csv_inferred": f"SELECT label, {', '.join(CONTS)} FROM ({clicks_sql()})",
     "csv_days": f"{_RECORDS} WHERE {TRAIN_DAYS}",
-    "sampled_read": f"SELECT least(5000, count(*)) AS n FROM ({clicks_sql()})",
+    "sampled_read": f"SELECT {', '.join(RECORD)} FROM ({clicks_sql()}) ORDER BY 'day=' || day, event_id LIMIT 5000",
     "union_days": _VIEW,
     "csv_to_parquet": _RECORDS,
     "orc_scan": _VIEW,
@@ -367,8 +461,27 @@ SQL = {
     ),
     "manifest_rows": "SELECT CAST(4 AS BIGINT) AS files, count(*) AS num_rows "
     f"FROM ({clicks_sql()}) WHERE {TRAIN_DAYS}",
-    "manifest_scan": f"SELECT label, count(*) AS n FROM ({clicks_sql()}) WHERE {TRAIN_DAYS} "
-    "GROUP BY label",
+    "manifest_scan": with_clicks(
+        f"SELECT {transformed_columns_sql()} FROM done WHERE {TRAIN_DAYS}", True, *transformed_ctes()
+    ),
+    "manifest_of_some": "SELECT true AS as_listed, true AS all_in_text",
+    "csv_rejects": f"SELECT day, {damaged_sql()} AS line, CASE event_id % 40 "
+    + " ".join(f"WHEN {k} THEN '{fault}'" for k, fault in enumerate(FAULTS))
+    + f" END AS reason FROM ({clicks_sql()}) WHERE event_id % 40 < {len(FAULTS)}",
+    "csv_accepted": f"SELECT {', '.join(RECORD)} FROM (SELECT * REPLACE (CASE WHEN event_id % 40 = 5 THEN '\"ab\"' ELSE C4 END AS C4) "
+    f"FROM ({clicks_sql()})) WHERE event_id % 40 >= {len(FAULTS)}",
+    "csv_quoted_rejects": "SELECT CASE event_id % 4 WHEN 0 THEN 'surplus fields' WHEN 1 THEN 'missing fields' END AS reason, "
+    "CASE WHEN event_id % 4 > 1 THEN label END AS label, CASE event_id % 4 WHEN 0 THEN label || ',a,b,c' WHEN 1 THEN label || ',a' "
+    f"ELSE 'a,b' END AS name, count(*) AS n FROM ({clicks_sql()}) GROUP BY ALL",
+    "load_large_values": "SELECT CAST(label AS BIGINT) AS label, "
+    + ", ".join(f"CAST({c} AS BIGINT) * {LARGE} AS num_feature_{k}" for k, c in enumerate(CONTS, 1))
+    + ", "
+    + ", ".join(f"{c} AS cat_feature_{k}" for k, c in enumerate(CATS, 1))
+    + f" FROM ({clicks_sql()}) WHERE {TRAIN_DAYS}",
+    # Under the table's types 99999999999 is a number, so there only the second count is none.
+    "load_rejects": f"SELECT CASE WHEN {TRAIN_DAYS} THEN 'train' ELSE 'valid' END AS split, CASE event_id % 40 "
+    + " ".join(f"WHEN {k} THEN '{x}'" for k, x in enumerate([*FAULTS[:3], "not a number: num_feature_2", FAULTS[4]]))
+    + f" END AS reason, count(*) AS n FROM ({clicks_sql()}) WHERE event_id % 40 < {len(FAULTS)} GROUP BY ALL",
     "preprocess_job": with_clicks(
         "SELECT col, code, count(*) AS n FROM ("
         + " UNION ALL ".join(

@@ -32,6 +32,7 @@ from clickloom.plans.ops import Categorify, Clip, FillMissing, Normalize
 from clickloom.plans.jobs import load_package
 from clickloom.plans.workflow import Workflow
 from clickloom.schema import categorical_columns, continuous_columns
+from clickloom.sources.scans import scan_requests
 from clickloom.storage import materialize, scratch_path
 from clickloom.streaming import requests
 
@@ -267,7 +268,7 @@ def rejected_requests(spark, sf):
             ).otherwise(x),
         ),
     )
-    return requests.decode(shortened)[1]
+    return requests.decode(shortened)[1].select("id", "reason")
 
 
 # Why the k-th kind of damaged request is rejected, in the order of `damaged`.
@@ -297,7 +298,36 @@ def rejected_all_reasons(spark, sf):
     changed = inputs
     for k, damage in enumerate(damaged):
         changed = F.when(kind == k, damage).otherwise(changed)
-    return requests.decode(request_batch(spark, sf).withColumn("inputs", changed))[1]
+    return requests.decode(request_batch(spark, sf).withColumn("inputs", changed))[1].select("id", "reason")
+
+
+def _unreadable(spark, sf) -> str:
+    """Request files in which three of four documents do not parse: cut short, no JSON, of another shape."""
+    good = F.to_json(F.struct("id", "inputs"))
+    kind = F.col("id").cast("bigint") % 4
+    text = (
+        F.when(kind == 1, F.concat(F.lit('{"id": "'), "id", F.lit('", "inputs": [')))
+        .when(kind == 2, F.concat(F.lit("plain words "), "id"))
+        .when(kind == 3, F.concat(F.lit('{"id": "'), "id", F.lit('", "inputs": 5}')))
+        .otherwise(good)
+    )
+    path = scratch_path(spark, "request-files")
+    request_batch(spark, sf).select(text.alias("value")).write.text(path)
+    return path
+
+
+def rejected_text(spark, sf):
+    return requests.decode(scan_requests(spark, _unreadable(spark, sf)))[1].select("reason", "text")
+
+
+def rejected_text_stream(spark, sf):
+    """The same documents read as a stream: the rejects of every micro-batch."""
+    fitted, root = fitted_workflow(spark, sf), scratch_path(spark, "stream")
+    query = requests.score_stream(
+        spark, _unreadable(spark, sf), f"{root}/out", f"{root}/state", fitted, model_of(fitted, NARROW)
+    )
+    query.awaitTermination()
+    return spark.read.parquet(f"{root}/out/rejected").select("reason", "text")
 
 
 def encode_scores(spark, sf):
@@ -393,6 +423,8 @@ QUERIES = {
     "auc_nulls": auc_nulls,
     "fm_step": fm_step_query,
     "rejected_all_reasons": rejected_all_reasons,
+    "rejected_text": rejected_text,
+    "rejected_text_stream": rejected_text_stream,
     "package_score": package_score,
 }
 
@@ -512,6 +544,11 @@ _BEST = " UNION ALL ".join(
     for c in CONTS
 )
 
+_UNREADABLE = (
+    "SELECT 'unreadable' AS reason, CASE r % 4 WHEN 1 THEN '{\"id\": \"' || r || '\", \"inputs\": [' WHEN 2 THEN 'plain words ' || r "
+    "ELSE '{\"id\": \"' || r || '\", \"inputs\": 5}' END AS text FROM (SELECT DISTINCT event_id // 8 AS r FROM events) WHERE r % 4 <> 0"
+)
+
 SQL = {
     "best_column": "SELECT col, auc, CAST(row_number() OVER (ORDER BY auc DESC, col) AS INTEGER) AS place "
     f"FROM ({_BEST})",
@@ -536,6 +573,8 @@ SQL = {
     "rejected_all_reasons": "SELECT CAST(r AS VARCHAR) AS id, CASE r % 9 "
     + " ".join(f"WHEN {k} THEN '{reason}'" for k, reason in enumerate(REASONS))
     + " END AS reason FROM (SELECT DISTINCT event_id // 8 AS r FROM events) WHERE r % 9 <> 8",
+    "rejected_text": _UNREADABLE,
+    "rejected_text_stream": _UNREADABLE,
     "embedding_sum": with_clicks(
         "SELECT c.event_id, "
         + ", ".join(f"round(coalesce(l.v{j}, 0.0::DOUBLE), 4) + 0.0 AS v{j}" for j in range(VECTOR))

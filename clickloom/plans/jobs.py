@@ -16,10 +16,12 @@ from clickloom.schema import ROW_KEY, categorical_columns, continuous_columns, r
 from clickloom.sources.scans import (
     decode_categoricals,
     read_cardinalities,
+    scan_checked,
     scan_delimited,
     scan_manifest,
     scan_parquet,
     scan_table,
+    split_checked,
     with_row_key,
 )
 from clickloom.sources.sinks import (
@@ -30,6 +32,7 @@ from clickloom.sources.sinks import (
     write_sidecar,
     write_split,
 )
+from clickloom.storage import materialize
 
 TRAIN, VALID = "train", "valid"
 
@@ -108,10 +111,18 @@ def preprocess_tables(
 def load_and_validate(
     spark: SparkSession, paths: dict[str, Sequence[str]], tables: dict[str, str], sep: str = "\t"
 ) -> dict[str, DataFrame]:
-    """Load each split's files into its table; row counts, label shares and a preview."""
+    """Load each split's good lines into its table; row counts, label shares, a preview and the rejects.
+
+    Lines are read under the table's own 64-bit types. `rejected` has `(split, file, line, reason)` of
+    the lines left out.
+    """
+    rejected = None
     for split, files in paths.items():
-        rows = rename_scheme(scan_delimited(spark, files, sep), "table")
-        load_table(rows.select(*[F.col(f.name).cast(f.dataType) for f in table_schema()]), tables[split])
+        checked = materialize(scan_checked(spark, files, sep, schema=table_schema()), f"checked-{split}")
+        rows, lost = split_checked(checked)
+        load_table(rows, tables[split])
+        lost = lost.select(F.lit(split).alias("split"), "*")
+        rejected = lost if rejected is None else rejected.unionByName(lost)
     train = scan_table(spark, tables[TRAIN])
     counted = None
     for split, name in tables.items():
@@ -122,6 +133,7 @@ def load_and_validate(
         "label_counts": label_counts(train),
         "label_percent": label_percent(train),
         "preview": preview(train, *train.columns),
+        "rejected": rejected,
     }
 
 

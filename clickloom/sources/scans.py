@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import re
 import warnings
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from clickloom.functions.scalar import hex_to_int32
+from clickloom.operators.ordering import running_total
 from clickloom.schema import ROW_KEY, categorical_columns, raw_schema
-from clickloom.storage import exists, read_text
+from clickloom.storage import exists
 
-MANIFEST_NAME = "_file_list.txt"
+MANIFEST_NAME = "_manifest"
+FILE_LIST_NAME = "_file_list.txt"
 SIDECAR_NAME = "_schema"
 
 
@@ -38,8 +41,9 @@ def scan_delimited(
 ) -> DataFrame:
     """Headerless delimited files or directories under one fixed schema.
 
-    Empty and malformed fields are null. With `infer` and no schema the types come from
-    the data, which costs a pass over the files; a given schema always wins.
+    Empty and malformed fields are null, surplus fields are dropped and missing ones null, all
+    without a word: `scan_checked` tells the good lines from the others. With `infer` and no
+    schema the types come from the data, which costs a pass over the files; a given schema wins.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     reader = spark.read.option("sep", sep).option("header", False)
@@ -54,6 +58,77 @@ def scan_delimited(
     return reader.csv(present_paths(spark, paths))
 
 
+def _number(field: Column, kind: T.DataType) -> Column:
+    """The field as a number, null where it is none of that size. Blanks around it are not skipped."""
+    whole = isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
+    return F.when(field.rlike(r"^[+-]?[0-9]+$" if whole else r"^\S+$"), field.try_cast(kind))
+
+
+def _fields(line: Column, n: int, sep: str) -> tuple[Column, Column]:
+    """The fields of a line as text, and how many it has. Only tab-separated lines do not quote."""
+    if sep == "\t":
+        fields = F.split(line, "\t", -1)
+        return fields, F.size(fields)
+    names = [f"f{i}" for i in range(n)]
+    parsed = F.from_csv(line, ", ".join(f"{x} string" for x in names), {"sep": sep})
+    bare = F.regexp_replace(line, '"[^"]*"', "")  # a separator in quotes parts nothing
+    return F.array(*[parsed[x] for x in names]), F.size(F.split(bare, re.escape(sep), -1))
+
+
+def scan_checked(
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    sep: str = "\t",
+    recursive: bool = False,
+    schema: T.StructType | None = None,
+) -> DataFrame:
+    """Lines of headerless delimited files with their fields, and why a line cannot be used.
+
+    Columns: those of the schema, `_file`, `_line` and `_reason`. The reason is null for a good
+    line, else, in this order: `stray quote` (an odd number of them), `surplus fields`, `missing
+    fields`, or `not a number: <columns>`. Fields of a rejected line are null. Empty fields are null
+    and no fault; lines without a character are skipped. It is one pass over the files, as text.
+    """
+    schema = schema or raw_schema()
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    reader = spark.read.option("recursiveFileLookup", True) if recursive else spark.read
+    lines = reader.text(present_paths(spark, paths)).where("value != ''")
+    n = len(schema)
+    values, count = _fields(F.col("value"), n, sep)
+    fields = lines.select(
+        F.col("_metadata.file_path").alias("_file"), F.col("value").alias("_line"), values.alias("_fields"), count.alias("_count")
+    )
+    texts, wrong = {}, []
+    for i, field in enumerate(schema):
+        text = F.nullif(F.get("_fields", F.lit(i)), F.lit(""))
+        if not isinstance(field.dataType, T.StringType):
+            number = _number(text, field.dataType)
+            wrong.append(F.when(text.isNotNull() & number.isNull(), F.lit(field.name)))
+            text = number
+        texts[field.name] = text
+    bad = F.array_compact(F.array(*wrong)) if wrong else F.array().cast("array<string>")
+    quotes = F.length("_line") - F.length(F.replace("_line", F.lit('"'), F.lit("")))
+    reason = (
+        F.when(quotes % 2 == 1, "stray quote")
+        .when(F.col("_count") > n, "surplus fields")
+        .when(F.col("_count") < n, "missing fields")
+        .when(F.size(bad) > 0, F.concat(F.lit("not a number: "), F.array_join(bad, ",")))
+    )
+    checked = fields.withColumn("_reason", reason)
+    good = F.col("_reason").isNull()
+    return checked.select(*[F.when(good, x).alias(name) for name, x in texts.items()], "_file", "_line", "_reason")
+
+
+def split_checked(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """`(rows, rejected)` of a checked scan: the schema's columns, and `(file, line, reason)`.
+
+    Write the checked scan first where both are used, else the files are read twice.
+    """
+    rows = checked.where(F.col("_reason").isNull()).drop("_file", "_line", "_reason")
+    rejected = checked.where(F.col("_reason").isNotNull())
+    return rows, rejected.select(F.col("_file").alias("file"), F.col("_line").alias("line"), F.col("_reason").alias("reason"))
+
+
 def decode_categoricals(df: DataFrame) -> DataFrame:
     """Hex text of the categorical columns to signed ints."""
     return df.withColumns({c: hex_to_int32(F.col(c)) for c in categorical_columns()})
@@ -70,8 +145,27 @@ def day_range(root: str, first: int, last: int, name: str = "day_{}") -> list[st
 
 
 def sample_rows(df: DataFrame, rows: int) -> DataFrame:
-    """The first rows of a scan."""
-    return df.limit(rows)
+    """The first rows of a scan of files: by path, then by place in the file.
+
+    Rows are counted by split first, and the splits' counts summed in order, slice by slice, up
+    to the one with the last row wanted. Whole splits before it are chosen by a condition on their
+    file and place, which also spares reading the files behind; of the last one the first rows
+    are taken by their number in it. No row goes through a single task.
+    """
+    if rows <= 0:
+        return df.limit(0)
+    split = [F.col("_metadata.file_path"), F.col("_metadata.file_block_start")]
+    place = df.select("*", split[0].alias("_file"), split[1].alias("_block"))
+    counts = place.groupBy("_file", "_block").agg(F.count("*").alias("_n")).withColumn("_all", F.lit(0))
+    before = running_total(counts, "_all", [F.col("_file").asc(), F.col("_block").asc()], F.col("_n"), "_before", "splits")
+    last = before.where((F.col("_before") < rows) & (F.col("_before") + F.col("_n") >= rows)).first()
+    if last is None:
+        return df
+    here = (split[0] == last["_file"]) & (split[1] == last["_block"])
+    earlier = df.where((split[0] < last["_file"]) | ((split[0] == last["_file"]) & (split[1] < last["_block"])))
+    numbered = df.where(here).withColumn("_nth", F.monotonically_increasing_id())
+    first = numbered.agg(F.min("_nth")).first()[0]  # of one split, so its rows are numbered without a gap
+    return earlier.unionByName(numbered.where(F.col("_nth") < first + rows - last["_before"]).drop("_nth"))
 
 
 def scan_parquet(spark: SparkSession, directory: str) -> DataFrame:
@@ -97,17 +191,23 @@ def union_days(frames: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
-def read_manifest(spark: SparkSession, directory: str) -> list[str]:
-    """Shard paths listed beside the data: a count line, then one path per line."""
-    lines = read_text(spark, f"{directory.rstrip('/')}/{MANIFEST_NAME}").splitlines()
-    count, files = int(lines[0]), lines[1:]
-    if count != len(files):
-        raise ValueError(f"manifest of {directory} announces {count} files, lists {len(files)}")
-    return files
+def read_manifest(spark: SparkSession, directory: str) -> DataFrame:
+    """`(file, num_rows)`, the shards listed beside the data."""
+    return spark.read.schema("file string, num_rows bigint").parquet(f"{directory.rstrip('/')}/{MANIFEST_NAME}")
 
 
 def scan_manifest(spark: SparkSession, directory: str) -> DataFrame:
-    return spark.read.parquet(*read_manifest(spark, directory))
+    """The rows of the listed shards, by a join on the file that a row comes from.
+
+    A listed shard that is not there, or has another number of rows, is an error.
+    """
+    listed, rows = read_manifest(spark, directory), spark.read.parquet(directory)
+    there = rows.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count("*").alias("num_rows"))
+    lost = listed.where("num_rows > 0").join(there, ["file", "num_rows"], "left_anti").limit(3).collect()
+    if lost:
+        raise FileNotFoundError(f"not as listed in the manifest of {directory}: {[r['file'] for r in lost]}")
+    placed = rows.select("*", F.col("_metadata.file_path").alias("_shard"))
+    return placed.join(listed.select(F.col("file").alias("_shard")), "_shard", "left_semi").drop("_shard")
 
 
 def read_sidecar(spark: SparkSession, directory: str) -> DataFrame:
@@ -128,9 +228,11 @@ REQUEST_SCHEMA = (
     "id string, inputs array<struct<name: string, shape: array<int>, "
     "datatype: string, data: array<bigint>>>"
 )
+REQUEST_TEXT = "text"  # holds the document where it does not parse
 
 
 def scan_requests(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
-    """Scoring requests, one JSON document per line."""
+    """Scoring requests, one JSON document per line; `text` keeps those that do not parse."""
     reader = spark.readStream if stream else spark.read
-    return reader.schema(REQUEST_SCHEMA).json(path)
+    reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", REQUEST_TEXT)
+    return reader.schema(f"{REQUEST_SCHEMA}, {REQUEST_TEXT} string").json(path)

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import json
+from itertools import chain
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clickloom.operators.shuffle import shuffle_rows
 from clickloom.schema import role_of
-from clickloom.sources.scans import MANIFEST_NAME, SIDECAR_NAME
-from clickloom.storage import write_text
+from clickloom.sources.scans import FILE_LIST_NAME, MANIFEST_NAME, SIDECAR_NAME, read_manifest
+from clickloom.storage import write_lines, write_text
 
 
 def split_path(root: str, split: str) -> str:
@@ -41,13 +42,16 @@ def manifest(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
-def write_manifest(spark: SparkSession, directory: str) -> list[str]:
-    """List the shards in a text file beside them; one line per file reaches the driver."""
-    files = [r["file"] for r in manifest(spark, directory).orderBy("file").select("file").collect()]
-    write_text(
-        spark, f"{directory.rstrip('/')}/{MANIFEST_NAME}", "\n".join([str(len(files)), *files]) + "\n"
-    )
-    return files
+def write_manifest(spark: SparkSession, directory: str) -> None:
+    """List the shards and their rows in a table beside them, and their paths in a text file.
+
+    The text file is a count line and then one path per line; it is written as the paths arrive.
+    """
+    directory = directory.rstrip("/")
+    manifest(spark, directory).write.mode("overwrite").parquet(f"{directory}/{MANIFEST_NAME}")
+    listed = read_manifest(spark, directory).select("file").orderBy("file")
+    lines = (f"{r['file']}\n" for r in listed.toLocalIterator())
+    write_lines(spark, f"{directory}/{FILE_LIST_NAME}", chain([f"{listed.count()}\n"], lines))
 
 
 def sidecar_rows(df: DataFrame, cardinalities: dict[str, int]) -> list[dict]:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import uuid
+from collections.abc import Iterable
 
 from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
@@ -70,10 +71,16 @@ def exists(spark: SparkSession, pattern: str) -> bool:
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
+    write_lines(spark, path, [text])
+
+
+def write_lines(spark: SparkSession, path: str, lines: Iterable[str]) -> None:
+    """Write pieces of text one after the other, without holding them all."""
     fs, jpath = _handle(spark, path)
     stream = fs.create(jpath, True)
     try:
-        stream.write(bytearray(text.encode("utf-8")))
+        for line in lines:
+            stream.write(bytearray(line.encode("utf-8")))
     finally:
         stream.close()
 

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from clickloom.functions.scalar import to_int32
 from clickloom.model.deepfm import DeepFM, RawScorer
 from clickloom.schema import categorical_columns, continuous_columns
-from clickloom.sources.scans import REQUEST_SCHEMA, scan_requests
+from clickloom.sources.scans import REQUEST_TEXT, scan_requests
 from clickloom.storage import delete, scratch_path
 
 
@@ -47,15 +47,19 @@ def rejection(features: Sequence[str]) -> Column:
 def decode(
     requests: DataFrame, features: Sequence[str] | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """`(rows, rejected)`: one row `(request, id, pos, features..)` per record; rejects with a reason.
+    """`(rows, rejected)`: one row `(request, id, pos, features..)` per record; rejects `(id, reason, text)`.
 
-    `request` numbers the documents read: clients may send the same id again and again.
+    `request` numbers the documents read: clients may send the same id again and again. A document
+    that did not parse as a whole (`text` of the scan) is unreadable, whatever was read of it, and is
+    kept as text; the other rejects have null there.
     """
     features = list(features or request_features())
+    text = F.col(REQUEST_TEXT) if REQUEST_TEXT in requests.columns else F.lit(None).cast("string")
+    why = F.when(text.isNotNull(), "unreadable").otherwise(rejection(features))
     checked = requests.select(
-        "*", rejection(features).alias("reason"), F.monotonically_increasing_id().alias("request")
+        "id", "inputs", text.alias("text"), why.alias("reason"), F.monotonically_increasing_id().alias("request")
     )
-    rejected = checked.where(F.col("reason").isNotNull()).select("id", "reason")
+    rejected = checked.where(F.col("reason").isNotNull()).select("id", "reason", "text")
     names = checked.where(F.col("reason").isNull()).withColumn("_names", _names())
     arrays = names.select(
         "request",
@@ -124,7 +128,7 @@ def score_stream(
     def run(batch: DataFrame, number: int) -> None:
         path = scratch_path(spark, "requests")
         batch.write.parquet(path)
-        requests = spark.read.schema(REQUEST_SCHEMA).parquet(path)
+        requests = spark.read.schema(batch.schema).parquet(path)
         responses, rejected = _answers(requests, scorer)
         responses.write.mode("overwrite").parquet(f"{out}/responses/batch={number}")
         rejected.write.mode("overwrite").parquet(f"{out}/rejected/batch={number}")

@@ -139,7 +139,7 @@ def test_file_job_leaves_data_manifest_and_side_table(spark, view, raw, tmp_path
     )
     files = read_manifest(spark, done.train_dir)
     train = scan_manifest(spark, done.train_dir)
-    assert len(files) == 3 and train.count() == view.where("day < 2").count()
+    assert files.count() == 3 and train.count() == view.where("day < 2").count()
     assert train.select(ROW_KEY).distinct().count() == train.count()
     sizes = read_cardinalities(spark, done.valid_dir)
     assert list(sizes) == categorical_columns()
