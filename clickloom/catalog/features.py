@@ -17,6 +17,7 @@ from clickloom.catalog.sqltext import (
     with_clicks,
 )
 from clickloom.operators.lookup import Limits
+from clickloom.operators.moments import moments_by_position
 from clickloom.operators.vocab import (
     Vocabulary,
     cardinality_table,
@@ -135,14 +136,53 @@ FLAGS = ["l_returnflag", "l_linestatus"]
 
 
 def categorify_lineitem(spark, sf):
-    """Ints and text of a sales table, counted as two vocabularies."""
+    """Ints and text of a sales table, in one vocabulary."""
     df = spark.read.parquet(f"{sf}/lineitem.parquet").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", *FLAGS
     )
-    out = df
-    for columns in (["l_partkey", "l_suppkey"], FLAGS):
-        out = Vocabulary.fit(df, columns).encode(out)
-    return out
+    return Vocabulary.fit(df, ["l_partkey", "l_suppkey", *FLAGS]).encode(df)
+
+
+# Columns of text, integers, fractions, a time, a date and a truth value.
+MIXED = {
+    "l_shipmode": "concat(l_returnflag, l_linestatus)", "l_suppkey": "l_suppkey - 40", "l_quantity": "l_quantity - 25.5",
+    "l_shipdate": "l_shipdate", "l_day": "CAST(l_shipdate AS DATE)", "l_small": "l_quantity < 10",
+}
+
+
+def _mixed(spark, sf):
+    columns = [f"{expression} AS {name}" for name, expression in MIXED.items()]
+    return spark.read.parquet(f"{sf}/lineitem.parquet").selectExpr("l_orderkey", "l_linenumber", *columns)
+
+
+def vocab_mixed(spark, sf):
+    """One fit over columns of six types; values of each in the order of its own type."""
+    return Vocabulary.fit(_mixed(spark, sf), list(MIXED)).table
+
+
+def categorify_mixed(spark, sf):
+    df = _mixed(spark, sf)
+    return Vocabulary.fit(df, list(MIXED), 40).encode(df)
+
+
+def vector_normalize(spark, sf):
+    """Vectors filled, clipped and normalized position by position, as one column of a workflow."""
+    df = spark.read.parquet(f"{sf}/embeddings.parquet")
+    gaps = F.transform("embedding", lambda v, i: F.when((F.col("vec_id") + i) % 11 != 0, v))
+    stages = [FillMissing(["embedding"], 0), Clip(["embedding"], -0.25, 0.25), Normalize(["embedding"])]
+    fitted = Workflow(stages, ["embedding"]).fit(df.withColumn("embedding", gaps).where("vec_id % 5 > 0"))
+    path = scratch_path(spark, "vectors")
+    fitted.save(path)
+    done = FittedWorkflow.load(spark, path).transform(df.withColumn("embedding", gaps), "vec_id")
+    each = done.select("vec_id", F.posexplode("embedding").alias("pos", "v"))
+    return each.select("vec_id", "pos", (F.round(F.col("v").cast("double"), 4) + 0.0).alias("v"))
+
+
+def vector_moments(spark, sf):
+    """Mean and deviation of every position of the vectors."""
+    df = spark.read.parquet(f"{sf}/embeddings.parquet")
+    rounded_ = [(F.round(c, 6) + 0.0).alias(c) for c in ("mean", "std")]
+    return moments_by_position(df, ["embedding"]).select("col", "pos", *rounded_)
 
 
 def unseen(spark, sf):
@@ -266,6 +306,10 @@ QUERIES = {
     "categorify_string": categorify_string,
     "categorify_topn": categorify_topn,
     "categorify_lineitem": categorify_lineitem,
+    "vocab_mixed": vocab_mixed,
+    "categorify_mixed": categorify_mixed,
+    "vector_normalize": vector_normalize,
+    "vector_moments": vector_moments,
     "unseen_values": unseen,
     "workflow_train": workflow_train,
     "workflow_valid": workflow_valid,
@@ -286,6 +330,17 @@ QUERIES = {
 }
 
 
+def _mixed_vocab_sql():
+    """`mixed` and its `vocab`; each column is counted and ranked on its own."""
+    each = [
+        f"SELECT '{c}' AS col, CAST({c} AS VARCHAR) AS value, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, {c}) AS code "
+        f"FROM mixed GROUP BY {c}"
+        for c in MIXED
+    ]
+    columns = ", ".join(f"{expression} AS {name}" for name, expression in MIXED.items())
+    return f"mixed AS (SELECT l_orderkey, l_linenumber, {columns} FROM lineitem), vocab AS ({' UNION ALL '.join(each)})"
+
+
 def _categorify_sql(ints, max_size=None):
     items, joins = coded(CATS)
     return with_clicks(
@@ -370,6 +425,18 @@ SQL = {
     "categorify_string": _categorify_sql(False),
     "categorify_topn": _categorify_sql(True, 100),
     "categorify_lineitem": _lineitem_sql(),
+    "vocab_mixed": f"WITH {_mixed_vocab_sql()} SELECT * FROM vocab",
+    "categorify_mixed": f"WITH {_mixed_vocab_sql()} SELECT l_orderkey, l_linenumber, "
+    + ", ".join(f"CASE WHEN v{c}.code < 40 THEN v{c}.code ELSE 0 END AS {c}" for c in MIXED)
+    + " FROM mixed "
+    + " ".join(f"LEFT JOIN vocab v{c} ON v{c}.col = '{c}' AND v{c}.value = CAST(mixed.{c} AS VARCHAR)" for c in MIXED),
+    "vector_moments": "SELECT 'embedding' AS col, CAST(pos AS INTEGER) AS pos, round(avg(CAST(v AS DOUBLE)), 6) + 0.0 AS mean, "
+    "round(stddev_samp(CAST(v AS DOUBLE)), 6) + 0.0 AS std FROM (SELECT unnest(embedding) AS v, "
+    "generate_subscripts(embedding, 1) - 1 AS pos FROM embeddings) GROUP BY pos",
+    "vector_normalize": "WITH e AS (SELECT vec_id, unnest(embedding) AS v, generate_subscripts(embedding, 1) - 1 AS pos FROM embeddings), "
+    "c AS (SELECT vec_id, pos, greatest(least(CASE WHEN (vec_id + pos) % 11 = 0 THEN 0 ELSE CAST(v AS DOUBLE) END, 0.25), -0.25) AS v FROM e), "
+    "m AS (SELECT pos, avg(v) AS mean, stddev_samp(v) AS std FROM c WHERE vec_id % 5 > 0 GROUP BY pos) "
+    "SELECT vec_id, CAST(c.pos AS INTEGER) AS pos, round(CAST(CAST((v - mean) / std AS FLOAT) AS DOUBLE), 4) + 0.0 AS v FROM c JOIN m USING (pos)",
     "unseen_values": with_clicks(
         "SELECT v.col, CAST(v.value AS BIGINT) AS value, v.n FROM seen v LEFT JOIN counts t ON t.col = v.col "
         "AND t.value = v.value WHERE t.col IS NULL",

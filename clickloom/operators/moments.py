@@ -29,6 +29,22 @@ def moments(df: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
+def moments_by_position(df: DataFrame, columns: list[str]) -> DataFrame:
+    """`(col, pos, mean, std)` of array columns, position by position from 0; null elements do not count.
+
+    Vectors are taken apart inside the task and added up there, so what is shuffled is one row
+    per task and position.
+    """
+    parts = None
+    for c in columns:
+        each = df.select(F.lit(c).alias("col"), F.posexplode(c).alias("pos", "v"))
+        each = each.groupBy("col", "pos").agg(
+            F.avg(F.col("v").cast("double")).alias("mean"), F.stddev_samp(F.col("v").cast("double")).alias("std")
+        )
+        parts = each if parts is None else parts.unionByName(each)
+    return parts
+
+
 def quantiles(df: DataFrame, columns: list[str], shares: list[float]) -> DataFrame:
     """`(col, share, value)`: exact quantiles, linearly interpolated.
 

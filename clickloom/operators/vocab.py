@@ -4,28 +4,40 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from clickloom.operators.lookup import Limits, SideTable, lookup
 from clickloom.operators.ordering import running_total
 from clickloom.storage import materialize
 
 
+_INTEGERS = {"tinyint", "smallint", "int", "bigint"}
+_FRACTIONS = {"float", "double"}
+
+
 def _value_type(df: DataFrame, columns: list[str]) -> str:
-    """All columns of one vocabulary are counted together and must share a kind."""
+    """The type in which the values of all columns of one vocabulary are counted together.
+
+    Integers stay integers where there is nothing else; any other mixture is counted as text.
+    """
     kinds = {t for c, t in df.select(*columns).dtypes}
-    if kinds <= {"string"}:
-        return "string"
-    if kinds <= {"tinyint", "smallint", "int", "bigint"}:
-        return "bigint"
-    raise ValueError(f"categorical columns must be all text or all integer, not {sorted(kinds)}")
+    if any(t.startswith(("array", "map", "struct", "binary", "variant")) for t in kinds):
+        raise ValueError(f"categorical columns hold single values, not {sorted(kinds)}")
+    return "bigint" if kinds <= _INTEGERS else "string"
+
+
+def as_values(df: DataFrame, columns: list[str]) -> DataFrame:
+    """`df` with fractions free of a negative zero, so that equal numbers have one text."""
+    kinds = dict(df.dtypes)
+    return df.withColumns({c: F.col(c) + F.lit(0).cast(kinds[c]) for c in columns if kinds[c] in _FRACTIONS})
 
 
 def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     """`(col, value, n)` of the non-null values of all columns, in one shuffle."""
     kind = _value_type(df, columns)
     return (
-        df.select(*[F.col(c).cast(kind).alias(c) for c in columns])
+        as_values(df.select(*columns), columns)
+        .select(*[F.col(c).cast(kind).alias(c) for c in columns])
         .unpivot([], columns, "col", "value")
         .where(F.col("value").isNotNull())
         .groupBy("col", "value")
@@ -33,11 +45,30 @@ def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
-def rank_values(counts: DataFrame, max_size: int | None = None) -> DataFrame:
-    """Code the values of each column 1.. by (count desc, value asc); with `max_size`, keep max_size - 1."""
-    ranked = running_total(
-        counts, "col", [F.col("n").desc(), F.col("value").asc()], F.lit(1), "_before", "ranked"
-    ).select("col", "value", "n", (F.col("_before") + 1).cast("bigint").alias("code"))
+def value_order(kinds: dict[str, str]) -> list[Column]:
+    """Sort keys that put the values, as text, in the order of their columns' own types.
+
+    Whole numbers and fractions are read back, one key for each; dates, times, truth values and
+    text sort as they are written. Decimals go by their fraction, then by what is left as text.
+    """
+    whole = [c for c, t in kinds.items() if t in _INTEGERS]
+    rest = [c for c, t in kinds.items() if t in _FRACTIONS or t.startswith("decimal")]
+    keys = []
+    for columns, kind in ((whole, "bigint"), (rest, "double")):
+        if columns:
+            keys.append(F.when(F.col("col").isin(columns), F.col("value").try_cast(kind)).asc())
+    return [*keys, F.col("value").asc()]
+
+
+def rank_values(counts: DataFrame, max_size: int | None = None, kinds: dict[str, str] | None = None) -> DataFrame:
+    """Code the values of each column 1.. by (count desc, value asc); with `max_size`, keep max_size - 1.
+
+    `kinds` names the columns' types where the values are text of several of them.
+    """
+    order = [F.col("n").desc(), *(value_order(kinds) if kinds else [F.col("value").asc()])]
+    ranked = running_total(counts, "col", order, F.lit(1), "_before", "ranked").select(
+        "col", "value", "n", (F.col("_before") + 1).cast("bigint").alias("code")
+    )
     return ranked if max_size is None else ranked.where(F.col("code") <= max_size - 1)
 
 
@@ -63,7 +94,9 @@ class Vocabulary:
     def fit(
         df: DataFrame, columns: list[str], max_size: int | None = None
     ) -> "Vocabulary":
-        coded = rank_values(value_counts(df, columns), max_size)
+        """Codes of all columns in one count; they may be of different types."""
+        text = _value_type(df, columns) == "string"
+        coded = rank_values(value_counts(df, columns), max_size, dict(df.select(*columns).dtypes) if text else None)
         return Vocabulary.of(materialize(coded, "vocab", partition_by="col"), columns)
 
     def cardinalities(self) -> dict[str, int]:
@@ -79,7 +112,8 @@ class Vocabulary:
     ) -> DataFrame:
         """Replace values by codes; null, unseen and cut-off values become 0."""
         columns = columns or {c: c for c in self.columns}
-        coded = lookup(df, self.side, columns, "{}__code", key, limits)
+        text = dict(self.table.dtypes)["value"] == "string"
+        coded = lookup(as_values(df, list(columns)) if text else df, self.side, columns, "{}__code", key, limits)
         return coded.select(
             *[
                 F.coalesce(F.col(f"{c}__code"), F.lit(0)).cast("bigint").alias(c)

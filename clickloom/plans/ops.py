@@ -1,7 +1,8 @@
 """Feature operators. Each can be fitted, and applies its state to any frame.
 
-`fit(df)` returns the state (None when there is nothing to learn); `apply(df, state)` is
-lazy. `reads` and `writes` name the columns touched, so that a workflow fits an operator
+`fit(df)` returns the state (None when there is nothing to learn). `apply(df, state)` is lazy,
+except that a lookup in a vocabulary too large to broadcast writes the frame out. Operators that
+rewrite values in place take array columns too, element by element. `reads` and `writes` name the columns touched, so that a workflow fits an operator
 on just the operators its columns depend on.
 """
 
@@ -11,14 +12,18 @@ from collections.abc import Sequence
 from dataclasses import asdict, dataclass, field
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from clickloom.functions import scalar
 from clickloom.operators.lookup import Limits
-from clickloom.operators.moments import moments, quantiles
+from clickloom.operators.moments import moments, moments_by_position, quantiles
 from clickloom.operators.vocab import Vocabulary, encode_lists, fit_lists
 
 
+def array_columns(df: DataFrame, columns: Sequence[str]) -> list[str]:
+    return [c for c in columns if isinstance(df.schema[c].dataType, T.ArrayType)]
+
+
 class Op:
     """Base: an operator that rewrites its columns in place and learns nothing."""
 
@@ -43,10 +48,17 @@ class Op:
     def each(self, value: Column, name: str, state: Any) -> Column:
         raise NotImplementedError
 
+    def elements(self, vector: Column, name: str, state: Any) -> Column:
+        """The same for every element of an array; a null array stays null."""
+        return F.transform(vector, lambda v: self.each(v, name, state))
+
     def apply(
         self, df: DataFrame, state: Any, key: str | None = None, limits: Limits = Limits()
     ) -> DataFrame:
-        return df.withColumns({c: self.each(F.col(c), c, state) for c in self.columns})
+        lists = set(array_columns(df, self.columns))
+        return df.withColumns(
+            {c: (self.elements if c in lists else self.each)(F.col(c), c, state) for c in self.columns}
+        )
 
     def spec(self) -> dict:
         return {"op": type(self).__name__, **asdict(self)}
@@ -98,7 +110,11 @@ class Bucketize(Op):
 
 @dataclass
 class Normalize(Op):
-    """State: column -> [mean, std], a handful of numbers that become literals."""
+    """State: column -> [mean, std], a handful of numbers that become literals.
+
+    For an array column both are lists, one number per position. A position that the fitted rows
+    do not have is left as it is.
+    """
 
     columns: Sequence[str]
 
@@ -107,12 +123,25 @@ class Normalize(Op):
         return True
 
     def fit(self, df):
-        rows = moments(df, list(self.columns)).collect()  # one row per column
-        return {r["col"]: [r["mean"], r["std"]] for r in rows}
+        lists = array_columns(df, self.columns)
+        single = [c for c in self.columns if c not in lists]
+        state: dict = {r["col"]: [r["mean"], r["std"]] for r in moments(df, single).collect()} if single else {}
+        if lists:
+            rows = moments_by_position(df, lists).orderBy("col", "pos").collect()  # one row per position
+            for c in lists:
+                own = [r for r in rows if r["col"] == c]
+                state[c] = [[r["mean"] for r in own], [r["std"] for r in own]]
+        return state
 
     def each(self, value, name, state):
         return scalar.normalize(value, *state[name]).cast("float")
 
+    def elements(self, vector, name, state):
+        means, stds = (F.array(*[F.lit(x).cast("double") for x in numbers]) for numbers in state[name])
+        centre = lambda i: F.coalesce(F.get(means, i), F.lit(0.0))
+        scale = lambda i: F.coalesce(F.nullif(F.get(stds, i), F.lit(0.0)), F.lit(1.0))
+        return F.transform(vector, lambda v, i: ((v.cast("double") - centre(i)) / scale(i)).cast("float"))
+
 
 @dataclass
 class Impute(Op):
