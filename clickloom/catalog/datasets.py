@@ -17,6 +17,7 @@ from clickloom.sources.scans import (
     MANIFEST_NAME,
     day_range,
     decode_categoricals,
+    read_cardinalities,
     read_manifest,
     read_sidecar,
     sample_rows,
@@ -307,6 +308,14 @@ def sidecar(spark, sf):
     )
 
 
+def sidecar_sizes(spark, sf):
+    """Slot sizes of the columns tagged categorical, in the order of the side table."""
+    done, fitted, path = _transformed(spark, sf)
+    write_sidecar(done, path, fitted.cardinalities())
+    sizes = list(read_cardinalities(spark, path).items())
+    return spark.createDataFrame([(i, c, n) for i, (c, n) in enumerate(sizes)], "slot int, col string, cardinality bigint")
+
+
 def manifest_rows(spark, sf):
     _, _, path = _transformed(spark, sf)
     return manifest(spark, path).agg(
@@ -375,6 +384,7 @@ QUERIES = {
     "shuffle_worker": _shuffled("PER_WORKER", workers=2),
     "batch_sizes": batch_sizes,
     "sidecar": sidecar,
+    "sidecar_sizes": sidecar_sizes,
     "manifest_rows": manifest_rows,
     "manifest_scan": manifest_scan,
     "manifest_of_some": manifest_of_some,
@@ -459,6 +469,11 @@ SQL = {
         True,
         counts_cte("train", CATS),
     ),
+    "sidecar_sizes": with_clicks(
+        "SELECT CAST(CAST(substr(col, 2) AS INTEGER) - 1 AS INTEGER) AS slot, col, count(*) + 1 AS cardinality FROM counts GROUP BY col",
+        True,
+        counts_cte("train", CATS),
+    ),
     "manifest_rows": "SELECT CAST(4 AS BIGINT) AS files, count(*) AS num_rows "
     f"FROM ({clicks_sql()}) WHERE {TRAIN_DAYS}",
     "manifest_scan": with_clicks(

@@ -293,6 +293,23 @@ def multi_hot(spark, sf):
     return out.select("event_id", F.array_join(F.col("M").cast("array<string>"), ",").alias("M"))
 
 
+LONG = ["C1", "C2", "C3", "C4", "C5", "C6"]
+
+
+def multi_hot_cut(spark, sf):
+    """Lists of up to six values, of which the three most frequent are kept; codes beyond 40 count as unseen."""
+    df = int_clicks(spark, sf).select("event_id", "day", F.array_compact(F.array(*LONG)).alias("M"))
+    op = MultiHotCategorify(["M"], nnz=3, max_size=41)
+    out = op.apply(df, op.fit(df.where(TRAIN_DAYS)), "event_id")
+    return out.select("event_id", F.array_join(F.col("M").cast("array<string>"), ",").alias("M"))
+
+
+def categorify_unseen(spark, sf):
+    """Nine of ten values unseen, where no vocabulary can be broadcast."""
+    rows = int_clicks(spark, sf).select("event_id", *[F.when(F.col("event_id") % 10 == 0, F.col(c)).otherwise(F.col("event_id") * 7 + 3).alias(c) for c in CATS])
+    return _train_vocab(spark, sf).encode(rows, limits=TAIL_LIMITS)
+
+
 QUERIES = {
     "fill_clip": fill_clip,
     "clip_both": clip_both,
@@ -327,6 +344,8 @@ QUERIES = {
     "log1p": log1p,
     "one_hot": one_hot,
     "multi_hot": multi_hot,
+    "multi_hot_cut": multi_hot_cut,
+    "categorify_unseen": categorify_unseen,
 }
 
 
@@ -385,6 +404,23 @@ LIST_CTES = [
 ]
 
 SQL = {
+    "multi_hot_cut": with_clicks(
+        "SELECT c.event_id, coalesce(l.M, '') AS M FROM clicks c LEFT JOIN (SELECT event_id, array_to_string(list(code ORDER BY code)[1:3], ',') AS M "
+        "FROM (SELECT v.event_id, CASE WHEN k.code <= 40 THEN k.code ELSE 0 END AS code FROM long_lists v LEFT JOIN long_vocab k USING (value)) "
+        "GROUP BY event_id) l USING (event_id)",
+        True,
+        "long_lists AS (" + " UNION ALL ".join(f"SELECT event_id, day, {c} AS value FROM clicks WHERE {c} IS NOT NULL" for c in LONG) + ")",
+        f"long_vocab AS (SELECT value, row_number() OVER (ORDER BY count(*) DESC, value) AS code FROM long_lists WHERE {TRAIN_DAYS} GROUP BY value)",
+    ),
+    "categorify_unseen": with_clicks(
+        "SELECT c.event_id, " + ", ".join(f"coalesce(v{c}.code, 0) AS {c}" for c in CATS) + " FROM clicks c "
+        + " ".join(
+            f"LEFT JOIN vocab v{c} ON v{c}.col = '{c}' AND v{c}.value = CASE WHEN c.event_id % 10 = 0 THEN c.{c} ELSE c.event_id * 7 + 3 END"
+            for c in CATS
+        ),
+        True,
+        *vocab_ctes(CATS),
+    ),
     "fill_clip": with_clicks(
         "SELECT event_id, " + ", ".join(f"{filled(c)} AS {c}" for c in CONTS) + " FROM clicks", False
     ),

@@ -12,8 +12,8 @@ from clickloom.catalog.datasets import prepare_tables
 from clickloom.catalog.features import LIST_CTES, TAIL_LIMITS, fitted_workflow, int_clicks, lists
 from clickloom.catalog.sqltext import rounded, transformed_ctes, with_clicks
 from clickloom.model import network
-from clickloom.model.deepfm import DeepFM, score, score_raw
-from clickloom.model.fm import score_fm, train_fm
+from clickloom.model.deepfm import DeepFM, score, score_models, score_raw
+from clickloom.model.fm import score_fm, sparse_features, train_fm, with_vectors
 from clickloom.model.fm_step import fm_step
 from clickloom.operators import metrics
 from clickloom.operators.embedding import (
@@ -28,9 +28,7 @@ from clickloom.operators.embedding import (
 from clickloom.operators.lookup import Limits
 from clickloom.operators.ordering import first_rows
 from clickloom.operators.vocab import encode_lists, fit_lists
-from clickloom.plans.ops import Categorify, Clip, FillMissing, Normalize
 from clickloom.plans.jobs import load_package
-from clickloom.plans.workflow import Workflow
 from clickloom.schema import categorical_columns, continuous_columns
 from clickloom.sources.scans import scan_requests
 from clickloom.storage import materialize, scratch_path
@@ -179,9 +177,10 @@ def fm_step_query(spark, sf):
     """New weights after one step over the training split, from the fixed ones."""
     fitted = fitted_workflow(spark, sf)
     train = int_clicks(spark, sf).where(TRAIN_DAYS)
-    rows = embeddings_of(fitted).lookup(fitted.transform(train, "event_id"))
+    table = embeddings_of(fitted)
+    rows = table.lookup(fitted.transform(train, "event_id"))
     weights = [[*(fixed_weight(i, d) for d in range(LATENT)), fixed_linear(i)] for i in range(len(CONTS))]
-    stepped = fm_step(rows, CATS, CONTS, weights, train.count(), STEP)
+    stepped = fm_step(rows, CATS, CONTS, table.table, weights, train.count(), STEP)
     return stepped.select("slot", "code", "j", rounded_to("value", 5))
 
 
@@ -359,44 +358,74 @@ def score_stream(spark, sf):
     return _response_rows(spark.read.parquet(f"{root}/out/responses").drop("batch"))
 
 
-SLOTS, COUNTS = ["C1", "C2", "C3"], ["I1", "I2", "I3"]
+def sparse_query(spark, sf):
+    """Records as sparse vectors: the size, the places of the slots' codes and of the counts, the values."""
+    fitted = fitted_workflow(spark, sf)
+    rows = fitted.transform(int_clicks(spark, sf), "event_id")
+    vector = sparse_features(CATS, CONTS, fitted.cardinalities())
+    rounded_ = F.transform("v.values", lambda x: (F.round(x, 4) + 0.0).cast("decimal(12,4)").cast("string"))
+    return rows.select("event_id", vector.alias("v")).select(
+        "event_id", F.col("v.size").alias("size"), F.array_join(F.col("v.indices").cast("array<string>"), ",").alias("indices"),
+        F.array_join(rounded_, ",").alias("vals"),
+    )
 
 
-def _small_split(spark, sf):
-    """Both splits over three slots and three counts, in which I3 and C2 decide the label."""
-    planted = int_clicks(spark, sf).withColumn(
-        "label", F.when((F.col("I3") > 70) & (F.col("C2") % 2 == 0), 1).otherwise(0)
+def train_fm_query(spark, sf):
+    """Validation scores of a factorization machine over all slots and counts, learned from the log's label."""
+    fitted = fitted_workflow(spark, sf)
+    vector = sparse_features(CATS, CONTS, fitted.cardinalities())
+    split = lambda days: with_vectors(
+        fitted.transform(int_clicks(spark, sf).where(days), "event_id"), vector, ["event_id", "label"]
     )
-    train = planted.where(TRAIN_DAYS)
-    fitted = Workflow(
-        [Categorify(SLOTS), FillMissing(COUNTS, 0), Clip(COUNTS, low=0), Normalize(COUNTS)],
-        [*SLOTS, *COUNTS, "label"],
-    ).fit(train)
-    splits = [
-        materialize(fitted.transform(df, "event_id"), "split")
-        for df in (train, planted.where(VALID_DAYS))
-    ]
-    return (*splits, fitted)
+    return score_fm(split(VALID_DAYS), train_fm(split(TRAIN_DAYS)), ["event_id", "label"])
 
 
-def train_fm_query(spark, sf):
-    """Validation scores of a factorization machine."""
-    train, valid, fitted = _small_split(spark, sf)
-    model = train_fm(train, SLOTS, COUNTS, max_iter=10)
-    return score_fm(valid, model, ["event_id", "label"])
+SNAPSHOTS = {"first": 1.0, "half": 0.5, "double": 2.0}  # every weight of the fixed model times this
 
 
-def package_score(spark, sf):
-    """From tables to scores: the table job, a model saved beside its workflow, both read back."""
+def snapshot_auc(spark, sf):
+    """Three saved models, read back and scored in one scan; the AUC of each."""
+    fitted, root = fitted_workflow(spark, sf), scratch_path(spark, "snapshots")
+    plain, models = model_of(fitted, ()), {}
+    for name, factor in SNAPSHOTS.items():
+        table = plain.embeddings.table.withColumn("vec", F.transform("vec", lambda x: x * F.lit(factor)))  # noqa: B023
+        DeepFM(Embeddings.of(table, CATS), {k: v * factor for k, v in plain.params.items()}, CONTS).save(f"{root}/{name}")
+        models[name] = DeepFM.load(spark, f"{root}/{name}")
+    rows = fitted.transform(int_clicks(spark, sf), "event_id")
+    scored = score_models(rows, models, ["event_id", "label"], "event_id")
+    ranked = metrics.auc_by(scored.withColumn("s", F.round("logit", 6)), ["model"], "s", "label")
+    return ranked.select("model", rounded_to("auc", 6), "n_pos", "n_neg")
+
+
+def auc_by_day(spark, sf):
+    """Of a count with many ties, for each day, one of them without a label, and for rows without a day."""
+    day = F.when(F.col("day") != 5, F.col("day"))
+    label = F.when(F.col("day") != 9, F.col("label"))
+    df = clicks(spark, sf).select(day.alias("day"), label.alias("label"), F.col("I3").alias("s"))
+    return metrics.auc_by(df, ["day"], "s", "label").select("day", rounded_to("auc", 6), "n_pos", "n_neg")
+
+
+def _package_scores(spark, sf, raw):
     out = scratch_path(spark, "package")
     prepared = prepare_tables(spark, sf, out)
     model_of(prepared.fitted, NARROW).save(f"{out}/model")
     fitted, model = load_package(spark, out)
-    raw = clicks(spark, sf).drop("label")
-    scored = score_raw(raw, fitted, model, ["event_id"], "event_id")
+    return score_raw(raw, fitted, model, ["event_id"], "event_id")
+
+
+def package_score(spark, sf):
+    """From tables to scores: the table job, a model saved beside its workflow, both read back."""
+    scored = _package_scores(spark, sf, clicks(spark, sf).drop("label"))
     return scored.select("event_id", rounded_to("logit"), rounded_to("score"))
 
 
+def package_evaluate(spark, sf):
+    """The same on the days after training, against their labels."""
+    valid = clicks(spark, sf).where(VALID_DAYS)
+    scored = _package_scores(spark, sf, valid.drop("label")).join(valid.select("event_id", "label"), "event_id")
+    return metrics.auc(scored.withColumn("s", F.round("logit", 4)), "s", "label").select(rounded_to("auc", 6), "n_pos", "n_neg")
+
+
 QUERIES = {
     "embedding_sum": embedding_sum,
     "embedding_sum_tail": embedding_sum_tail,
@@ -420,12 +449,16 @@ QUERIES = {
     "score_requests": score_requests,
     "score_stream": score_stream,
     "train_fm": train_fm_query,
+    "sparse_features": sparse_query,
+    "snapshot_auc": snapshot_auc,
+    "auc_by_day": auc_by_day,
     "auc_nulls": auc_nulls,
     "fm_step": fm_step_query,
     "rejected_all_reasons": rejected_all_reasons,
     "rejected_text": rejected_text,
     "rejected_text_stream": rejected_text_stream,
     "package_score": package_score,
+    "package_evaluate": package_evaluate,
 }
 
 
@@ -517,16 +550,18 @@ def _step_sql() -> str:
     )
 
 
-def _auc_sql(source: str) -> str:
+def _auc_sql(source: str, group: str = "") -> str:
+    by, part = (f"{group}, ", f"PARTITION BY {group} ") if group else ("", "")
     return (
-        f"WITH s AS ({source}), r AS (SELECT label, rank() OVER (ORDER BY s) + (count(*) OVER "
-        "(PARTITION BY s) - 1)/2.0::DOUBLE AS mid FROM s), t AS (SELECT CAST(sum(label) AS DOUBLE) AS p, "
-        "CAST(count(*) - sum(label) AS DOUBLE) AS n, sum(CASE WHEN label = 1 THEN mid END) AS w FROM r) "
-        "SELECT round((w - p*(p + 1)/2)/(p*n), 6) AS auc, CAST(p AS BIGINT) AS n_pos, "
+        f"WITH s AS ({source}), r AS (SELECT {by}label, rank() OVER ({part}ORDER BY s) + (count(*) OVER "
+        f"(PARTITION BY {by}s) - 1)/2.0::DOUBLE AS mid FROM s), t AS (SELECT {by}CAST(sum(label) AS DOUBLE) AS p, "
+        f"CAST(count(*) - sum(label) AS DOUBLE) AS n, sum(CASE WHEN label = 1 THEN mid END) AS w FROM r{f' GROUP BY {group}' if group else ''}) "
+        f"SELECT {by}round((w - p*(p + 1)/2)/(p*n), 6) AS auc, CAST(p AS BIGINT) AS n_pos, "
         "CAST(n AS BIGINT) AS n_neg FROM t"
     )
 
 
+
 _SCORES = with_clicks(
     f"SELECT event_id, {rounded('logit')} AS logit, {rounded('score')} AS score FROM scores",
     True,
@@ -569,6 +604,30 @@ SQL = {
         *_wide_ctes(),
     ),
     "fm_step": _step_sql(),
+    "package_evaluate": _auc_sql(f"SELECT label, logit AS s FROM ({_SCORES}) JOIN ({clicks_sql()}) USING (event_id) WHERE {VALID_DAYS}"),
+    "auc_by_day": _auc_sql(
+        f"SELECT CASE WHEN day <> 5 THEN day END AS day, label, I3 AS s FROM ({clicks_sql()}) WHERE I3 IS NOT NULL AND day <> 9", "day"
+    ),
+    "snapshot_auc": _auc_sql(
+        with_clicks(
+            "SELECT m.model, label, round(m.f*m.f*fm + m.f*linear, 6) AS s FROM done JOIN fm USING (event_id) JOIN linear USING (event_id), "
+            f"(VALUES {', '.join(f"('{name}', {factor}::DOUBLE)" for name, factor in SNAPSHOTS.items())}) m(model, f)",
+            True,
+            *_feature_ctes(),
+        ),
+        "model",
+    ),
+    "sparse_features": with_clicks(
+        f"SELECT event_id, CAST((SELECT sum(size) FROM sizes) + {len(CONTS)} AS INTEGER) AS size, "
+        + " || ',' || ".join(f"({c} + coalesce((SELECT sum(size) FROM sizes WHERE slot < {s}), 0))" for s, c in enumerate(CATS))
+        + "".join(f" || ',' || ((SELECT sum(size) FROM sizes) + {i})" for i in range(len(CONTS)))
+        + f" AS indices, '{','.join(['1.0000'] * len(CATS))}'"
+        + "".join(f" || ',' || CAST(CAST({rounded(c)} AS DECIMAL(12,4)) AS VARCHAR)" for c in CONTS)
+        + " AS vals FROM done",
+        True,
+        *transformed_ctes(),
+        "sizes AS (" + " UNION ALL ".join(f"SELECT {s} AS slot, count(*) + 1 AS size FROM vocab WHERE col = '{c}'" for s, c in enumerate(CATS)) + ")",
+    ),
     "auc_nulls": _auc_sql(f"SELECT label, I3 AS s FROM ({clicks_sql()}) WHERE I3 IS NOT NULL AND event_id % 11 <> 0"),
     "rejected_all_reasons": "SELECT CAST(r AS VARCHAR) AS id, CASE r % 9 "
     + " ".join(f"WHEN {k} THEN '{reason}'" for k, reason in enumerate(REASONS))

@@ -12,9 +12,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from clickloom.model import network
 from clickloom.operators.embedding import VECTOR, Embeddings, ValueVectors
-from clickloom.operators.lookup import Limits
+from clickloom.operators.lookup import Limits, SideTable, lookup
 from clickloom.plans.workflow import FittedWorkflow
-from clickloom.storage import read_text, write_text
+from clickloom.storage import materialize, read_text, write_text
 
 
 @dataclass(frozen=True)
@@ -102,29 +102,65 @@ def score(
 
 
 def _forward(rows: DataFrame, model: DeepFM, keep: Sequence[str]) -> DataFrame:
-    spark = rows.sparkSession
-    weights = spark.sparkContext.broadcast(model.params)
-    slots, dense, kept = len(model.slots), len(model.dense), list(keep)
+    many = _forward_all(rows, {"": model}, {"": "_emb"}, keep)
+    return many.select(*keep, "logit", "score")
+
+
+def _forward_all(rows: DataFrame, models: dict[str, DeepFM], emb: dict[str, str], keep: Sequence[str]) -> DataFrame:
+    """One row per record and model: `keep`, `model`, `logit`, `score`; `emb` names the models' vectors."""
+    weights = rows.sparkSession.sparkContext.broadcast({name: model.params for name, model in models.items()})
+    shapes = {name: (len(model.slots), len(model.dense)) for name, model in models.items()}
+    kept = list(keep)
 
     def run(batches):
         for batch in batches:
-            emb = network.matrix(batch.column("_emb"), slots * VECTOR).reshape(-1, slots, VECTOR)
-            logit, _ = network.forward(
-                weights.value, emb, network.matrix(batch.column("_dense"), dense)
-            )
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in kept]
-                + [pa.array(logit), pa.array(network.sigmoid(logit))],
-                names=kept + ["logit", "score"],
-            )
+            for name, (slots, dense) in shapes.items():
+                vectors = network.matrix(batch.column(emb[name]), slots * VECTOR).reshape(-1, slots, VECTOR)
+                logit, _ = network.forward(weights.value[name], vectors, network.matrix(batch.column("_dense"), dense))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(c) for c in kept]
+                    + [pa.array([name] * batch.num_rows, pa.string()), pa.array(logit), pa.array(network.sigmoid(logit))],
+                    names=kept + ["model", "logit", "score"],
+                )
 
     schema = T.StructType(
         [rows.schema[c] for c in kept]
-        + [T.StructField("logit", T.DoubleType()), T.StructField("score", T.DoubleType())]
+        + [T.StructField("model", T.StringType()), T.StructField("logit", T.DoubleType()), T.StructField("score", T.DoubleType())]
     )
     return rows.mapInArrow(run, schema)
 
 
+def score_models(
+    df: DataFrame, models: dict[str, DeepFM], keep: Sequence[str], key: str | None = None, limits: Limits = Limits()
+) -> DataFrame:
+    """`keep`, `model`, `logit`, `score`: a row per record and model, in one scan of the frame.
+
+    The models are snapshots of one: they have the same slots, scalar, and the same dense columns. Their
+    vectors are laid side by side, one entry per key, so that a slot is looked up once for all of them.
+    """
+    first = next(iter(models.values()))
+    if any((m.slots, list(m.dense)) != (first.slots, list(first.dense)) for m in models.values()):
+        raise ValueError("models of one scan have the same slots and dense columns")
+    table = None
+    for i, model in enumerate(models.values()):
+        own = model.embeddings.table.select("slot", "code", F.col("vec").cast("array<double>").alias(f"_v{i}"))
+        table = own if table is None else table.join(own, ["slot", "code"], "full")
+    zero = F.array(*[F.lit(0.0)] * VECTOR)
+    wide = table.select("slot", "code", F.concat(*[F.coalesce(f"_v{i}", zero) for i in range(len(models))]).alias("vec"))
+    wide = materialize(wide, "snapshots", partition_by="slot")
+    entries = wide.select(F.col("slot").alias("name"), F.col("code").alias("value"), F.col("code").alias("rank"), F.col("vec").alias("payload"))
+    side = SideTable.measure(entries, 8 * VECTOR * len(models))
+    found = lookup(df, side, {c: s for s, c in enumerate(first.slots)}, "{}__all", key, limits)
+    none = F.array(*[F.lit(0.0)] * (VECTOR * len(models)))
+    vectors = [F.coalesce(f"{c}__all", none) for c in first.slots]
+    laid = found.select(
+        *keep,
+        *[F.concat(*[F.slice(v, VECTOR * i + 1, VECTOR) for v in vectors]).alias(f"_emb{i}") for i in range(len(models))],
+        F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in first.dense]).alias("_dense"),
+    )
+    return _forward_all(laid, models, {name: f"_emb{i}" for i, name in enumerate(models)}, keep)
+
+
 def score_raw(
     df: DataFrame, fitted: FittedWorkflow, model: DeepFM, keep: Sequence[str], key: str | None = None
 ) -> DataFrame:

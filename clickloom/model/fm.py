@@ -2,63 +2,65 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import FMClassifier
-from pyspark.ml.feature import OneHotEncoder, VectorAssembler
+from pyspark.ml.classification import FMClassificationModel, FMClassifier
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.ml.linalg import VectorUDT
+from pyspark.sql import Column, DataFrame, functions as F, types as T
+
+from clickloom.storage import materialize
+
+FEATURES = "features"
+
+
+def sparse_features(slots: Sequence[str], dense: Sequence[str], sizes: Mapping[str, int]) -> Column:
+    """A record as a sparse vector: `(type, size, indices, values)`, the stored form of an ML vector.
+
+    A slot's code stands at the slot's offset plus the code, with the value 1; `sizes` are the slots'
+    cardinalities, in whose order the offsets run. The dense columns follow, a null one as 0. The whole
+    record is one expression: no encoder per column, and as many numbers as it has features.
+    """
+    indices, first = [], 0
+    for c in slots:
+        indices.append((F.col(c) + first).cast("int"))
+        first += sizes[c]
+    indices += [F.lit(first + i) for i in range(len(dense))]
+    values = [F.lit(1.0)] * len(slots) + [F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in dense]
+    return F.struct(
+        F.lit(0).cast("byte").alias("type"), F.lit(first + len(dense)).alias("size"),
+        F.array(*indices).alias("indices"), F.array(*values).alias("values"),
+    )
+
+
+def with_vectors(df: DataFrame, features: Column, keep: Sequence[str]) -> DataFrame:
+    """`keep` and the ML vector `features`: written in its stored form, read back as what it is."""
+    path = materialize(df.select(*keep, features.alias(FEATURES)), "vectors")
+    schema = T.StructType([*[path.schema[c] for c in keep], T.StructField(FEATURES, VectorUDT())])
+    files = path.inputFiles()
+    if not files:
+        return df.sparkSession.createDataFrame([], schema)
+    return df.sparkSession.read.schema(schema).parquet(files[0].rsplit("/", 1)[0])
 
 
 def train_fm(
-    train: DataFrame,
-    slots: Sequence[str],
-    dense: Sequence[str],
-    factors: int = 10,
-    step_size: float = 0.05,
-    max_iter: int = 20,
-    seed: int = 0,
-) -> PipelineModel:
-    """One-hot slots plus continuous values into an FM with a linear term.
+    train: DataFrame, factors: int = 10, step_size: float = 0.05, max_iter: int = 20, seed: int = 0, label: str = "label"
+) -> FMClassificationModel:
+    """An FM with a linear term over `features` of `train`.
 
-    Spark keeps all weights on the driver: about 8 bytes times `factors` + 1 for each key. For
-    vocabularies beyond its memory `train_deepfm` with an empty `hidden` trains the same model
-    with distributed weights.
+    Spark keeps all weights on the driver and sends them to the tasks: about 8 bytes times
+    `factors` + 1 for each place of the vector. Beyond its memory, `fm_step` keeps them in a table.
     """
-    encoder = OneHotEncoder(
-        inputCols=list(slots),
-        outputCols=[f"{c}_hot" for c in slots],
-        dropLast=False,
-        handleInvalid="keep",
-    )
-    assembler = VectorAssembler(
-        inputCols=[f"{c}_hot" for c in slots] + list(dense), outputCol="features"
-    )
     machine = FMClassifier(
-        factorSize=factors,
-        fitLinear=True,
-        stepSize=step_size,
-        maxIter=max_iter,
-        seed=seed,
-        featuresCol="features",
-        labelCol="label",
-    )
-    return Pipeline(stages=[encoder, assembler, machine]).fit(
-        train.select("label", *slots, *dense)
+        factorSize=factors, fitLinear=True, stepSize=step_size, maxIter=max_iter, seed=seed, featuresCol=FEATURES, labelCol=label
     )
+    return machine.fit(train.select(label, FEATURES))
 
 
-def score_fm(df: DataFrame, model: PipelineModel, keep: Sequence[str]) -> DataFrame:
+def score_fm(df: DataFrame, model: FMClassificationModel, keep: Sequence[str]) -> DataFrame:
     scored = model.transform(df)
     return scored.select(
         *keep,
         vector_to_array("rawPrediction")[1].alias("logit"),
         vector_to_array("probability")[1].alias("score"),
     )
-
-
-def fm_weights(model: PipelineModel) -> tuple[float, int]:
-    """Intercept and number of linear weights, for checks."""
-    machine = model.stages[-1]
-    return float(machine.intercept), int(machine.linear.size)

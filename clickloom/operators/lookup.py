@@ -3,13 +3,16 @@
 The side table holds `(name, value, rank, payload)`: one entry per looked-up column and
 value, `rank` ascending from the most frequent value. Columns whose entries fit the
 broadcast budget are joined by broadcast, without a shuffle. In the others frequent values are
-settled in the same way, and the values left over share one narrow shuffled join.
+settled in the same way, and the values left over share one narrow shuffled join. Before that, most
+values without any entry are told by a Bloom filter of the entries that are left.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from clickloom.storage import materialize
@@ -23,6 +26,7 @@ class Limits:
     total_bytes: int = 512 << 20
     head_entries: int = 20_000
     hot_rows: int = 1_000_000
+    filter_bits: int = 1 << 28  # 32 MB; more entries than that can tell apart let more values through
 
 
 @dataclass(frozen=True)
@@ -151,13 +155,48 @@ def _front(keyed: DataFrame, key: str, entries: DataFrame, columns: dict[str, st
     return both.select("name", "value", F.struct("payload").alias("payload"))
 
 
+_BITS_PER_ENTRY, _HASHES = 10, 4
+
+
+def _bit(i: int, bits: int) -> Column:
+    return F.pmod(F.xxhash64(F.lit(i), F.col("name"), F.col("value")), F.lit(bits))
+
+
+def tail_filter(tail: DataFrame, limits: Limits) -> tuple[DataFrame, int]:
+    """A Bloom filter of `(name, value)` as one row with an array of 64-bit words, and its bits.
+
+    Sized by the measured number of entries, ten bits each, up to `filter_bits`.
+    """
+    bits = max(64, min(limits.filter_bits, _BITS_PER_ENTRY * tail.count()))
+    words = -(-bits // 64)
+    places = tail.select(F.explode(F.array(*[_bit(i, bits) for i in range(_HASHES)])).alias("_at"))
+    word = F.shiftright("_at", 6).alias("word")
+    filled = places.select(word, F.expr("shiftleft(1L, CAST(_at & 63 AS INT))").alias("bit")).groupBy("word")
+    table = filled.agg(F.bit_or("bit").alias("bit")).toArrow()  # at most filter_bits / 64 rows
+    array = np.zeros(words, np.int64)
+    array[table["word"].to_numpy()] = table["bit"].to_numpy()
+    row = pa.table({"_words": pa.ListArray.from_arrays(pa.array([0, words], pa.int32()), pa.array(array))})
+    return tail.sparkSession.createDataFrame(row), bits
+
+
+def maybe_in_tail(pairs: DataFrame, tail: DataFrame, limits: Limits) -> DataFrame:
+    """The `(name, value)` pairs that may have an entry: all that have one, one in eighty of the others."""
+    row, bits = tail_filter(tail, limits)
+    hit = F.lit(True)
+    for i in range(_HASHES):
+        word = F.get("_words", F.shiftright(_bit(i, bits), 6).cast("int"))
+        shift = (_bit(i, bits) % 64).cast("int")
+        hit = hit & (F.call_function("shiftrightunsigned", word, shift) % 2 != 0)
+    return pairs.join(F.broadcast(row), hit).drop("_words")  # one row, so no pair is repeated
+
+
 def _large_lookup(
     df: DataFrame, entries: DataFrame, columns: dict[str, str], found: str, limits: Limits
 ) -> DataFrame:
     """Frequent values are settled in place by broadcast; only the others are shuffled.
 
     The frame is written once, with a key of its own, because a join back needs one row each.
-    A value without an entry needs no row of the shuffled join.
+    A value without an entry needs no row of the shuffled join, and few get one.
     """
     key, kind = "_lookup_key", entries.schema["value"].dataType
     keyed = materialize(df.withColumn(key, F.monotonically_increasing_id()), "keyed")
@@ -169,7 +208,7 @@ def _large_lookup(
     open_ = [F.when(F.col(settled_as[c]).isNull(), F.col(c).cast(kind)).alias(c) for c in columns]
     tail = entries.where(F.col("rank") > limits.head_entries).select("name", "value", "payload")
     late = (
-        _pairs(settled, key, columns, open_)
+        maybe_in_tail(_pairs(settled, key, columns, open_), tail, limits)
         .join(tail, ["name", "value"])
         .groupBy(key)
         .agg(*[_only(c).alias(late_as[c]) for c in columns])

@@ -163,9 +163,9 @@ def sample_rows(df: DataFrame, rows: int) -> DataFrame:
         return df
     here = (split[0] == last["_file"]) & (split[1] == last["_block"])
     earlier = df.where((split[0] < last["_file"]) | ((split[0] == last["_file"]) & (split[1] < last["_block"])))
-    numbered = df.where(here).withColumn("_nth", F.monotonically_increasing_id())
-    first = numbered.agg(F.min("_nth")).first()[0]  # of one split, so its rows are numbered without a gap
-    return earlier.unionByName(numbered.where(F.col("_nth") < first + rows - last["_before"]).drop("_nth"))
+    nth = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)  # in a task; one split is one task's
+    numbered = df.where(here).withColumn("_nth", nth)
+    return earlier.unionByName(numbered.where(F.col("_nth") < rows - last["_before"]).drop("_nth"))
 
 
 def scan_parquet(spark: SparkSession, directory: str) -> DataFrame:

@@ -5,8 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from clickloom.model import network
-from clickloom.model.deepfm import DeepFM, score
-from clickloom.model.fm import fm_weights, score_fm, train_fm
+from clickloom.model.deepfm import DeepFM, score, score_models
+from clickloom.model.fm import score_fm, sparse_features, train_fm, with_vectors
+from clickloom.model.fm_step import fm_step
 from clickloom.model.search import best_trial, draw_trials
 from clickloom.model.training import Settings, evaluate, train_deepfm
 from clickloom.operators.embedding import (
@@ -18,7 +19,7 @@ from clickloom.operators.embedding import (
     slot_keys,
 )
 from clickloom.operators.lookup import Limits
-from clickloom.operators.metrics import auc
+from clickloom.operators.metrics import auc, auc_by
 from clickloom.operators.vocab import Vocabulary
 
 SLOTS, DENSE = ["a", "b"], ["x", "y"]
@@ -214,11 +215,73 @@ def test_training_finds_a_planted_signal_and_repeats(spark, data, tmp_path):
 
 def test_spark_ml_machine(spark, data):
     train, valid, vocab = data
-    sizes = vocab.cardinalities()
-    model = train_fm(train, SLOTS, DENSE, factors=4, step_size=0.1, max_iter=30)
-    assert fm_weights(model)[1] >= sum(sizes.values())
-    scored = score_fm(valid, model, ["id", "label"])
+    vector = sparse_features(SLOTS, DENSE, vocab.cardinalities())
+    valid = with_vectors(valid, vector, ["id", "label", "a", "b", "x", "y"])
+    model = train_fm(with_vectors(train, vector, ["label"]), factors=4, step_size=0.1, max_iter=30)
+    scored = score_fm(valid, model, ["id", "label", "features"])
     assert auc(scored, "logit", "label").collect()[0]["auc"] > 0.6
+    sizes = vocab.cardinalities()
+    linear, factors = model.linear.toArray(), model.factors.toArray()
+    assert len(linear) == sum(sizes.values()) + len(DENSE) == len(factors)
+    for r in scored.join(valid.select("id", *SLOTS, *DENSE), "id").limit(40).collect():
+        x = np.zeros(len(linear))
+        x[[r.a, sizes["a"] + r.b]] = 1
+        x[-2:] = [r.x, r.y]
+        assert np.allclose(r.features.toArray(), x)
+        pulled = x @ factors
+        second = (pulled**2 - (x**2) @ factors**2).sum() / 2
+        assert abs(r.logit - (model.intercept + linear @ x + second)) < 1e-6
+
+
+def test_gradient_step_equals_numpy(spark, data):
+    train, _, vocab = data
+    table = random_vectors(slot_keys(vocab.table, SLOTS), 3, 0.5)
+    weights = np.random.default_rng(4).normal(0, 0.3, (2, 11))
+    rows = Embeddings.of(table, SLOTS).lookup(train.withColumn("y", F.when(F.col("id") % 7 > 0, F.col("y"))))
+    got = {(r.slot, r.code, r.j): r.value for r in fm_step(rows, SLOTS, DENSE, table, weights.tolist(), train.count(), 0.7).collect()}
+    given = rows.collect()
+    emb = np.array([[r["a__vec"], r["b__vec"]] for r in given], float)
+    dense = np.array([[r.x, r.y or 0.0] for r in given])
+    label = np.array([r.label for r in given], float)
+    params = {"latent": weights[:, :10], "linear": weights[:, 10]}
+    logit, state = network.forward(params, emb, dense)
+    grads, d_emb = network.backward(params, emb, dense, label, logit, state)
+    want = {(r.slot, r.code): np.array(r.vec, float) for r in table.collect()}
+    touched = set()
+    for i, r in enumerate(given):
+        for s, code in enumerate((r.a, r.b)):
+            want[s, code] = want[s, code] - 0.7 * d_emb[i, s] / len(given)
+            touched.add((s, code))
+    for i in range(2):
+        want[2 + i, 0] = weights[i] - 0.7 * np.append(grads["latent"][i], grads["linear"][i]) / len(given)
+        touched.add((2 + i, 0))
+    assert {k[:2] for k in got} == touched
+    assert all(abs(got[s, code, j] - want[s, code][j]) < 1e-9 for s, code in touched for j in range(11))
+
+
+def test_models_scored_in_one_scan(spark, data):
+    _, valid, vocab = data
+    models = {str(i): DeepFM(Embeddings.of(random_vectors(slot_keys(vocab.table, SLOTS), i, 0.5), SLOTS), network.start(2, 2, (5,), i), DENSE) for i in range(3)}
+    got = {(r.id, r.model): r.logit for r in score_models(valid, models, ["id"]).collect()}
+    assert len(got) == 3 * valid.count()
+    for name, model in models.items():
+        for r in score(valid, model, ["id"]).collect():
+            assert abs(got[r.id, name] - r.logit) < 1e-9
+    other = DeepFM(models["0"].embeddings, models["0"].params, DENSE[::-1])
+    with pytest.raises(ValueError):
+        score_models(valid, {"a": models["0"], "b": other}, ["id"])
+
+
+def test_auc_of_groups(spark):
+    rng = np.random.default_rng(2)
+    rows = [(None if g == 3 else g, int(rng.random() < 0.4), float(rng.integers(0, 12))) for g in range(5) for _ in range(60 * (g + 1))]
+    rows += [(7, 1, 1.0), (8, None, 1.0), (8, 0, float("nan")), (0, 1, None)]
+    got = {r.g: (r.auc, r.n_pos, r.n_neg) for r in auc_by(spark.createDataFrame(rows, "g int, label int, s double"), ["g"], "s", "label").collect()}
+    for g in (0, 1, 2, None, 4):
+        own = [(y, s) for k, y, s in rows if k == g and y is not None and s is not None]
+        won = [(a > b) + (a == b) / 2 for y, a in own if y for z, b in own if not z]
+        assert abs(got[g][0] - sum(won) / len(won)) < 1e-9 and got[g][1:] == (sum(y for y, _ in own), sum(1 - y for y, _ in own))
+    assert got[7] == (None, 1, 0) and 8 not in got
 
 
 def test_trials(spark):
