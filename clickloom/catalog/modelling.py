@@ -567,6 +567,12 @@ _SCORES = with_clicks(
     True,
     *_tower_ctes(),
 )
+# Tables hold the categoricals as text, whose order breaks ties.
+_PACKAGE_SCORES = with_clicks(
+    f"SELECT event_id, {rounded('logit')} AS logit, {rounded('score')} AS score FROM scores",
+    False,
+    *_tower_ctes(),
+)
 _POSITION = "CAST(row_number() OVER (PARTITION BY event_id // 8 ORDER BY event_id) - 1 AS INTEGER) AS pos"
 _RESPONSES = with_clicks(
     f"SELECT CAST(event_id // 8 AS VARCHAR) AS id, {_POSITION}, {rounded('score')} AS score FROM scores",
@@ -592,11 +598,7 @@ SQL = {
         "QUALIFY row_number() OVER (ORDER BY event_id) <= count(*) OVER () - 37"
     ),
     "score_table_tail": _SCORES,
-    "package_score": with_clicks(
-        f"SELECT event_id, {rounded('logit')} AS logit, {rounded('score')} AS score FROM scores",
-        False,
-        *_tower_ctes(),
-    ),
+    "package_score": _PACKAGE_SCORES,
     "mlp_forward": with_clicks(
         "SELECT event_id, round(logit, 3) + 0.0 AS logit, "
         f"{rounded('CASE WHEN logit < -700 THEN 0 ELSE 1/(1 + exp(-logit)) END')} AS score FROM scores",
@@ -604,7 +606,7 @@ SQL = {
         *_wide_ctes(),
     ),
     "fm_step": _step_sql(),
-    "package_evaluate": _auc_sql(f"SELECT label, logit AS s FROM ({_SCORES}) JOIN ({clicks_sql()}) USING (event_id) WHERE {VALID_DAYS}"),
+    "package_evaluate": _auc_sql(f"SELECT label, logit AS s FROM ({_PACKAGE_SCORES}) JOIN ({clicks_sql()}) USING (event_id) WHERE {VALID_DAYS}"),
     "auc_by_day": _auc_sql(
         f"SELECT CASE WHEN day <> 5 THEN day END AS day, label, I3 AS s FROM ({clicks_sql()}) WHERE I3 IS NOT NULL AND day <> 9", "day"
     ),

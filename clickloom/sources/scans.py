@@ -147,25 +147,32 @@ def day_range(root: str, first: int, last: int, name: str = "day_{}") -> list[st
 def sample_rows(df: DataFrame, rows: int) -> DataFrame:
     """The first rows of a scan of files: by path, then by place in the file.
 
-    Rows are counted by split first, and the splits' counts summed in order, slice by slice, up
-    to the one with the last row wanted. Whole splits before it are chosen by a condition on their
-    file and place, which also spares reading the files behind; of the last one the first rows
-    are taken by their number in it. No row goes through a single task.
+    Rows are counted by file, and the counts summed in order, slice by slice, up to the file with the
+    last row wanted; the same is done with the splits of that file. Files and splits before it are
+    taken whole, by conditions on where a row comes from, which also spare reading the files
+    behind. Of the last split the first rows are taken by their number in it. No row goes through
+    a single task.
     """
     if rows <= 0:
         return df.limit(0)
-    split = [F.col("_metadata.file_path"), F.col("_metadata.file_block_start")]
-    place = df.select("*", split[0].alias("_file"), split[1].alias("_block"))
-    counts = place.groupBy("_file", "_block").agg(F.count("*").alias("_n")).withColumn("_all", F.lit(0))
-    before = running_total(counts, "_all", [F.col("_file").asc(), F.col("_block").asc()], F.col("_n"), "_before", "splits")
-    last = before.where((F.col("_before") < rows) & (F.col("_before") + F.col("_n") >= rows)).first()
+    path, start = F.col("_metadata.file_path"), F.col("_metadata.file_block_start")
+    last = _holding(df.select(path.alias("at")), rows)
     if last is None:
         return df
-    here = (split[0] == last["_file"]) & (split[1] == last["_block"])
-    earlier = df.where((split[0] < last["_file"]) | ((split[0] == last["_file"]) & (split[1] < last["_block"])))
-    nth = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)  # in a task; one split is one task's
-    numbered = df.where(here).withColumn("_nth", nth)
-    return earlier.unionByName(numbered.where(F.col("_nth") < rows - last["_before"]).drop("_nth"))
+    file, left = df.where(path == last[0]), rows - last[1]
+    block, before = _holding(file.select(start.alias("at")), left)
+    # Numbers are of a task's rows; after the condition those are the rows of one split.
+    nth = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    rest = file.where(start == block).withColumn("_nth", nth).where(F.col("_nth") < left - before).drop("_nth")
+    return df.where(path < last[0]).unionByName(file.where(start < block)).unionByName(rest)
+
+
+def _holding(places: DataFrame, nth: int) -> tuple | None:
+    """The place (`at`) that holds the `nth` row in the order of places, and the rows before it."""
+    counts = places.groupBy("at").agg(F.count("*").alias("n")).withColumn("all", F.lit(0))
+    before = running_total(counts, "all", [F.col("at").asc()], F.col("n"), "before", "places")
+    found = before.where((F.col("before") < nth) & (F.col("before") + F.col("n") >= nth)).first()
+    return (found["at"], found["before"]) if found else None
 
 
 def scan_parquet(spark: SparkSession, directory: str) -> DataFrame:
