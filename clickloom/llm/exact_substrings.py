@@ -182,7 +182,7 @@ def _search(group: pd.DataFrame) -> pd.DataFrame:
 
 def repeated_spans(df: DataFrame, text: str, rows: DataFrame) -> DataFrame:
     """`row, row2, spans`: for each text the stretches (from, to) that repeated windows cover."""
-    found = rows.mapInArrow(_cut, SEGMENT)
+    found = materialize(rows.mapInArrow(_cut, SEGMENT), "sub-found")
     often = materialize(
         found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "sub-anchors"
     )
