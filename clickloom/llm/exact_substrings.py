@@ -6,7 +6,9 @@ depends on its bytes alone. Neighbouring windows with one such anchor make one s
 
 1. An anchor that occurs once cannot belong to a repeated window; its segments are left out.
 2. Equal segments of the other anchors are one string with a count, however many copies there are.
-3. Anchors are dealt to shards of about `SHARD_BYTES`. Each shard sorts its suffixes by
+   Where all segments of an anchor are equal, as whole copies give, each of its windows stands in
+   all of them: they are flagged without a look at the bytes.
+3. Anchors of two strings or more are dealt to shards of about `SHARD_BYTES`. Each shard sorts its suffixes by
    Larsson-Sadakane refinement, takes common prefixes by Kasai, and flags windows that share
    `LENGTH` bytes with another, or stand in a string that occurs twice.
 4. An anchor with more text than a shard is spread over several. Their windows are merged by
@@ -183,11 +185,11 @@ def _search(group: pd.DataFrame) -> pd.DataFrame:
 def repeated_spans(df: DataFrame, text: str, rows: DataFrame) -> DataFrame:
     """`row, row2, spans`: for each text the stretches (from, to) that repeated windows cover."""
     found = materialize(rows.mapInArrow(_cut, SEGMENT), "sub-found")
-    often = materialize(
-        found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "sub-anchors"
-    )
-    places = materialize(found.join(often, "anchor", "left_semi"), "sub-places")
-    kinds = places.groupBy("anchor", "d1", "d2").agg(
+    same = (F.min("d1") == F.max("d1")) & (F.min("d2") == F.max("d2"))
+    often = found.groupBy("anchor").agg(F.count("*").alias("n"), same.alias("alike")).where("n > 1").select("anchor", "alike")
+    places = materialize(found.join(materialize(often, "sub-anchors"), "anchor"), "sub-places")
+    alike, mixed = places.where("alike"), places.where("NOT alike")
+    kinds = mixed.groupBy("anchor", "d1", "d2").agg(
         F.count("*").alias("times"), F.min(F.struct("row", "row2", "start", "windows")).alias("one")
     )
     kinds = materialize(kinds.select("anchor", "d1", "d2", "times", "one.*"), "sub-kinds")
@@ -230,11 +232,10 @@ def repeated_spans(df: DataFrame, text: str, rows: DataFrame) -> DataFrame:
         flagged.groupBy("anchor", "d1", "d2").agg(F.collect_list(F.struct("low", "high")).alias("runs")), "sub-flagged"
     )  # of one segment
     spans = F.transform("runs", lambda r: F.struct((F.col("start") + r["low"]).alias("f"), (F.col("start") + r["high"] + LENGTH).alias("t")))
-    return (
-        places.select("row", "row2", "start", "anchor", "d1", "d2").distinct()
-        .join(flagged, ["anchor", "d1", "d2"])
-        .groupBy("row", "row2").agg(F.flatten(F.collect_list(spans)).alias("spans"))
-    )
+    whole = F.array(F.struct(F.col("start").alias("f"), (F.col("start") + F.col("windows") + LENGTH - 1).alias("t")))
+    covered = mixed.select("row", "row2", "start", "anchor", "d1", "d2").distinct().join(flagged, ["anchor", "d1", "d2"])
+    both = covered.select("row", "row2", spans.alias("spans")).unionByName(alike.select("row", "row2", whole.alias("spans")))
+    return both.groupBy("row", "row2").agg(F.flatten(F.collect_list("spans")).alias("spans"))
 
 
 def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
