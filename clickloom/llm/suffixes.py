@@ -51,21 +51,22 @@ def suffix_array(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
 def common_prefixes(text: np.ndarray, order: np.ndarray, rank: np.ndarray, starts: np.ndarray, sizes: np.ndarray, depth: int) -> np.ndarray:
     """For each place in `order`, the bytes shared with the place before, `depth` at most.
 
-    Kasai's recurrence, one step to the right loses at most one shared byte, run for all strings
-    of the text (`starts`, `sizes`) side by side, so that a step is one vector operation. It does
-    not hold after a full match, since equal positions stand in no order; there the rank tells
-    whether the next is a full match too, and else the comparison starts anew.
+    `order` holds the positions compared, sorted: of each string (`starts`) the first `sizes`. Kasai's
+    recurrence, one step to the right loses at most one shared byte, runs for all strings side by
+    side, so that a step is one vector operation. It does not hold after a full match, since equal
+    positions stand in no order, nor where the right neighbour of the place before is not compared;
+    there the rank tells whether the next is a full match too, and else the comparison starts anew.
     """
     n = len(text)
     word = np.concatenate([words_at(text), np.zeros(depth + 8, np.uint64)])
-    place = np.empty(n, np.int64)
-    place[order] = np.arange(n)
+    place = np.full(n + 1, -1, np.int64)
+    place[order] = np.arange(len(order))
     before = np.full(n, -1, np.int64)
     before[order[1:]] = order[:-1]
-    out = np.zeros(n, np.int64)
+    out = np.zeros(len(order), np.int64)
     by_size = np.argsort(-sizes, kind="stable")
     starts, sizes = starts[by_size], sizes[by_size]
-    shared = np.zeros(len(starts), np.int64)
+    shared, last = np.zeros(len(starts), np.int64), np.full(len(starts), n, np.int64)
     alive = len(starts)
     for j in range(int(sizes[0]) if len(sizes) else 0):
         while sizes[alive - 1] <= j:
@@ -73,7 +74,8 @@ def common_prefixes(text: np.ndarray, order: np.ndarray, rank: np.ndarray, start
         p = starts[:alive] + j
         q = before[p]
         known = shared[:alive]
-        known = np.where(known >= depth, 0, np.maximum(known - 1, 0))
+        follows = (known < depth) & (place[np.minimum(last[:alive] + 1, n)] >= 0)
+        known = np.where(follows, np.maximum(known - 1, 0), 0)
         full = (q >= 0) & (rank[p] == rank[q])
         known = np.where(full, depth, np.where(q < 0, 0, known))
         going = np.flatnonzero(~full & (q >= 0))
@@ -84,6 +86,7 @@ def common_prefixes(text: np.ndarray, order: np.ndarray, rank: np.ndarray, start
             known[going] += more
             going = going[~unequal & (known[going] < depth)]
         shared[:alive] = np.minimum(known, depth)
+        last[:alive] = np.where(q < 0, n, q)
         out[place[p]] = shared[:alive]
     return out
 
@@ -92,18 +95,19 @@ def repeated(text: np.ndarray, starts: np.ndarray, sizes: np.ndarray, times: np.
     """Which positions start `depth` bytes that start elsewhere too, and the class of each position.
 
     The text holds strings side by side, each counted `times` times; only positions whose bytes
-    lie within one string count. The class of the others is -1.
+    lie within one string count, and only those are compared. The class of the others is -1.
     """
     order, rank = suffix_array(text, depth)
-    shared = common_prefixes(text, order, rank, starts, sizes, depth)
-    classes = np.empty(len(text), np.int64)
-    classes[order] = np.cumsum(shared < depth) - 1
-    weight = np.zeros(len(text), np.int64)
     ends = np.zeros(len(text) + 1, np.int64)
     valid = np.maximum(sizes - depth + 1, 0)
     np.add.at(ends, starts, times)
     np.subtract.at(ends, starts + valid, times)
     weight = np.cumsum(ends[:-1])
-    total = np.bincount(classes, weight, minlength=1)
-    inside = weight > 0
-    return inside & (total[classes] > 1), np.where(inside, classes, -1)
+    order = order[weight[order] > 0]
+    shared = common_prefixes(text, order, rank, starts, valid, depth)
+    classes = np.full(len(text), -1, np.int64)
+    classes[order] = np.cumsum(shared < depth) - 1
+    total = np.bincount(classes[order], weight[order], minlength=1)
+    flags = np.zeros(len(text), bool)
+    flags[order] = total[classes[order]] > 1
+    return flags, classes
