@@ -43,15 +43,28 @@ _draw = np.random.default_rng(20240607)
 _BYTE = _draw.integers(1, 2**63, (2, 256), dtype=np.uint64)
 
 
+_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def _powers_of(which: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """At least n powers of a base and of its inverse; the worker keeps them, a piece's length at most."""
+    if which not in _powers or len(_powers[which][0]) < n:
+        base, size = int(_BASES[which]), max(n, 1 << 14)
+        with np.errstate(over="ignore"):
+            _powers[which] = tuple(
+                np.cumprod(np.concatenate([[np.uint64(1)], np.full(size, np.uint64(b))])) for b in (base, pow(base, -1, 1 << 64))
+            )
+    return _powers[which]
+
+
 class Hashes:
     """Hashes of any stretch of a byte string in constant time, by running sums modulo 2^64."""
 
     def __init__(self, text: np.ndarray, which: int):
+        power, self.back = _powers_of(which, len(text) + 1)
+        self.sums = np.zeros(len(text) + 1, np.uint64)
         with np.errstate(over="ignore"):
-            base = _BASES[which]
-            self.back = np.cumprod(np.concatenate([[np.uint64(1)], np.full(len(text), np.uint64(pow(int(base), -1, 1 << 64)))]))
-            power = np.cumprod(np.concatenate([[np.uint64(1)], np.full(max(len(text) - 1, 0), base)]))[: len(text)]
-            self.sums = np.concatenate([[np.uint64(0)], np.cumsum(_BYTE[which][text] * power)])
+            np.cumsum(_BYTE[which][text] * power[: len(text)], out=self.sums[1:])
 
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         with np.errstate(over="ignore"):
