@@ -12,8 +12,8 @@ depends on its bytes alone. Neighbouring windows with one such anchor make one s
    Larsson-Sadakane refinement, takes common prefixes by Kasai, and flags windows that share
    `LENGTH` bytes with another, or stand in a string that occurs twice.
 4. An anchor with more text than a shard is spread over several. Their windows are merged by
-   binary search: each shard sends one fingerprint per distinct window to the range it falls in,
-   where it is searched among those of the other shards.
+   binary search: each shard sends one fingerprint per distinct window to one of as many ranges as
+   their count asks for, where it is searched among those of the other shards.
 5. Flags go back to all occurrences of a segment, by row, and the texts are cut.
 
 Null texts are empty; empty and short texts lose nothing. Positions count UTF-8 bytes. Strings
@@ -36,6 +36,7 @@ from clickloom.storage import materialize
 LENGTH = 400
 GRAM = 100
 SHARD_BYTES = 1 << 20
+RANGE_PRINTS = 500_000  # fingerprints searched at once, on average
 PIECE = 1 << 22  # bytes of one text handled at once
 SEGMENT = "anchor bigint, d1 bigint, d2 bigint, row bigint, row2 int, start bigint, windows int"
 _BASES = (np.uint64(0x9E3779B97F4A7C15 | 1), np.uint64(0xC2B2AE3D27D4EB4F | 1))
@@ -234,7 +235,8 @@ def repeated_spans(df: DataFrame, text: str, rows: DataFrame) -> DataFrame:
     prints = sorted_.where("salt >= 0").select(
         "anchor", "d1", "d2", F.explode(F.arrays_zip("w1", "w2", "at")).alias("w")
     ).select("anchor", "d1", "d2", "w.w1", "w.w2", "w.at")
-    crossing = prints.withColumn("range", F.shiftright("w1", 52)).groupBy("range").applyInPandas(
+    ranges = max(1, -(-(sorted_.agg(F.sum(F.size("w1"))).first()[0] or 0) // RANGE_PRINTS))
+    crossing = prints.withColumn("range", F.pmod("w1", F.lit(ranges))).groupBy("range").applyInPandas(
         _search, "anchor bigint, d1 bigint, d2 bigint, at bigint"
     )
     within = sorted_.select("anchor", "d1", "d2", F.explode(F.arrays_zip("low", "high")).alias("r")).select(
