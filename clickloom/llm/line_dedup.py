@@ -2,23 +2,28 @@
 
 A line counts without the blanks around it; lines of blanks only are left alone. Of equal
 lines, however short, the earliest stays, and of lines of at least `near_least` characters
-(20) within one edit (a character inserted, deleted or replaced) of each other the earliest
-stays too: a line goes when any earlier line equals it or is one edit away, whether that one
+(20) within `edits` edits (one; a character inserted, deleted or replaced each) of each other the
+earliest stays too: a line goes when any earlier line equals it or is that near, whether that one
 stays or not. Earlier means by document key (null last), then the text's hash, then line number.
 
-Neighbours share a variant. Two lines that differ in the character at place i are equal
-without it, and a line that has one character more is equal to the other without it. So
-every line emits the hash of each of its one-character deletions, and of itself; equal hashes
-at equal places, or of a deletion and a whole line, make groups that have one earliest member
-each. Only that member is compared with the others, by edit distance. Hot groups are therefore
-reduced before the shuffle, and no group is expanded into pairs.
+Neighbours share a variant. Align two lines within the bound: what they have in common is left of
+each when at most `edits` characters are deleted, and what was deleted stood in at most `edits` gaps.
+So every line emits, for each of its variants, a hash of the variant with each set of `edits` gaps
+that holds its own. Lines with one such hash differ in these gaps only: all of them are within the
+bound of each other, so it is enough to compare the earliest with the rest, by edit distance.
+Hot groups are reduced before the shuffle, and no group is expanded into pairs.
 
 Emitting variants for all lines would multiply the text, so a gate that loses nothing comes
-first: cut into three parts, a line one edit away from another agrees with it outside one part.
-Lines without a partner in any such key have no neighbour.
-
-Null and empty texts have no lines. Rows of one key and one text are one document and share
-its fate. An empty table gives an empty result; only needed columns are read.
+first. Cut into one part more than there may be edits, a line has a part that its neighbour has too,
+at the same place but for the edits before it. Parts that two different lines have go into a filter
+of bits, which each task holds against its own lines; lines without such a part have no
+neighbour. Hashes of variants that two lines have are found, and told from the others, in the same
+way, so lines and variants are shuffled as pairs of numbers, and only once each.
+
+A variant for every place makes about two hashes a character for one edit, and as many as the square
+of that for two, which is the most allowed. Null and empty texts have no lines. Rows of one key and
+one text are one document and share its fate. An empty table gives an empty result; only needed
+columns are read.
 """
 
 from __future__ import annotations
@@ -26,15 +31,19 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from clickloom.llm.cascade import Level, filled, mixed
 from clickloom.llm.text import once
 from clickloom.storage import materialize
 
 LEAST = 20  # characters of a line that is compared by edits
-PARTS = 3
-BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
+EDITS, MOST_EDITS = 1, 2
+FILTER_BITS = 1 << 30  # at most; with more keys than that can tell apart, more lines pass
+FETCH_ROWS = 1_000_000  # lines whose places are broadcast to the texts; more are joined by a shuffle
+BASE = 0x9E3779B97F4A7C15 | 1
+TRIM = " \t\r\x0b\x0c"
 
 
 def row_key(key: str, text: str) -> Column:
@@ -43,7 +52,7 @@ def row_key(key: str, text: str) -> Column:
 
 def lines_of(df: DataFrame, key: str, text: str) -> DataFrame:
     """`doc, line` and the order, class hashes and text of every line that is not blank."""
-    line = F.btrim("line", F.lit(" \t\r\x0b\x0c"))
+    line = F.btrim("line", F.lit(TRIM))
     out = df.select(F.col(key).alias("id"), row_key(key, text).alias("doc"), once(F.split(text, "\n")).alias("_lines"))
     return (
         out.select("id", "doc", F.posexplode("_lines").alias("n", "line"))
@@ -57,117 +66,193 @@ def lines_of(df: DataFrame, key: str, text: str) -> DataFrame:
     )
 
 
-def part_keys(line: Column) -> Column:
-    """Hashes of the line without one of its parts, for partners as long or one longer.
+def part_places(edits: int) -> list[tuple[int, int, int]]:
+    """Which parts to emit: (characters more than the shorter line, number of the part, its shift).
 
-    Parts are cut by the shorter line's length; the longer one emits for that length too.
+    Of the parts that an alignment leaves untouched, the first will do. Each part before it has an
+    edit, and shifts it by at most one; the edits behind it must make up the rest of the difference.
     """
-    n, keys = F.length(line), []
-    for base in (n, n - 1):
-        for j in range(PARTS):
-            front = F.floor(base * j / PARTS).cast("int")
-            back = (base - F.floor(base * (j + 1) / PARTS)).cast("int")
-            keys.append(F.xxhash64(base, F.lit(j), line.substr(F.lit(1), front), line.substr(n - back + 1, back)))
+    out = []
+    for longer in range(edits + 1):
+        for part in range(edits + 1):
+            for shift in range(-edits, edits + 1) if part else (0,):
+                if (max(part, abs(shift)) if part else 0) + abs(longer - shift) <= edits:
+                    out.append((longer, part, shift))
+    return out
+
+
+def part_keys(line: Column, edits: int) -> Column:
+    """A hash per place of `part_places`, null where the line is too short for it."""
+    keys = []
+    for longer, part, shift in part_places(edits):
+        base = F.length(line) - longer
+        cut = [F.floor(base * j / (edits + 1)).cast("int") for j in (part, part + 1)]
+        fits = (base >= 0) & (cut[0] + shift >= 0) & (cut[1] + shift <= F.length(line))
+        text = line.substr(cut[0] + shift + 1, cut[1] - cut[0])
+        keys.append(F.when(fits, F.xxhash64(base, F.lit(part), text)))
     return F.array(*keys)
 
 
-def deletion_hashes(line: str) -> np.ndarray:
-    """Hash of the line without its character i, for every i, then of the whole line.
+def _key(variant: np.ndarray | np.uint64, *gaps: np.ndarray) -> np.ndarray:
+    out = variant
+    for i, gap in enumerate(gaps):
+        out = mixed(np.asarray(out, np.uint64) ^ (np.asarray(gap).astype(np.uint64) * np.uint64(0x9FB21C651E98DF25)), i + 1)
+    return out.view(np.int64)
+
+
+def variant_keys(line: str, edits: int, ranges: list[tuple[int, int]]) -> Iterator[np.ndarray]:
+    """Hashes of the variants of a line with sets of `edits` gaps, in pieces.
 
-    Polynomial hashes of the code points, so that all variants come from one running sum;
-    a variant's hash is that of any equal string.
+    A variant's own hash is a polynomial over its code points, so that each follows from one running
+    sum. `ranges` says from which gap to which the edits can stand, and counts for one edit.
     """
     with np.errstate(over="ignore"):
         code = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-        code = (code + np.uint64(1)) * np.uint64(0xBF58476D1CE4E5B9)
-        code ^= code >> np.uint64(29)
-        code *= np.uint64(0x94D049BB133111EB)
-        power = np.cumprod(np.concatenate([[np.uint64(1)], np.full(len(code), BASE)]))
-        before = np.concatenate([[np.uint64(0)], np.cumsum(code * power[:-1])])
-        inverse = np.uint64(pow(int(BASE), -1, 1 << 64))
-        without = before[:-1] + (before[-1] - before[1:]) * inverse
-        out = np.concatenate([without, before[-1:]])
-        out ^= out >> np.uint64(31)
-        return (out * np.uint64(0xD6E8FEB86659FD93)).view(np.int64)
-
-
-def variants(suspects: DataFrame) -> DataFrame:
-    """`hash, size, place, at, cls`: one row per deletion, and one for the whole line (place -1)."""
-
-    def hashes(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        n = len(code)
+        powers = np.cumprod(np.concatenate([[np.uint64(1)], np.full(n, np.uint64(BASE))]))
+        before = np.concatenate([[np.uint64(0)], np.cumsum(mixed(code, 9) * powers[:n])])
+        back = np.uint64(pow(BASE, -1, 1 << 64))
+        without = before[:-1] + (before[-1] - before[1:]) * back
+        if edits == 1:
+            wanted = np.zeros(n + 1, bool)
+            for low, high in ranges:
+                wanted[low : high + 1] = True
+            gap = np.flatnonzero(wanted)
+            yield _key(before[-1], gap)
+            yield _key(without[gap[gap < n]], gap[gap < n])
+            return
+        gaps = np.arange(n + 1)
+        for p in range(n + 1):
+            yield _key(before[-1], np.full(n + 1 - p, p), gaps[p:])
+            if p < n:
+                other = gaps[:n]
+                yield _key(without[p], np.minimum(p, other), np.maximum(p, other))
+                later = gaps[p + 1 : n]
+                both = before[p] + (before[later] - before[p + 1]) * back + (before[-1] - before[later + 1]) * back * back
+                yield _key(both, np.full(len(later), p), later - 1)
+
+
+def _ranges(size: int, which: list[int], edits: int) -> list[tuple[int, int]]:
+    """The gaps outside the part that a line shares, for each of its shared parts."""
+    out = []
+    for longer, part, _ in (part_places(edits)[i] for i in which):
+        cut = (size - longer) // 2
+        out.append((0, cut + longer) if part else (cut, size))
+    return out
+
+
+def filter_of(keys: DataFrame) -> Level:
+    """A filter of bits with the numbers in `k1`; one in a hundred others passes it too."""
+    keys = keys.withColumn("k2", F.col("k1"))
+    return filled(Level(0, 7, max(64, min(FILTER_BITS, 10 * keys.count()))), keys)
+
+
+def _inside(level: Level, values: np.ndarray) -> np.ndarray:
+    return level.has(values, values)
+
+
+def with_known_parts(lines: DataFrame, known: Level) -> DataFrame:
+    """`at, cls, which`: the lines that have a part in the filter, and which of their parts."""
+    shared = lines.sparkSession.sparkContext.broadcast(known)
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.map(deletion_hashes)
-
-    emit = F.pandas_udf(hashes, "array<bigint>")
-    whole = F.col("place") == F.length("line")
-    return (
-        suspects.select("at", "cls", "line", F.posexplode(emit("line")).alias("place", "hash"))
-        .select(
-            "hash", F.when(whole, F.col("place")).otherwise(F.length("line") - 1).alias("size"),
-            F.when(whole, F.lit(-1)).otherwise(F.col("place")).alias("place"), "at", "cls",
-        )
-    )
+            parts = batch.column("parts")
+            flat = parts.flatten()
+            asked = np.flatnonzero(flat.is_valid().to_numpy(zero_copy_only=False))
+            hit = np.zeros(len(flat), bool)
+            hit[asked] = _inside(shared.value, flat.fill_null(0).to_numpy(zero_copy_only=False)[asked])
+            size = parts.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            row = np.repeat(np.arange(len(size)), size)
+            place = np.arange(len(flat)) - np.repeat(np.cumsum(size) - size, size)
+            rows = np.flatnonzero(np.bincount(row[hit], minlength=len(size)))
+            ends = np.concatenate([[0], np.cumsum(np.bincount(row[hit], minlength=len(size))[rows])]).astype(np.int32)
+            which = pa.ListArray.from_arrays(pa.array(ends), pa.array(place[hit].astype(np.int32)))
+            at = pa.array(rows)
+            yield pa.RecordBatch.from_arrays([batch.column("at").take(at), batch.column("cls").take(at), which], ["at", "cls", "which"])
+
+    at, cls = lines.select("at").schema["at"].dataType.simpleString(), lines.schema["cls"].dataType.simpleString()
+    return lines.select("at", "cls", "parts").mapInArrow(kept, f"at {at}, cls {cls}, which array<int>")
+
+
+def emitted(suspects: DataFrame, edits: int, known: Level | None = None) -> DataFrame:
+    """`k1, c`: the variants' hashes of each line (`c, line, which`), or those of them in a filter."""
+    shared = suspects.sparkSession.sparkContext.broadcast(known) if known else None
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, names, size = [], [], 0
+        for batch in batches:
+            for c, line, which in zip(*(batch.column(x).to_pylist() for x in ("c", "line", "which")), strict=True):
+                for piece in variant_keys(line, edits, _ranges(len(line), which, edits) if edits == 1 else []):
+                    if shared:
+                        piece = piece[_inside(shared.value, piece)]
+                    held.append(piece)
+                    names.append(np.full(len(piece), c, np.int64))
+                    size += len(piece)
+                    if size > 100_000:
+                        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(held)), pa.array(np.concatenate(names))], ["k1", "c"])
+                        held, names, size = [], [], 0
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(held)), pa.array(np.concatenate(names))], ["k1", "c"])
+
+    return suspects.select("c", "line", "which").mapInArrow(keys, "k1 bigint, c bigint")
+
+
+def shared_keys(keyed: DataFrame) -> DataFrame:
+    """The numbers `k1` that stand with two different classes `c`."""
+    return keyed.groupBy("k1").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low != high").select("k1")
+
+
+def texts_of(df: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
+    """`wanted` (`at` and more) with the `line` that stands there."""
+    places = wanted.withColumn("doc", F.col("at.doc"))
+    rows = df.select(row_key(key, text).alias("doc"), F.col(text).alias("_t"))
+    joined = rows.join(F.broadcast(places) if places.count() <= FETCH_ROWS else places, "doc")
+    line = F.btrim(F.element_at(F.split("_t", "\n"), F.col("at.n") + 1), F.lit(TRIM))
+    return joined.select(*wanted.columns, line.alias("line")).dropDuplicates(["cls"])
 
 
-def near_lines(df: DataFrame, keyed_lines: DataFrame, key: str, text: str) -> DataFrame:
+def near_lines(df: DataFrame, lines: DataFrame, key: str, text: str, edits: int) -> DataFrame:
     """`cls, near`: the classes with an earlier neighbour, and where the earliest one stands.
 
-    `keyed_lines` are `at, cls, parts` of the lines of `df`; lines without parts are not compared.
+    `lines` are `at, cls, parts` of the lines of `df`; lines without parts are not compared.
     """
-    keyed = keyed_lines.select("at", "cls", F.explode("parts").alias("part"))
-    # Plain numbers, not structs: those would be sorted instead of hashed.
-    span = [f(f"cls.{half}").alias(f"{name}_{half}") for half in "ab" for name, f in (("low", F.min), ("high", F.max))]
-    shared = materialize(
-        keyed.groupBy("part").agg(*span).where("low_a != high_a OR low_b != high_b").select("part"), "line-parts"
-    )
-    firsts = materialize(
-        keyed.join(shared, "part", "left_semi").groupBy("cls").agg(F.min("at").alias("at")), "line-suspects"
-    )
-    rows = df.select(row_key(key, text).alias("doc"), F.col(text).alias("_t"))
-    wanted = firsts.select("cls", "at", F.col("at.doc").alias("doc"), F.col("at.n").alias("n"))
-    suspects = materialize(
-        wanted.join(rows, "doc")
-        .select("cls", "at", F.btrim(F.element_at(F.split("_t", "\n"), F.col("n") + 1), F.lit(" \t\r\x0b\x0c")).alias("line"))
-        .dropDuplicates(["cls"]),
-        "line-texts",
+    parts = lines.select(F.explode("parts").alias("k1"), F.col("cls.a").alias("c")).where("k1 IS NOT NULL")
+    known = filter_of(materialize(shared_keys(parts), "line-parts"))
+    firsts = with_known_parts(lines.where("parts IS NOT NULL"), known).groupBy("cls").agg(
+        F.min("at").alias("at"), F.first("which").alias("which")
     )
-    every = variants(suspects)
-    inner, whole = F.col("place") >= 0, F.col("place") < 0
-    replaced = (
-        every.where(inner).groupBy("hash", "size", "place").agg(F.min("at").alias("other"), F.max("at").alias("top"))
-        .where("other != top").drop("top")
-    )
-    shifted = (
-        every.groupBy("hash", "size")
-        .agg(F.min(F.when(whole, F.col("at"))).alias("full"), F.min(F.when(inner, F.col("at"))).alias("cut"))
-        .where(F.col("full").isNotNull() & F.col("cut").isNotNull())
-    )
-    pairs = every.where(inner).join(replaced, ["hash", "size", "place"]).select("cls", "at", "other")
-    pairs = pairs.unionByName(
-        every.join(shifted, ["hash", "size"])
-        .select("cls", "at", F.when(inner, F.col("full")).otherwise(F.col("cut")).alias("other"))
-    )
-    pairs = pairs.where(F.col("other") < F.col("at")).groupBy("cls", "at", "other").agg(F.count("*").alias("_n"))
+    firsts = materialize(firsts.withColumn("c", F.col("cls.a")), "line-suspects")
+    suspects = materialize(texts_of(df, firsts, key, text), "line-texts")
+    common = filter_of(materialize(shared_keys(emitted(suspects, edits)), "line-variants"))
+    met = materialize(emitted(suspects, edits, common).distinct(), "line-met")
+    named = suspects.select("c", "cls", "at")
+    members = met.join(named, "c")
+    first = members.groupBy("k1").agg(F.min("at").alias("other"), F.max("at").alias("top")).where("other != top").drop("top")
+    pairs = members.join(first, "k1").where(F.col("other") < F.col("at")).select("cls", "other").distinct()
     partner = suspects.select(F.col("at").alias("other"), F.col("line").alias("other_line"))
     return (
         pairs.join(suspects.select("cls", "line"), "cls")
         .join(partner, "other")
-        .where(F.levenshtein("line", "other_line", 1) >= 0)
+        .where(F.levenshtein("line", "other_line", edits) >= 0)
         .groupBy("cls").agg(F.min("other").alias("near"))
     )
 
 
-def duplicate_lines(df: DataFrame, key: str = "doc_id", text: str = "text", near_least: int = LEAST) -> DataFrame:
+def duplicate_lines(
+    df: DataFrame, key: str = "doc_id", text: str = "text", near_least: int = LEAST, edits: int = EDITS
+) -> DataFrame:
     """`doc, key, line, reason, first_key, first_line`: every line that goes, by document row.
 
     Line numbers count from 0. `reason` is `near` where an earlier neighbour was found before
     any equal line, else `exact`. Only classes that repeat or have a neighbour are joined back
     to the lines, by class: a frequent line is a skewed key of that join, which Spark splits.
     """
-    compared = F.length("line") >= near_least
-    parts = once(F.when(compared, F.array_distinct(part_keys(F.col("line"))))).alias("parts")
+    if not 1 <= edits <= MOST_EDITS:
+        raise ValueError(f"1 to {MOST_EDITS} edits")
+    parts = once(F.when(F.length("line") >= near_least, part_keys(F.col("line"), edits))).alias("parts")
     lines = materialize(lines_of(df, key, text).select("at", "cls", parts), "lines")
-    near = materialize(near_lines(df, lines, key, text), "line-near")
+    near = materialize(near_lines(df, lines, key, text, edits), "line-near")
     lines = lines.select("at", "cls")
     verdicts = (
         lines.groupBy("cls").agg(F.min("at").alias("first"), F.max("at").alias("last"))
@@ -189,14 +274,14 @@ def duplicate_lines(df: DataFrame, key: str = "doc_id", text: str = "text", near
 
 
 def drop_lines(
-    df: DataFrame, key: str = "doc_id", text: str = "text", length: str | None = None, near_least: int = LEAST
+    df: DataFrame, key: str = "doc_id", text: str = "text", length: str | None = None, near_least: int = LEAST, edits: int = EDITS
 ) -> DataFrame:
     """The rows of `df`, all columns, without their duplicate lines.
 
     A row of whose words nothing is left goes too. Rows that lose no line stay as they are; in
     the others a column named by `length` gets the new number of characters.
     """
-    gone = duplicate_lines(df, key, text, near_least).groupBy("doc").agg(F.collect_list("line").alias("gone"))  # of one text
+    gone = duplicate_lines(df, key, text, near_least, edits).groupBy("doc").agg(F.collect_list("line").alias("gone"))  # of one text
     rows = df.select(F.struct("*").alias("all"), row_key(key, text).alias("_doc"), F.split(text, "\n").alias("lines"))
     rows = rows.join(gone, F.col("_doc") == F.col("doc"), "left")
     rest = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "gone")
@@ -209,9 +294,9 @@ def drop_lines(
     return rows.select(F.when(kept, F.col("all")).otherwise(cut).alias("all")).select("all.*")
 
 
-def lines_query(df: DataFrame, near_least: int = LEAST) -> DataFrame:
+def lines_query(df: DataFrame, near_least: int = LEAST, edits: int = EDITS) -> DataFrame:
     """Per document: lines that are not blank, lines gone for either reason, their numbers."""
-    gone = duplicate_lines(df, near_least=near_least).groupBy("doc").agg(
+    gone = duplicate_lines(df, near_least=near_least, edits=edits).groupBy("doc").agg(
         F.sum((F.col("reason") == "exact").cast("long")).alias("n_exact"),
         F.sum((F.col("reason") == "near").cast("long")).alias("n_near"),
         F.array_join(F.array_sort(F.collect_list("line")), ",").alias("dropped"),

@@ -64,20 +64,24 @@ def test_exact_substrings(spark, monkeypatch, shard):
     assert sorted(map(tuple, exact_substrings.substrings_query(df).collect()), key=str) == sorted(expected, key=str)
 
 
-def one_edit(a, b):
-    i = next((k for k, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
-    j = 0
-    while j < min(len(a), len(b)) - i and a[-1 - j] == b[-1 - j]:
-        j += 1
-    return max(len(a), len(b)) - i - j <= 1
+def edits_between(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        row, left = [i], row
+        for j, y in enumerate(b, 1):
+            row.append(min(left[j] + 1, row[-1] + 1, left[j - 1] + (x != y)))
+    return row[-1]
 
 
-def test_line_dedup(spark):
+@pytest.mark.parametrize("edits,least", [(1, 20), (2, 20), (2, 3)])
+def test_line_dedup(spark, edits, least):
     random.seed(3)
     base = [f"the quick brown fox number {i} jumps over" for i in range(6)] + ["a" * 28, "ééñ lines of some length ßü 12345"]
+    if least < 20:
+        base += ["abcd", "abxyz", "aaa", "bbbbbb"]
 
     def changed(line):
-        for _ in range(random.choice([0, 0, 1, 1, 2])):
+        for _ in range(random.choice([0, 0, 1, 1, 2, 3][: 3 + 2 * edits])):
             i, kind = random.randrange(len(line) + 1), random.randrange(3)
             line = line[:i] + (random.choice("abx é") if kind else "") + line[i + (kind < 2) :]
         return line
@@ -87,17 +91,17 @@ def test_line_dedup(spark):
     for key, text in rows:
         for n, line in enumerate(text.split("\n")):
             line = line.strip(" \t\r\x0b\x0c")
-            if len(line) >= line_dedup.LEAST:
-                if any(one_edit(x, line) for x in seen):
-                    expected.setdefault(key, []).append(n)
-                seen.append(line)
+            if any(x == line or min(len(x), len(line)) >= least and edits_between(x, line) <= edits for x in seen) and line:
+                expected.setdefault(key, []).append(n)
+            seen.append(line)
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    got = {r.doc_id: [int(x) for x in r.dropped.split(",")] for r in line_dedup.lines_query(df).collect() if r.dropped}
+    query = line_dedup.lines_query(df, near_least=least, edits=edits)
+    got = {r.doc_id: [int(x) for x in r.dropped.split(",")] for r in query.collect() if r.dropped}
     assert got == expected
-    left = {r.doc_id: r.text for r in line_dedup.drop_lines(df).collect()}
+    left = {r.doc_id: r.text for r in line_dedup.drop_lines(df, near_least=least, edits=edits).collect()}
     for key, text in rows:
         rest = [x for n, x in enumerate(text.split("\n")) if n not in expected.get(key, [])]
-        assert left.get(key, "") == "\n".join(rest)
+        assert left.get(key, "") == ("\n".join(rest) if "".join(rest).strip() else "")
 
 
 def test_near_dedup_finds_links_past_the_centre(spark):
