@@ -142,9 +142,13 @@ def _ranges(size: int, which: list[int], edits: int) -> list[tuple[int, int]]:
 
 
 def filter_of(keys: DataFrame) -> Level:
-    """A filter of bits with the numbers in `k1`; one in a hundred others passes it too."""
+    """A filter of bits with the numbers in `k1`; one in a million others passes it too.
+
+    All lines are held against it, and few have what it holds: with an error of one in a hundred
+    most of those that pass would have no neighbour.
+    """
     keys = keys.withColumn("k2", F.col("k1"))
-    return filled(Level(0, 7, max(64, min(FILTER_BITS, 10 * keys.count()))), keys)
+    return filled(Level(0, 20, max(64, min(FILTER_BITS, 30 * keys.count()))), keys)
 
 
 def _inside(level: Level, values: np.ndarray) -> np.ndarray:
