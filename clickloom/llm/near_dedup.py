@@ -37,6 +37,7 @@ BINS = 256
 ROWS = 6
 BANDS = BINS // ROWS
 SLOTS = 1 << 20
+SALTS = 16  # parts of a group when its component is joined back
 EMPTY = np.uint64(2**64 - 1)
 
 
@@ -249,9 +250,13 @@ def groups(
     if not more.isEmpty():
         labels = components(labels.toDF("a", "b").unionByName(more))
     named = classes.select("cls", "first").join(labels.withColumnRenamed("node", "cls"), "cls", "left")
-    named = materialize(named.withColumn("label", F.coalesce("label", "cls")), "near-labels")
-    smallest = named.groupBy("label").agg(F.min("first").alias("component"))
-    known = named.join(smallest, "label").select("cls", "label", "component")
+    named = materialize(named, "near-labels")
+    alone = named.where("label IS NULL").select("cls", F.col("cls").alias("label"), F.col("first").alias("component"))
+    # A large group is one label: its smallest key is found with partial minima, and given back in salted parts.
+    linked = named.where("label IS NOT NULL").withColumn("salt", F.pmod(F.xxhash64("cls"), F.lit(SALTS)).cast("int"))
+    smallest = linked.groupBy("label").agg(F.min("first").alias("component"))
+    spread = smallest.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    known = alone.unionByName(linked.join(spread, ["label", "salt"]).select("cls", "label", "component"))
     return all_rows.drop("bands").join(known, "cls", "left").select(
         "row", F.col("id").alias(key), F.col("n").alias("n_shingles"), "cls", "label",
         F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")).alias("component"),
