@@ -1,53 +1,79 @@
 """Benchmark decontamination: size-partitioned MinHash containment search.
 
 An item is found in a document when the document holds at least `threshold` of the item's
-distinct five-word shingles. Words are runs of letters and digits, A-Z lower-cased.
+distinct five-word shingles. Words are runs of letters and digits, A-Z lower-cased. An item of
+fewer words has one shingle, all its words; documents are held against it by shingles of that
+width, so a short item is found wherever its words stand one after the other.
 
 Search: items are partitioned by the size of their shingle set, in powers of two, and each
 keeps as sketch its smallest hashes, as many as its partition needs: a document with at
-least `threshold` of q shingles misses at most (1 - threshold) q of them, so of any
-floor((1 - threshold) q) + 1 it holds one. A document that shares no sketch value cannot
-contain the item; one that does is verified on the full shingle sets.
+least `threshold` of q shingles misses at most (1 - threshold) q of them, so of a sketch of
+k > (1 - threshold) q it holds at least k - floor((1 - threshold) q). A document with fewer hits
+cannot contain the item; the others are verified on the full shingle sets.
 
 Empty and null texts have no shingles: such items match nothing and such documents are never
-matched. Fewer than five words make one shingle of the whole sequence, so such an item is
-found only in documents of the same words. Repeated rows give repeated results, an empty
-table gives an empty one, and only the needed columns are read.
+matched. Repeated rows give repeated results, an empty table gives an empty one, and only the
+needed columns are read.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from clickloom.llm.text import NOT_WORD, lower_ascii, with_shingles, words
+from clickloom.llm.text import NOT_WORD, adjacent, lower_ascii, once, words
 from clickloom.storage import materialize
 
 WORDS = 5
 THRESHOLD = 0.8
+#: A run of so many words is fixed by two runs of fewer, so many words apart.
+_MADE_OF = {2: (1, 1), 3: (2, 1), 4: (2, 2), 5: (4, 1)}
 
 
-def _shingled(df: DataFrame, text: str) -> DataFrame:
-    out = df.withColumn("_words", words(lower_ascii(F.col(text)), NOT_WORD))
-    return with_shingles(out, "_words", WORDS, "_set").drop("_words")
+def _shingled(df: DataFrame, text: str, widths: list[int]) -> DataFrame:
+    """Add `_n_words` and `_sets`: for each width the distinct shingles of that many words, as hashes."""
+    needed = {1, *widths}
+    while extra := {_MADE_OF[w][0] for w in needed if w in _MADE_OF} - needed:
+        needed |= extra
+    out = df.withColumn("_words", once(words(lower_ascii(F.col(text)), NOT_WORD)))
+    out = out.withColumn("_w1", F.transform("_words", lambda w: F.xxhash64(w)))
+    for width in sorted(needed - {1}):
+        half, step = _MADE_OF[width]
+        out = out.withColumn(f"_w{width}", adjacent(F.col(f"_w{half}"), step))
+    sets = [_of_width(w) for w in widths]
+    out = out.withColumn("_n_words", F.size("_words"))
+    out = out.withColumn("_sets", once(F.array(*sets)) if sets else F.array(F.array().cast("array<bigint>")))
+    return out.drop("_words", *[f"_w{w}" for w in needed])
+
+
+def _of_width(width: int) -> Column:
+    return F.array_distinct(F.transform(f"_w{width}", lambda h: F.xxhash64(F.lit(width), h)))
+
+
+def _missing(q: Column, threshold: float) -> Column:
+    """The most of q shingles that a document may lack."""
+    return F.floor(F.lit(round(1 - threshold, 9)) * q + 1e-9)
 
 
 def item_sketches(items: DataFrame, key: str, text: str, threshold: float) -> DataFrame:
-    """`item, n_item, _set, size_class, sketch` for every item with a shingle.
+    """`item, n_item, _set, size_class, sketch, least` for every item with a word.
 
-    Items of one key are one item per row; equal rows are told apart by their number only in
-    the result, where they give equal rows.
+    `least` is the number of hits in the sketch that a document needs. Items of one key are one item
+    per row; equal rows are told apart by their number only in the result, where they give equal rows.
     """
-    q, least = F.size("_set"), F.lit(round(1 - threshold, 9))
-    size_class = F.floor(F.log2(F.size("_set"))).cast("int")
+    q = F.size("_set")
     largest = F.pow(F.lit(2.0), F.col("size_class") + 1) - 1  # set size in this partition
-    enough = (F.floor(least * largest + 1e-9) + 1).cast("int")
+    enough = (_missing(largest, threshold) + 1).cast("int")
+    every = _shingled(items.select(F.col(key).alias("item"), F.col(text).alias("_t")), "_t", list(range(1, WORDS + 1)))
     return (
-        _shingled(items.select(F.col(key).alias("item"), F.col(text).alias("_t")), "_t")
-        .drop("_t")
-        .where(q > 0)
+        every.drop("_t")
+        .where("_n_words > 0")
+        .withColumn("_set", F.element_at("_sets", F.least(F.lit(WORDS), F.col("_n_words"))))
         .withColumn("n_item", q.cast("long"))
-        .withColumn("size_class", size_class)
+        .withColumn("size_class", F.floor(F.log2(q)).cast("int"))
         .withColumn("sketch", F.slice(F.array_sort("_set"), F.lit(1), F.least(enough, q)))
+        .withColumn("least", F.size("sketch") - _missing(q, threshold))
+        .withColumn("width", F.least(F.lit(WORDS), F.col("_n_words")))
+        .drop("_sets", "_n_words")
     )
 
 
@@ -73,25 +99,26 @@ def contained_items(
         "item-sketches",
     )
     probes = materialize(
-        sketches.select(F.explode("sketch").alias("value"), "item_row", "size_class", "n_item").distinct(), "item-probes"
+        sketches.select(F.explode("sketch").alias("value"), "item_row", "size_class", "n_item", "least").distinct(), "item-probes"
     )
+    widths = sorted(r["width"] for r in sketches.select("width").distinct().collect())  # five at most
     rows = df.select(
         F.col(key).alias("_id"), F.col(text).alias("_t"), F.xxhash64(F.col(key), F.col(text)).alias("_row")
     )
-    shingled = _shingled(rows, "_t").drop("_t")
+    shingled = _shingled(rows, "_t", widths).select("_row", F.flatten("_sets").alias("_set"))
     candidates = materialize(
-        shingled.where(F.size("_set") > 0)
-        .select("_row", F.size("_set").alias("_n"), F.explode("_set").alias("value"))
+        shingled.select("_row", F.size("_set").alias("_n"), F.explode("_set").alias("value"))
         .join(probes, "value")
         .where(F.col("_n") >= F.lit(threshold) * F.col("n_item"))  # too small to hold enough
-        .groupBy("_row", "item_row")
-        .agg(F.count("*").alias("sketch_hits")),
+        .groupBy("_row", "item_row", "least")
+        .agg(F.count("*").alias("sketch_hits"))
+        .where("sketch_hits >= least"),
         "leak-candidates",
     )
     suspects = candidates.select("_row").distinct()
     checked = (
-        _shingled(rows.join(suspects, "_row", "left_semi"), "_t")
-        .withColumnRenamed("_set", "_doc_set")
+        _shingled(rows.join(suspects, "_row", "left_semi"), "_t", widths)
+        .withColumn("_doc_set", F.flatten("_sets"))
         .join(candidates, "_row")
         .join(sketches.select("item_row", "item", "n_item", "_set"), "item_row")
     )
@@ -123,18 +150,19 @@ _WORDS_SQL = r"""list_filter(string_split_regex(translate(coalesce(text, ''),
   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"""
 
 
-def _sets_sql(table: str, key: str) -> str:
+def _sets_sql(table: str, key: str, widths: str) -> str:
+    """The shingles of each row, of the widths that the SQL names (`width`), which may look at `n`."""
     return f"""
-  SELECT DISTINCT r, {key}, n, CASE WHEN n >= {WORDS} THEN array_to_string(w[i:i + {WORDS - 1}], ' ')
-    ELSE 'whole ' || array_to_string(w, ' ') END AS shingle
-  FROM (SELECT r, {key}, w, len(w) AS n, unnest(range(1, greatest(len(w) - {WORDS - 2}, 2))) AS i
-        FROM (SELECT row_number() OVER () AS r, {key}, {_WORDS_SQL} AS w FROM {table})) WHERE n > 0"""
+  SELECT DISTINCT r, {key}, width, array_to_string(w[i:i + width - 1], ' ') AS shingle
+  FROM (SELECT *, unnest(range(1, n - width + 2)) AS i FROM (SELECT *, {widths} FROM (
+    SELECT *, len(w) AS n FROM (SELECT row_number() OVER () AS r, {key}, {_WORDS_SQL} AS w FROM {table}))) WHERE n >= width AND n > 0)"""
 
 
 LEAKS_SQL = f"""
-WITH d AS ({_sets_sql('documents', 'doc_id')}),
-b AS (SELECT *, count(*) OVER (PARTITION BY r) AS n_item FROM ({_sets_sql('benchmark', 'item_id')}))
+WITH i AS MATERIALIZED ({_sets_sql('benchmark', 'item_id', f'least(n, {WORDS}) AS width')}),
+b AS (SELECT *, count(*) OVER (PARTITION BY r) AS n_item FROM i),
+d AS ({_sets_sql('documents', 'doc_id', 'unnest((SELECT list(DISTINCT width) FROM i)) AS width')})
 SELECT doc_id, item_id, n_item::BIGINT AS n_item, count(*)::BIGINT AS n_shared, count(*) / n_item AS containment
-FROM d JOIN b USING (shingle) GROUP BY d.r, b.r, doc_id, item_id, n_item
+FROM d JOIN b USING (width, shingle) GROUP BY d.r, b.r, doc_id, item_id, n_item
 HAVING count(*) >= {THRESHOLD} * n_item - 1e-9
 """
