@@ -21,8 +21,8 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5  # of all words
 MOST = 2  # times a source, or a document
 BLOCK_WORDS = 64
-SHARD_WORDS = 100_000
-MOST_SHARDS = 4096
+SHARD_WORDS = 100_000  # of a shard at least; in large sources shards grow with the root of the source's size
+SHARD_ROOTS = 20
 
 
 def apportion(units: DataFrame, group: str, unit: str, votes: str, seats: str) -> DataFrame:
@@ -108,8 +108,9 @@ def mix(
     """Words taken of every row: `key, size, source_size, target, shard, taken`.
 
     The text is read once, for its size and its place in the seeded order; everything after
-    works on a narrow written table. A source is spread over shards in proportion to its
-    size, so the hot one is no larger a group than another's shard. The tables of sources
+    works on a narrow written table. A source is spread over shards, more of them and larger ones the
+    larger it is (both grow with the root of its size beyond 25 million words), so neither a shard nor
+    the list of a source's shards becomes a large group. The tables of sources
     and shards are written too, so that Spark broadcasts them only by their measured size.
     """
     said = F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string"), F.col(text))
@@ -126,10 +127,10 @@ def mix(
     block = F.lit(block_words)
     sources = source_targets(sizes, weights, share)
     sources = sources.withColumn("_seats", F.round(F.sum("target").over(Window.partitionBy("_all")) / block).cast("long"))
-    shards = F.ceil(F.col("source_size") / SHARD_WORDS)
+    shards = F.ceil(F.col("source_size") / F.greatest(F.lit(SHARD_WORDS), F.floor(SHARD_ROOTS * F.sqrt("source_size"))))
     sources = materialize(
         apportion(sources, "_all", "_rank", "target", "_seats")
-        .withColumn("_shards", F.greatest(F.lit(1), F.least(F.lit(MOST_SHARDS), shards)))
+        .withColumn("_shards", F.greatest(F.lit(1), shards))
         .select("_key", "_rank", "source_size", "target", "_shards", F.col("quota").alias("_blocks")),
         "mix-sources",
     )
@@ -193,7 +194,7 @@ WITH s AS (
 ), placed AS (
   SELECT s.*, t.rank, source_size, target, coalesce(blocks, 0) AS blocks,
          ('0x' || substr(ord, 1, 8))::BIGINT
-           % greatest(1, least({MOST_SHARDS}, ceil(source_size / {SHARD_WORDS})))::BIGINT AS shard
+           % greatest(1, ceil(source_size / greatest({SHARD_WORDS}, floor({SHARD_ROOTS} * sqrt(source_size)))))::BIGINT AS shard
   FROM s JOIN t ON s.source IS NOT DISTINCT FROM t.source LEFT JOIN won ON t.rank = won.rank
 ), shards AS (
   SELECT rank, shard, max(blocks) AS blocks, sum(size)::BIGINT AS shard_size FROM placed GROUP BY ALL
