@@ -20,6 +20,40 @@ def test_toxicity_learns_from_the_whole_bound_and_moves_only_screened_terms(spar
     assert (flat[offsets[:-1]] == np.where(label > 0, words[0].t[-1], words[1].t[-1])).all()
 
 
+def _fitted_scores(docs, label, n):
+    """A machine fitted on the first `n` of some lists of places, and the scores of all."""
+    offsets = np.concatenate([[0], np.cumsum([len(x) for x in docs])])
+    flat = np.concatenate([np.array(x, np.int32) for x in docs])
+    found, row = toxicity.features(flat, offsets)
+    ends = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(docs)))])
+    machine = toxicity.fit(found[: ends[n]].astype(np.int32), ends[: n + 1], label[:n])
+    at, row = machine.active(flat, offsets)
+    return toxicity.logistic(machine.margin(at, row, len(docs))[0])
+
+
+def test_toxicity_finds_pairs_of_harmless_words():
+    draw = np.random.default_rng(3)
+    docs = [list(draw.choice(np.arange(1, 3001), 30)) for _ in range(20_000)]
+    label = (draw.random(20_000) < 0.11).astype(float)
+    for i in np.flatnonzero(label):
+        docs[i].append(5000)
+    clean = np.flatnonzero(label == 0)[:220]
+    for k, i in enumerate(clean):  # an insult in 120 texts, a group in 120, both in 20, which are toxic
+        docs[i] += [6000] * (k < 120) + [7000] * (k < 20 or k >= 120)
+    label[clean[:20]] = 1
+    scores = _fitted_scores(docs, label, 20_000)
+    assert (scores[clean[:20]] >= 0.3).all() and (scores[clean[20:]] < 0.3).all()
+
+
+def test_toxicity_learns_exclusive_or():
+    draw = np.random.default_rng(5)
+    one, two = draw.random((2, 6000)) < 0.5
+    docs = [list(draw.choice(np.arange(1, 300), 12)) + [1000] * int(a) + [2000] * int(b) for a, b in zip(one, two, strict=True)]
+    label = (one != two).astype(float)
+    scores = _fitted_scores(docs, label, 4000)
+    assert ((scores >= 0.5) == (label > 0))[4000:].mean() > 0.97
+
+
 def test_line_dedup_drops_equal_lines_of_every_length(spark):
     rows = [(1, "a\n  short line\n\n-----"), (2, "short line \n\n \nshort lime\na"), (3, "-----\n\nown"), (4, "a")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
