@@ -3,8 +3,8 @@
 A language is a table of letter-trigram probabilities, counted over all learning texts; the
 trigrams of a word include its edges and are hashed into `BUCKETS`, so a table has a fixed
 size. A document is a mixture: each word comes from one of its languages. For the sets of the
-one, two, three ... most likely languages, up to all learned ones, EM estimates the proportions,
-and the set with the best penalised likelihood (BIC over the words) is chosen. The search of a
+one, two, three ... most likely languages, up to all learned ones, EM estimates the proportions
+(until a step moves none of a text's by more than `TOLERANCE`), and the set with the best penalised likelihood (BIC over the words) is chosen. The search of a
 document ends early only where the penalty alone exceeds the best cost so far. The operator
 returns the set with its proportions; the query's prediction is the language with the largest
 proportion, the score that proportion.
@@ -27,8 +27,8 @@ from clickloom.llm.heldout import held_out
 
 BUCKETS = 1 << 16
 SMOOTHING = 0.5
-STEPS = 8
-CHUNK = 1 << 19  # letters handled at once, but for longer single texts
+TOLERANCE = 1e-3
+CHUNK = 1 << 19  # letters handled at once
 
 _letters: list[np.ndarray] = []
 
@@ -39,17 +39,31 @@ def letter_table() -> np.ndarray:
     return _letters[0]
 
 
-def chunks(texts: list[str | None]) -> Iterator[tuple[int, list[str]]]:
-    """Runs of texts of about `CHUNK` letters: (number of the first, lower-cased texts)."""
-    first, size, run = 0, 0, []
+def pieces(text: str) -> Iterator[str]:
+    """A text cut behind about `CHUNK` letters each, between words."""
+    first = 0
+    while len(text) - first > CHUNK:
+        last = first + CHUNK
+        while last < len(text) and text[last].isalpha():
+            last += 1
+        yield text[first:last]
+        first = last
+    yield text[first:]
+
+
+def chunks(texts: list[str | None]) -> Iterator[tuple[list[int], list[str]]]:
+    """Runs of pieces of texts of about `CHUNK` letters: (numbers of the texts, lower-cased pieces)."""
+    owner, run, size = [], [], 0
     for i, text in enumerate(texts):
-        run.append((text or "").lower())
-        size += len(run[-1])
-        if size >= CHUNK:
-            yield first, run
-            first, size, run = i + 1, 0, []
+        for piece in pieces(text or ""):
+            owner.append(i)
+            run.append(piece.lower())
+            size += len(piece)
+            if size >= CHUNK:
+                yield owner, run
+                owner, run, size = [], [], 0
     if run:
-        yield first, run
+        yield owner, run
 
 
 def trigrams(run: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -109,47 +123,75 @@ def proportions(likely: np.ndarray, first: np.ndarray, chosen: np.ndarray, words
     """EM over the chosen languages of every text: proportions, and log likelihood per text.
 
     `likely` (word x language) is scaled by each word's best language; words of a text are
-    adjacent, from `first` on. Texts with a single chosen language need no step.
+    adjacent, from `first` on. A text takes part until its proportions stand still; texts with a single
+    chosen language need no step.
     """
     share = chosen / chosen.sum(axis=1, keepdims=True)
-    text_of = np.repeat(np.arange(len(first)), words)
-    steps = STEPS if (chosen.sum(axis=1) > 1).any() else 0
-    for _ in range(steps):
-        part = likely * share[text_of]
+    moving = np.flatnonzero(chosen.sum(axis=1) > 1)
+    own = likely if len(moving) == len(first) else likely[np.repeat(chosen.sum(axis=1) > 1, words)]
+    count = words[moving]
+    while len(moving):
+        before = share[moving]
+        part = own * np.repeat(before, count, axis=0)
         part /= np.maximum(part.sum(axis=1, keepdims=True), 1e-30)
-        share = np.add.reduceat(part, first, axis=0) / words[:, None]
+        after = np.add.reduceat(part, np.cumsum(count) - count, axis=0) / count[:, None]
+        share[moving] = after
+        still = np.abs(after - before).max(axis=1) > TOLERANCE
+        if not still.all():
+            own = own[np.repeat(still, count)]
+            moving, count = moving[still], count[still]
+    text_of = np.repeat(np.arange(len(first)), words)
     weight = np.log(np.maximum((likely * share[text_of]).sum(axis=1), 1e-30))
     return share, np.add.reduceat(weight, first)
 
 
-def predict_run(run: list[str], model: np.ndarray) -> np.ndarray:
+def word_likelihoods(texts: list[str | None], model: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Runs of whole texts: the text's number of every word, and its log likelihood by language.
+
+    Trigrams are looked up piece by piece, so a long text costs a row per word, not per letter.
+    """
+    owners, rows, size = [], [], 0
+    for owner, run in chunks(texts):
+        bucket, first, piece = trigrams(run)
+        whole = np.asarray(owner)
+        if size >= CHUNK and owners and len(first) and owners[-1][-1] < whole[piece[0]]:
+            yield np.concatenate(owners), np.concatenate(rows)
+            owners, rows, size = [], [], 0
+        if len(first):
+            owners.append(whole[piece])
+            rows.append(np.add.reduceat(model[bucket], first, axis=0))
+            size += len(bucket)
+    if owners:
+        yield np.concatenate(owners), np.concatenate(rows)
+
+
+def mixtures(texts: list[str | None], model: np.ndarray) -> np.ndarray:
     """Proportions (text x language) of the best set of each text; a row of zeros is the empty set."""
-    out = np.zeros((len(run), model.shape[1]))
-    bucket, first, text = trigrams(run)
-    if not len(first) or not model.shape[1]:
+    out = np.zeros((len(texts), model.shape[1]))
+    if not model.shape[1]:
         return out
-    log_likely = np.add.reduceat(model[bucket], first, axis=0)
-    top = log_likely.max(axis=1, keepdims=True)
-    likely = np.exp(np.maximum(log_likely - top, -60)).astype(np.float32)
-    numbers, begins, words = np.unique(text, return_index=True, return_counts=True)
-    everything = np.ones((len(numbers), model.shape[1]), np.float32)
-    share, _ = proportions(likely, begins, everything, words)
-    place = np.argsort(np.argsort(-share, axis=1, kind="stable"), axis=1, kind="stable")
-    least = np.full(len(numbers), np.inf)
-    for k in range(1, model.shape[1] + 1):
-        # No word is likelier than in its best language, where it counts as 1: no cost is below its penalty.
-        left = (k - 1) * np.log(np.maximum(words, 2)) < least - 1e-9
-        if not left.all():
-            likely = likely[np.repeat(left, words)]
-            numbers, words, place, least = numbers[left], words[left], place[left], least[left]
-            begins = np.cumsum(words) - words
-        if not len(numbers):
-            break
-        now, fit = proportions(likely, begins, (place < k).astype(np.float32), words)
-        cost = -2 * fit + (k - 1) * np.log(np.maximum(words, 2))
-        better = cost < least - 1e-9
-        least = np.where(better, cost, least)
-        out[numbers[better]] = now[better]
+    for text, log_likely in word_likelihoods(texts, model):
+        top = log_likely.max(axis=1, keepdims=True)
+        likely = np.exp(np.maximum(log_likely - top, -60)).astype(np.float32)
+        numbers, begins, words = np.unique(text, return_index=True, return_counts=True)
+        everything = np.ones((len(numbers), model.shape[1]), np.float32)
+        share, _ = proportions(likely, begins, everything, words)
+        place = np.argsort(np.argsort(-share, axis=1, kind="stable"), axis=1, kind="stable")
+        least = np.full(len(numbers), np.inf)
+        for k in range(1, model.shape[1] + 1):
+            # No word is likelier than in its best language, where it counts as 1: no cost is below its penalty.
+            left = (k - 1) * np.log(np.maximum(words, 2)) < least - 1e-9
+            if not left.all():
+                likely = likely[np.repeat(left, words)]
+                numbers, words, place, least = numbers[left], words[left], place[left], least[left]
+                begins = np.cumsum(words) - words
+            if not len(numbers):
+                break
+            now, fit = proportions(likely, begins, (place < k).astype(np.float32), words)
+            cost = -2 * fit + (k - 1) * np.log(np.maximum(words, 2))
+            better = cost < least - 1e-9
+            least = np.where(better, cost, least)
+            out[numbers[better]] = now[better]
     return np.clip(out, 0.0, 1.0)
 
 
@@ -164,11 +206,10 @@ def predict(df: DataFrame, names: list[str], model: np.ndarray, key: str = "doc_
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             said, share = [], []
-            for _, run in chunks(batch["_text"].tolist()):
-                for own in predict_run(run, shared.value):
-                    order = np.argsort(-own, kind="stable")[: np.count_nonzero(own)]
-                    said.append(labels[order].tolist())
-                    share.append(own[order])
+            for own in mixtures(batch["_text"].tolist(), shared.value):
+                order = np.argsort(-own, kind="stable")[: np.count_nonzero(own)]
+                said.append(labels[order].tolist())
+                share.append(own[order])
             yield pd.DataFrame({"_key": batch["_key"], "held_out": batch["_held"], "_said": said, "_share": share})
 
     kind = df.schema[key].dataType.simpleString()

@@ -148,6 +148,27 @@ def test_license_phrases_and_rules(spark):
     assert got[4].labels == "" and got[4].score == 0 and got[5].n_words == 0 and got[5].first_word is None
 
 
+def test_license_phrases_of_the_given_texts(spark):
+    """Places, first and last word of the base phrases, counted word by word."""
+    phrases = {"mit": ["under the mit license"], "apache-2": ["apache license version 2"], "cc-by-nc": ["cc by nc"]}
+    rows = [(r.doc_id, r.text) for r in given(spark).collect()]
+    extra = ["CC-BY-NC cc by nc by nc", "Under the MIT license under the mit license", "é apache license version 2é apache  license,version 2"]
+    rows += [(10_000 + i, x) for i, x in enumerate(extra)] + [(20_000, None), (20_001, "cc by")]
+    got = {r.doc_id: r for r in licenses.licenses_query(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    found = 0
+    for key, text in rows:
+        said = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")))
+        at = {name: [i for p in own for i in range(len(said)) if said[i : i + len(p.split())] == p.split()] for name, own in phrases.items()}
+        places = sorted(i for own in at.values() for i in own)
+        r = got[key]
+        assert (r.n_words, r.n_base) == (len(said), len(places))
+        assert (r.first_word, r.last_word) == ((places[0], places[-1]) if places else (None, None))
+        assert r.base_labels == ",".join(sorted(name for name, own in at.items() if own))
+        assert set(filter(None, r.base_labels.split(","))) <= set(r.labels.split(","))
+        found += bool(places)
+    assert found >= 4
+
+
 def base_spans(text):
     text = text or ""
     pattern = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -198,6 +219,21 @@ def test_languages(spark):
     assert len(rows) > 30 and sum(r.lang == r.lang_pred for r in rows) >= 0.95 * len(rows)
 
 
+def test_languages_of_a_text_cut_into_pieces(spark, monkeypatch):
+    docs = given(spark)
+    names, model = language.learn(docs, "doc_id", "text", "lang")
+    texts = [r.text for r in docs.orderBy("doc_id").limit(60).collect()]
+    texts = texts + [None, "", "12 34", " ".join(t or "" for t in texts), "x" * 3000]
+    whole = language.mixtures(texts, model)
+    monkeypatch.setattr(language, "CHUNK", 500)
+    assert "".join(language.pieces(texts[-2])) == texts[-2] and max(map(len, language.pieces(texts[-2]))) < 600
+    assert np.allclose(language.mixtures(texts, model), whole, atol=1e-6)
+    assert not whole[60:63].any() and abs(whole[-2].sum() - 1) < 1e-5
+    monkeypatch.setattr(language, "TOLERANCE", 1e-6)  # what is left to gain after the last step is small
+    finer = language.mixtures(texts, model)
+    assert np.abs(finer - whole).max() < 0.05 and (finer.argmax(axis=1) == whole.argmax(axis=1)).all()
+
+
 def test_pipeline_stages_act(spark):
     import corpus_pipeline
 
