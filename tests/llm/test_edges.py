@@ -3,7 +3,7 @@
 import corpus_pipeline
 import pytest
 from clickloom.llm import (
-    decontaminate, exact_substrings, language, licenses, line_dedup, mixing, near_dedup, quality_rules, secrets, toxicity,
+    components, decontaminate, exact_substrings, language, licenses, line_dedup, mixing, near_dedup, quality_rules, secrets, toxicity,
 )
 from pyspark.sql import functions as F
 
@@ -14,7 +14,7 @@ CLASHING = ["_text", "_key", "_t", "_id", "_row", "_doc", "_words", "_set", "row
 @pytest.fixture(scope="session")
 def odd(spark):
     """Nulls, empty and blank texts, ties, repeated rows, a very long text, and clashing columns."""
-    long = " ".join(f"w{i % 997} word{i % 13}" for i in range(30_000))
+    long = " ".join(f"w{i % 997} word{i % 13}" for i in range(110_000))  # over a megabyte
     rows = [
         (1, "the quick brown fox jumps over the lazy dog and runs away from here", "en", "a"),
         (1, "the quick brown fox jumps over the lazy dog and runs away from here", "en", "a"),
@@ -75,6 +75,9 @@ def test_empty_table(spark, odd, name):
 def test_leaks(spark, odd):
     found = {(r.doc_id, r.item_id) for r in decontaminate.leaks_query(odd, items(spark)).collect()}
     assert found == {(1, 1), (5, 4), (6, 4), (1, None)}
+    short = spark.createDataFrame([(1, "lazy dog and"), (2, "dog lazy"), (3, "jumps")], "item_id long, text string")
+    found = {(r.doc_id, r.item_id, r.n_item) for r in decontaminate.leaks_query(odd, short).collect()}
+    assert found == {(1, 1, 1), (1, 3, 1), (None, 3, 1)}
     assert decontaminate.leaks_query(odd.limit(0), items(spark)).count() == 0
     assert decontaminate.leaks_query(odd, items(spark).limit(0)).count() == 0
 
@@ -91,6 +94,22 @@ def test_defined_results(spark, odd):
     assert cut[8].n_bytes == cut[8].n_removed and cut[3].n_bytes == cut[3].n_spans == 0
 
 
+def test_last_stage(spark, odd, tmp_path):
+    name, mix = corpus_pipeline.STAGES[-1]
+    out = mix(spark, odd, str(tmp_path)).collect()
+    assert name == "mixing" and len(out) == odd.count() and sum(r.taken for r in out) > 0
+    assert all(0 <= r.taken <= 2 * r.size for r in out) and mix(spark, odd.limit(0), str(tmp_path)).count() == 0
+
+
+def test_components(spark):
+    chain = [(i, i + 1) for i in range(100, 160)] + [(150, 149)]
+    star = [(7, i) for i in range(1000, 1200)]
+    edges = spark.createDataFrame([*chain, *star, (5, 5), (3, 2), (2, 3)], "a long, b long")
+    got = {r.node: r.label for r in components.components(edges).collect()}
+    assert got == {**{i: 100 for i in range(100, 161)}, 7: 7, **{i: 7 for i in range(1000, 1200)}, 2: 2, 3: 2}
+    assert components.components(edges.limit(0)).count() == 0
+
+
 @pytest.mark.parametrize("stage", corpus_pipeline.STAGES[:-1], ids=lambda s: s[0])
 def test_stage_keeps_columns(spark, odd, stage, tmp_path):
     labels(spark).write.parquet(f"{tmp_path}/labels.parquet")
