@@ -31,6 +31,17 @@ QUICK = [
     "shuffle_checks",
     "rejected_all_reasons",
     "table_types",
+    "csv_rejects",
+    "csv_accepted",
+    "load_large_values",
+    "sampled_read",
+    "manifest_of_some",
+    "rejected_text",
+    "vocab_mixed",
+    "vector_normalize",
+    "multi_hot_cut",
+    "auc_by_day",
+    "sparse_features",
 ]
 
 
