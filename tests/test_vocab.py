@@ -91,10 +91,15 @@ def test_shuffled_path_is_taken_only_beyond_the_limits(spark, skewed):
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "Python" not in plan
 
 
-def test_mixed_kinds_are_refused(spark):
-    df = spark.createDataFrame([(1, "a")], "x int, y string")
+def test_mixed_kinds_share_a_vocabulary(spark):
+    """They were refused until a value was counted as text and ranked in its column's own order."""
+    df = spark.createDataFrame([(10, "a"), (9, "a"), (None, "b")], "x int, y string")
+    vocab = Vocabulary.fit(df, ["x", "y"])
+    got = {(r["col"], r["value"]): r["code"] for r in vocab.table.collect()}
+    assert got == {("x", "9"): 1, ("x", "10"): 2, ("y", "a"): 1, ("y", "b"): 2}
+    assert [tuple(r) for r in vocab.encode(df).collect()] == [(2, 1), (1, 1), (0, 2)]
     with pytest.raises(ValueError):
-        Vocabulary.fit(df, ["x", "y"])
+        Vocabulary.fit(df.select(F.array("x").alias("x"), "y"), ["x", "y"])
 
 
 def test_unseen_values_and_offsets(spark):
