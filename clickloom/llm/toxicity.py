@@ -175,17 +175,22 @@ def descend(
     return machine
 
 
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """Smaller batches, so that arrays of a worker stay small whatever the texts' lengths are together."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, rows):
+            yield batch.slice(first, rows)
+
+
 def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Terms to features, row by row."""
-    for batch in batches:
-        for first in range(0, batch.num_rows, 500):
-            part = batch.slice(first, 500)
-            lists = part.column("_terms")
-            ends = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))])
-            found, row = features(lists.flatten().to_numpy(zero_copy_only=False), ends)
-            offsets = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=part.num_rows))]).astype(np.int32)
-            made = pa.ListArray.from_arrays(pa.array(offsets), pa.array(found.astype(np.int32)))
-            yield pa.RecordBatch.from_arrays([part.column("_key"), part.column("_label"), made], ["_key", "_label", "_terms"])
+    for part in sliced(batches):
+        lists = part.column("_terms")
+        ends = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))])
+        found, row = features(lists.flatten().to_numpy(zero_copy_only=False), ends)
+        offsets = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=part.num_rows))]).astype(np.int32)
+        made = pa.ListArray.from_arrays(pa.array(offsets), pa.array(found.astype(np.int32)))
+        yield pa.RecordBatch.from_arrays([part.column("_key"), part.column("_label"), made], ["_key", "_label", "_terms"])
 
 
 def learn(df: DataFrame, labels: DataFrame, key: str, text: str, label: str, learn_rows: int) -> Machine | None:
@@ -219,7 +224,7 @@ def learn(df: DataFrame, labels: DataFrame, key: str, text: str, label: str, lea
     shared = df.sparkSession.sparkContext.broadcast(kept)
 
     def screened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             lists = batch.column("_terms")
             flat = lists.flatten().to_numpy(zero_copy_only=False)
             known = shared.value[flat]
@@ -245,7 +250,7 @@ def score(df: DataFrame, machine: Machine | None, key: str = "doc_id", text: str
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for batch in batches:
+        for batch in sliced(batches):
             lists = batch.column("_terms")
             lengths = lists.value_lengths().to_numpy(zero_copy_only=False)
             at, row = model.active(lists.flatten().to_numpy(zero_copy_only=False), np.concatenate([[0], np.cumsum(lengths)]))
