@@ -36,10 +36,23 @@ def shuffle_rows(
         )
         return moved.sortWithinPartitions(_draw(seed + 1, key))
     if mode == "PER_WORKER":
-        return place(df, workers or files, key).sortWithinPartitions(_draw(seed, key))
+        return _per_worker(df, workers or files, seed, key)
     return place(df, files, key).sortWithinPartitions(_draw(seed, key))
 
 
+def _per_worker(df: DataFrame, workers: int | None, seed: int, key: str | None) -> DataFrame:
+    """Rows are ordered in parts of the session's partition size, then each worker gets its rows of every part.
+
+    A worker so reads drawn parts, each in a drawn order, one behind the other; it holds no more than
+    it reads at once, however large its share. Parts may follow one another differently in another run.
+    """
+    draw = _draw(seed, key)
+    if workers is None:
+        return df.sortWithinPartitions(draw)
+    parts = df.hint("rebalance", key) if key else df.hint("rebalance")
+    return place(parts.sortWithinPartitions(draw), workers, key)
+
+
 def place(df: DataFrame, files: int | None, key: str | None = None) -> DataFrame:
     """Spread rows evenly over `files` partitions, by the key when there is one."""
     if files is None:

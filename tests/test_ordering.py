@@ -114,3 +114,13 @@ def test_auc_leaves_out_what_has_no_label_or_score(spark):
     rows = [(0.1, 0), (0.4, 1), (0.3, 0), (0.9, 1), (0.2, None), (None, 1), (float("nan"), 0)]
     got = auc(spark.createDataFrame(rows, "s double, y int"), "s", "y").first()
     assert (got.auc, got.n_pos, got.n_neg) == (1.0, 2, 2)
+
+
+def test_workers_are_dealt_ordered_parts_and_sort_nothing_themselves(spark):
+    df = spark.range(4000).withColumnRenamed("id", "k")
+    moved = shuffle_rows(df, "PER_WORKER", seed=3, workers=2, key="k")
+    last = moved._jdf.queryExecution().sparkPlan().toString().splitlines()[0]
+    assert last.startswith("Exchange"), last  # the share of a worker is not sorted in its one task
+    shares = moved.rdd.glom().map(lambda rows: [r["k"] for r in rows]).collect()
+    assert len(shares) == 2 and sorted(sum(shares, [])) == list(range(4000))
+    assert all(share != sorted(share) for share in shares)
