@@ -294,7 +294,7 @@ def shuffle_checks(spark, sf):
 
 def _transformed(spark, sf) -> tuple:
     df = int_clicks(spark, sf)
-    fitted = fitted_workflow(spark, sf)
+    fitted = fitted_workflow(df)
     done = fitted.transform(df.where(TRAIN_DAYS), "event_id")
     path = write_split(done, scratch_path(spark, "done"), "train", 4, key="event_id")
     return done, fitted, path

@@ -43,13 +43,15 @@ from clickloom.plans.ops import (
 from clickloom.plans.workflow import FittedWorkflow, Workflow, click_workflow
 from clickloom.schema import categorical_columns, continuous_columns
 from clickloom.sources.scans import decode_categoricals
-from clickloom.storage import scratch_path
+from clickloom.storage import materialize, scratch_path, short_methods
 
 CATS, CONTS = categorical_columns(), continuous_columns()
 
 
 def int_clicks(spark, sf):
-    return decode_categoricals(clicks(spark, sf))
+    """The view with integer categoricals, derived and decoded once and written, as a conversion job leaves it."""
+    with short_methods(spark):
+        return materialize(decode_categoricals(clicks(spark, sf)), "clicks")
 
 
 def rounded_columns(df, columns):
@@ -86,29 +88,29 @@ def normalize(spark, sf):
     return rounded_columns(out, CONTS)
 
 
-def _train_vocab(spark, sf, max_size=None):
-    return Vocabulary.fit(int_clicks(spark, sf).where(TRAIN_DAYS), CATS, max_size)
+def _train_vocab(df, max_size=None):
+    return Vocabulary.fit(df.where(TRAIN_DAYS), CATS, max_size)
 
 
 def vocab_fit(spark, sf):
-    return _train_vocab(spark, sf).table
+    return _train_vocab(int_clicks(spark, sf)).table
 
 
 def vocab_topn(spark, sf):
-    return _train_vocab(spark, sf, 100).table
+    return _train_vocab(int_clicks(spark, sf), 100).table
 
 
 def cardinalities(spark, sf):
-    return cardinality_table(_train_vocab(spark, sf).table)
+    return cardinality_table(_train_vocab(int_clicks(spark, sf)).table)
 
 
 def offsets(spark, sf):
-    return slot_offsets(cardinality_table(_train_vocab(spark, sf).table), CATS)
+    return slot_offsets(cardinality_table(_train_vocab(int_clicks(spark, sf)).table), CATS)
 
 
 def categorify(spark, sf):
-    vocab = _train_vocab(spark, sf)
-    return vocab.encode(int_clicks(spark, sf).select("event_id", *CATS))
+    df = int_clicks(spark, sf)
+    return _train_vocab(df).encode(df.select("event_id", *CATS))
 
 
 #: Nothing fits a broadcast but the four most frequent values of a column, and what has a quarter of the rows.
@@ -117,8 +119,8 @@ TAIL_LIMITS = Limits(column_bytes=0, total_bytes=0, head_entries=4, hot_rows=1)
 
 def categorify_tail(spark, sf):
     """`categorify` where every vocabulary is too large to broadcast."""
-    vocab = _train_vocab(spark, sf)
-    return vocab.encode(int_clicks(spark, sf).select("event_id", *CATS), limits=TAIL_LIMITS)
+    df = int_clicks(spark, sf)
+    return _train_vocab(df).encode(df.select("event_id", *CATS), limits=TAIL_LIMITS)
 
 
 def categorify_string(spark, sf):
@@ -128,8 +130,8 @@ def categorify_string(spark, sf):
 
 
 def categorify_topn(spark, sf):
-    vocab = _train_vocab(spark, sf, 100)
-    return vocab.encode(int_clicks(spark, sf).select("event_id", *CATS))
+    df = int_clicks(spark, sf)
+    return _train_vocab(df, 100).encode(df.select("event_id", *CATS))
 
 
 FLAGS = ["l_returnflag", "l_linestatus"]
@@ -191,13 +193,13 @@ def unseen(spark, sf):
     return unseen_values(df.where(VALID_DAYS), vocab.table, CATS)
 
 
-def fitted_workflow(spark, sf) -> FittedWorkflow:
-    return click_workflow().fit(int_clicks(spark, sf).where(TRAIN_DAYS))
+def fitted_workflow(df) -> FittedWorkflow:
+    return click_workflow().fit(df.where(TRAIN_DAYS))
 
 
 def _workflow(spark, sf, days):
     df = int_clicks(spark, sf)
-    fitted = click_workflow().fit(df.where(TRAIN_DAYS))
+    fitted = fitted_workflow(df)
     return rounded_columns(fitted.transform(df.where(days) if days else df, "event_id"), CONTS)
 
 
@@ -215,9 +217,10 @@ def workflow_all(spark, sf):
 
 def workflow_reload(spark, sf):
     path = scratch_path(spark, "workflow")
-    fitted_workflow(spark, sf).save(path)
+    df = int_clicks(spark, sf)
+    fitted_workflow(df).save(path)
     fitted = FittedWorkflow.load(spark, path)
-    return rounded_columns(fitted.transform(int_clicks(spark, sf), "event_id"), CONTS)
+    return rounded_columns(fitted.transform(df, "event_id"), CONTS)
 
 
 def filter_outliers(spark, sf):
@@ -306,8 +309,9 @@ def multi_hot_cut(spark, sf):
 
 def categorify_unseen(spark, sf):
     """Nine of ten values unseen, where no vocabulary can be broadcast."""
-    rows = int_clicks(spark, sf).select("event_id", *[F.when(F.col("event_id") % 10 == 0, F.col(c)).otherwise(F.col("event_id") * 7 + 3).alias(c) for c in CATS])
-    return _train_vocab(spark, sf).encode(rows, limits=TAIL_LIMITS)
+    df = int_clicks(spark, sf)
+    rows = df.select("event_id", *[F.when(F.col("event_id") % 10 == 0, F.col(c)).otherwise(F.col("event_id") * 7 + 3).alias(c) for c in CATS])
+    return _train_vocab(df).encode(rows, limits=TAIL_LIMITS)
 
 
 QUERIES = {

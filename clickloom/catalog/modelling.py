@@ -81,8 +81,9 @@ def rounded_to(name, digits=4):
 
 
 def _looked_up(spark, sf):
-    fitted = fitted_workflow(spark, sf)
-    rows = fitted.transform(int_clicks(spark, sf), "event_id")
+    df = int_clicks(spark, sf)
+    fitted = fitted_workflow(df)
+    rows = fitted.transform(df, "event_id")
     return embeddings_of(fitted).lookup(rows)
 
 
@@ -114,8 +115,9 @@ def linear_query(spark, sf):
 
 def _fm_logits(spark, sf):
     """Scores of the model without a tower: second-order term plus linear term."""
-    fitted = fitted_workflow(spark, sf)
-    return score_raw(int_clicks(spark, sf), fitted, model_of(fitted, ()), ["event_id", "label"], "event_id")
+    df = int_clicks(spark, sf)
+    fitted = fitted_workflow(df)
+    return score_raw(df, fitted, model_of(fitted, ()), ["event_id", "label"], "event_id")
 
 
 def fm_logit(spark, sf):
@@ -175,8 +177,8 @@ STEP = 0.5
 
 def fm_step_query(spark, sf):
     """New weights after one step over the training split, from the fixed ones."""
-    fitted = fitted_workflow(spark, sf)
-    train = int_clicks(spark, sf).where(TRAIN_DAYS)
+    df = int_clicks(spark, sf)
+    fitted, train = fitted_workflow(df), df.where(TRAIN_DAYS)
     table = embeddings_of(fitted)
     rows = table.lookup(fitted.transform(train, "event_id"))
     weights = [[*(fixed_weight(i, d) for d in range(LATENT)), fixed_linear(i)] for i in range(len(CONTS))]
@@ -202,8 +204,9 @@ def embedding_sum_tail(spark, sf):
 
 def score_table_tail(spark, sf):
     """`score_table` where the embeddings are too large to broadcast."""
-    fitted = fitted_workflow(spark, sf)
-    rows = fitted.transform(int_clicks(spark, sf), "event_id")
+    df = int_clicks(spark, sf)
+    fitted = fitted_workflow(df)
+    rows = fitted.transform(df, "event_id")
     scored = score(rows, model_of(fitted, NARROW), ["event_id"], "event_id", TAIL_LIMITS)
     return scored.select("event_id", rounded_to("logit"), rounded_to("score"))
 
@@ -213,51 +216,54 @@ WIDE = 400
 
 
 def score_table(spark, sf):
-    fitted = fitted_workflow(spark, sf)
-    rows = fitted.transform(int_clicks(spark, sf), "event_id")
+    df = int_clicks(spark, sf)
+    fitted = fitted_workflow(df)
+    rows = fitted.transform(df, "event_id")
     scored = score(rows, model_of(fitted, NARROW), ["event_id"], "event_id")
     return scored.select("event_id", rounded_to("logit"), rounded_to("score"))
 
 
 def score_raw_records(spark, sf):
-    fitted = fitted_workflow(spark, sf)
-    raw = int_clicks(spark, sf).drop("label")
-    scored = score_raw(raw, fitted, model_of(fitted, NARROW), ["event_id"], "event_id")
+    df = int_clicks(spark, sf)
+    fitted = fitted_workflow(df)
+    scored = score_raw(df.drop("label"), fitted, model_of(fitted, NARROW), ["event_id"], "event_id")
     return scored.select("event_id", rounded_to("logit"), rounded_to("score"))
 
 
 def mlp_forward(spark, sf):
     """The full-width tower."""
-    fitted = fitted_workflow(spark, sf)
+    df = int_clicks(spark, sf)
+    fitted = fitted_workflow(df)
     model = model_of(fitted, (WIDE,) * 3)
-    scored = score_raw(int_clicks(spark, sf), fitted, model, ["event_id"], "event_id")
+    scored = score_raw(df, fitted, model, ["event_id"], "event_id")
     return scored.select("event_id", rounded_to("logit", 3), rounded_to("score"))
 
 
 def model_reload(spark, sf):
     """Scores of a model written to storage and read back."""
-    fitted = fitted_workflow(spark, sf)
+    df = int_clicks(spark, sf)
+    fitted = fitted_workflow(df)
     path = scratch_path(spark, "model")
     model_of(fitted, NARROW).save(path)
-    rows = fitted.transform(int_clicks(spark, sf), "event_id")
+    rows = fitted.transform(df, "event_id")
     scored = score(rows, DeepFM.load(spark, path), ["event_id"], "event_id")
     return scored.select("event_id", rounded_to("logit"), rounded_to("score"))
 
 
-def request_batch(spark, sf):
+def request_batch(df):
     """The view as requests of up to eight records."""
     return requests.to_requests(
-        int_clicks(spark, sf), F.expr("event_id div 8"), "event_id", requests.request_features()
+        df, F.expr("event_id div 8"), "event_id", requests.request_features()
     )
 
 
 def decode_requests(spark, sf):
-    return requests.decode(request_batch(spark, sf))[0].drop("request")
+    return requests.decode(request_batch(int_clicks(spark, sf)))[0].drop("request")
 
 
 def rejected_requests(spark, sf):
     """The same requests, in each of which one input is a record short."""
-    shortened = request_batch(spark, sf).withColumn(
+    shortened = request_batch(int_clicks(spark, sf)).withColumn(
         "inputs",
         F.transform(
             "inputs",
@@ -297,10 +303,10 @@ def rejected_all_reasons(spark, sf):
     changed = inputs
     for k, damage in enumerate(damaged):
         changed = F.when(kind == k, damage).otherwise(changed)
-    return requests.decode(request_batch(spark, sf).withColumn("inputs", changed))[1].select("id", "reason")
+    return requests.decode(request_batch(int_clicks(spark, sf)).withColumn("inputs", changed))[1].select("id", "reason")
 
 
-def _unreadable(spark, sf) -> str:
+def _unreadable(spark, df) -> str:
     """Request files in which three of four documents do not parse: cut short, no JSON, of another shape."""
     good = F.to_json(F.struct("id", "inputs"))
     kind = F.col("id").cast("bigint") % 4
@@ -311,26 +317,27 @@ def _unreadable(spark, sf) -> str:
         .otherwise(good)
     )
     path = scratch_path(spark, "request-files")
-    request_batch(spark, sf).select(text.alias("value")).write.text(path)
+    request_batch(df).select(text.alias("value")).write.text(path)
     return path
 
 
 def rejected_text(spark, sf):
-    return requests.decode(scan_requests(spark, _unreadable(spark, sf)))[1].select("reason", "text")
+    return requests.decode(scan_requests(spark, _unreadable(spark, int_clicks(spark, sf))))[1].select("reason", "text")
 
 
 def rejected_text_stream(spark, sf):
     """The same documents read as a stream: the rejects of every micro-batch."""
-    fitted, root = fitted_workflow(spark, sf), scratch_path(spark, "stream")
+    df = int_clicks(spark, sf)
+    fitted, root = fitted_workflow(df), scratch_path(spark, "stream")
     query = requests.score_stream(
-        spark, _unreadable(spark, sf), f"{root}/out", f"{root}/state", fitted, model_of(fitted, NARROW)
+        spark, _unreadable(spark, df), f"{root}/out", f"{root}/state", fitted, model_of(fitted, NARROW)
     )
     query.awaitTermination()
     return spark.read.parquet(f"{root}/out/rejected").select("reason", "text")
 
 
 def encode_scores(spark, sf):
-    rows = requests.decode(request_batch(spark, sf))[0]
+    rows = requests.decode(request_batch(int_clicks(spark, sf)))[0]
     out = requests.encode(rows.withColumn("s", F.coalesce("I1", F.lit(0))), "s")
     return out.select("id", F.array_join(F.col("OUTPUT0").cast("array<string>"), ",").alias("OUTPUT0"))
 
@@ -342,15 +349,17 @@ def _response_rows(responses):
 
 
 def score_requests(spark, sf):
-    fitted = fitted_workflow(spark, sf)
-    responses, _ = requests.score_requests(request_batch(spark, sf), fitted, model_of(fitted, NARROW))
+    df = int_clicks(spark, sf)
+    fitted = fitted_workflow(df)
+    responses, _ = requests.score_requests(request_batch(df), fitted, model_of(fitted, NARROW))
     return _response_rows(responses)
 
 
 def score_stream(spark, sf):
-    fitted = fitted_workflow(spark, sf)
+    df = int_clicks(spark, sf)
+    fitted = fitted_workflow(df)
     root = scratch_path(spark, "stream")
-    request_batch(spark, sf).write.json(f"{root}/in")
+    request_batch(df).write.json(f"{root}/in")
     query = requests.score_stream(
         spark, f"{root}/in", f"{root}/out", f"{root}/state", fitted, model_of(fitted, NARROW)
     )
@@ -360,8 +369,9 @@ def score_stream(spark, sf):
 
 def sparse_query(spark, sf):
     """Records as sparse vectors: the size, the places of the slots' codes and of the counts, the values."""
-    fitted = fitted_workflow(spark, sf)
-    rows = fitted.transform(int_clicks(spark, sf), "event_id")
+    df = int_clicks(spark, sf)
+    fitted = fitted_workflow(df)
+    rows = fitted.transform(df, "event_id")
     vector = sparse_features(CATS, CONTS, fitted.cardinalities())
     rounded_ = F.transform("v.values", lambda x: (F.round(x, 4) + 0.0).cast("decimal(12,4)").cast("string"))
     return rows.select("event_id", vector.alias("v")).select(
@@ -372,10 +382,11 @@ def sparse_query(spark, sf):
 
 def train_fm_query(spark, sf):
     """Validation scores of a factorization machine over all slots and counts, learned from the log's label."""
-    fitted = fitted_workflow(spark, sf)
+    df = int_clicks(spark, sf)
+    fitted = fitted_workflow(df)
     vector = sparse_features(CATS, CONTS, fitted.cardinalities())
     split = lambda days: with_vectors(
-        fitted.transform(int_clicks(spark, sf).where(days), "event_id"), vector, ["event_id", "label"]
+        fitted.transform(df.where(days), "event_id"), vector, ["event_id", "label"]
     )
     return score_fm(split(VALID_DAYS), train_fm(split(TRAIN_DAYS)), ["event_id", "label"])
 
@@ -385,13 +396,14 @@ SNAPSHOTS = {"first": 1.0, "half": 0.5, "double": 2.0}  # every weight of the fi
 
 def snapshot_auc(spark, sf):
     """Three saved models, read back and scored in one scan; the AUC of each."""
-    fitted, root = fitted_workflow(spark, sf), scratch_path(spark, "snapshots")
+    df = int_clicks(spark, sf)
+    fitted, root = fitted_workflow(df), scratch_path(spark, "snapshots")
     plain, models = model_of(fitted, ()), {}
     for name, factor in SNAPSHOTS.items():
         table = plain.embeddings.table.withColumn("vec", F.transform("vec", lambda x: x * F.lit(factor)))  # noqa: B023
         DeepFM(Embeddings.of(table, CATS), {k: v * factor for k, v in plain.params.items()}, CONTS).save(f"{root}/{name}")
         models[name] = DeepFM.load(spark, f"{root}/{name}")
-    rows = fitted.transform(int_clicks(spark, sf), "event_id")
+    rows = fitted.transform(df, "event_id")
     scored = score_models(rows, models, ["event_id", "label"], "event_id")
     ranked = metrics.auc_by(scored.withColumn("s", F.round("logit", 6)), ["model"], "s", "label")
     return ranked.select("model", rounded_to("auc", 6), "n_pos", "n_neg")
