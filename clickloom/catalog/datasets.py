@@ -39,7 +39,7 @@ from clickloom.sources.sinks import (
     write_sidecar,
     write_split,
 )
-from clickloom.storage import materialize, read_text, scratch_path
+from clickloom.storage import materialize, read_text, scratch_path, short_methods
 
 CATS, CONTS = categorical_columns(), continuous_columns()
 RECORD = [*label_columns(), *CONTS, *CATS]
@@ -49,7 +49,8 @@ DAYS = "day={}"
 def write_days(spark, sf) -> str:
     """The raw log as tab-separated files, one directory per day."""
     path = scratch_path(spark, "raw")
-    clicks(spark, sf).select("day", *RECORD).write.partitionBy("day").option("sep", "\t").csv(path)
+    with short_methods(spark):
+        clicks(spark, sf).select("day", *RECORD).write.partitionBy("day").option("sep", "\t").csv(path)
     return path
 
 
