@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from clickloom.llm.heldout import held_out
-from clickloom.llm.text import NOT_WORD, lower_ascii, words
+from clickloom.llm.text import NOT_WORD, lower_ascii, sliced, words
 from clickloom.storage import materialize
 
 FEATURES = 1 << 20
@@ -83,7 +83,7 @@ class Machine:
     def margin(self, at: np.ndarray, row: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
         """Log odds per row, and the rows' sums of factors."""
         total = np.stack([np.bincount(row, self.factor[at, k], n) for k in range(FACTORS)], axis=1)
-        squares = np.bincount(row, (self.factor[at] ** 2).sum(axis=1), n)
+        squares = np.bincount(row, (self.factor**2).sum(axis=1)[at], n)
         return self.bias + np.bincount(row, self.weight[at], n) + 0.5 * ((total**2).sum(axis=1) - squares), total
 
 
@@ -124,8 +124,8 @@ def _worth(machine: Machine, flat: np.ndarray, offsets: np.ndarray, label: np.nd
     at, row = machine.place[flat[known]], row[known]
     margin, total = machine.margin(at, row, n)
     out = np.zeros(len(machine.weight))
-    for first in range(0, len(at), 1 << 20):
-        a, r = at[first : first + (1 << 20)], row[first : first + (1 << 20)]
+    for first in range(0, len(at), 1 << 16):
+        a, r = at[first : first + (1 << 16)], row[first : first + (1 << 16)]
         share = machine.weight[a] + ((total[r] - machine.factor[a]) * machine.factor[a]).sum(axis=1)
         loss = lambda z, r=r: np.logaddexp(0, z) - label[r] * z
         out += np.bincount(a, loss(margin[r] - share) - loss(margin[r]), len(out))
@@ -175,13 +175,6 @@ def descend(
     return machine
 
 
-def sliced(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
-    """Smaller batches, so that arrays of a worker stay small whatever the texts' lengths are together."""
-    for batch in batches:
-        for first in range(0, batch.num_rows, rows):
-            yield batch.slice(first, rows)
-
-
 def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Terms to features, row by row."""
     for part in sliced(batches):
@@ -193,11 +186,23 @@ def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([part.column("_key"), part.column("_label"), made], ["_key", "_label", "_terms"])
 
 
+def screen(sample: DataFrame, base: float, n: int) -> DataFrame:
+    """The features of `n` rows, `base` of them toxic, that are `telling` or `frequent`, in a column `term`."""
+    spread = F.sqrt(F.greatest(base * (1 - base) * F.col("seen"), F.lit(1e-9)))
+    z = (F.col("toxic") - base * F.col("seen")) / spread
+    alone = (F.col("seen") >= 2) & (F.abs(z) >= 4.0)
+    return (
+        sample.select("_label", F.explode("_terms").alias("term")).groupBy("term")
+        .agg(F.count("*").cast("double").alias("seen"), F.sum("_label").alias("toxic"))
+        .where(alone | (F.col("seen") >= max(LEAST_SEEN, LEAST_SHARE * n))).select("term")
+    )
+
+
 def learn(df: DataFrame, labels: DataFrame, key: str, text: str, label: str, learn_rows: int) -> Machine | None:
     """Fit on a sample of the labelled rows of at most about `learn_rows`, chosen by a hash of the key.
 
-    What comes to the driver is one row of counts per feature (at most `FEATURES`), then that bounded
-    sample with only the features that pass the screen. The labelled rows are found by a join of keys,
+    What comes to the driver are the numbers of the features that pass the screen (at most `FEATURES`), then
+    that bounded sample with only those features. The labelled rows are found by a join of keys,
     so unlabelled texts are hashed but never moved.
     """
     known = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull() & ~held_out(key)).select(
@@ -214,13 +219,8 @@ def learn(df: DataFrame, labels: DataFrame, key: str, text: str, label: str, lea
     base = sample.agg(F.avg("_label")).first()[0]
     if base is None:
         return None
-    counts = (
-        sample.select("_label", F.explode("_terms").alias("term")).groupBy("term")
-        .agg(F.count("*").cast("double").alias("seen"), F.sum("_label").alias("toxic")).where("seen >= 2").toArrow()
-    )
-    term, seen, toxic = (counts[c].to_numpy() for c in ("term", "seen", "toxic"))
     kept = np.zeros(FEATURES, bool)
-    kept[term[telling(seen, toxic, base) | frequent(seen, sample.count())]] = True
+    kept[screen(sample, base, sample.count()).toArrow()["term"].to_numpy()] = True
     shared = df.sparkSession.sparkContext.broadcast(kept)
 
     def screened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
