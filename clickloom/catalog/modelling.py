@@ -13,7 +13,7 @@ from clickloom.catalog.features import LIST_CTES, TAIL_LIMITS, fitted_workflow,
 from clickloom.catalog.sqltext import rounded, transformed_ctes, with_clicks
 from clickloom.model import network
 from clickloom.model.deepfm import DeepFM, score, score_models, score_raw
-from clickloom.model.fm import score_fm, sparse_features, train_fm, with_vectors
+from clickloom.model.fm import FEATURES, score_fm, sparse_features, train_fm, with_vectors
 from clickloom.model.fm_step import fm_step
 from clickloom.operators import metrics
 from clickloom.operators.embedding import (
@@ -385,10 +385,9 @@ def train_fm_query(spark, sf):
     df = int_clicks(spark, sf)
     fitted = fitted_workflow(df)
     vector = sparse_features(CATS, CONTS, fitted.cardinalities())
-    split = lambda days: with_vectors(
-        fitted.transform(df.where(days), "event_id"), vector, ["event_id", "label"]
-    )
-    return score_fm(split(VALID_DAYS), train_fm(split(TRAIN_DAYS)), ["event_id", "label"])
+    train, valid = (fitted.transform(df.where(days), "event_id") for days in (TRAIN_DAYS, VALID_DAYS))
+    model = train_fm(train.select("label", vector.alias(FEATURES)))
+    return score_fm(with_vectors(valid, vector, ["event_id", "label"]), model, ["event_id", "label"])
 
 
 SNAPSHOTS = {"first": 1.0, "half": 0.5, "double": 2.0}  # every weight of the fixed model times this
