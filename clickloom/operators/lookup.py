@@ -84,13 +84,30 @@ def lookup(
     return _broadcast_join(out, side.entries, small, {c: found.format(c) for c in small}) if small else out
 
 
+_JOINS_AT_ONCE = 5
+
+
 def _broadcast_join(
     df: DataFrame, entries: DataFrame, columns: dict[str, str], added: dict[str, str]
 ) -> DataFrame:
     """One left join per column against its own entries; `added` names the new columns.
 
-    All in one statement: dozens of joins are then analysed once, not once per join.
+    Several in one statement: dozens of joins are then analysed a few times, not once per join. All joins of
+    a statement become one generated method, and the JVM only compiles methods of up to 8000 bytes, so it ends
+    behind `_JOINS_AT_ONCE` of them: at a coalesce that leaves the parts as they are.
     """
+    names = list(columns)
+    for first in range(0, len(names), _JOINS_AT_ONCE):
+        df = _joined(df, entries, {c: columns[c] for c in names[first : first + _JOINS_AT_ONCE]}, added)
+        if len(names) > _JOINS_AT_ONCE:
+            df = df.coalesce(_MORE_PARTS_THAN_ANY)
+    return df
+
+
+_MORE_PARTS_THAN_ANY = 1 << 30
+
+
+def _joined(df: DataFrame, entries: DataFrame, columns: dict[str, str], added: dict[str, str]) -> DataFrame:
     kind = entries.schema["value"].dataType.simpleString()
     joins, new = [], []
     for i, (column, name) in enumerate(columns.items()):
